@@ -1,16 +1,34 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads the given tables (through the fixture adapters) and runs
+over all their rows; the report date is fixed at ``DEFAULT_AS_OF`` so the
+results repeat.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import kpi
+from .. import DEFAULT_AS_OF
+from ..functions import cleanse
+from ..functions.exact import cents
+from ..functions.text import scrub_text
+from ..operators import quality, scd2
+from ..operators.dedup import dedup_first
+from ..operators.hashing import row_hash
+from . import anomaly, daily, kpi, report, silver
 from .catalog import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+AS_OF = DEFAULT_AS_OF
+
+# Version times of the three dimension snapshots used by the SCD2 queries.
+SNAPSHOT_TIMES = ["1996-01-01 00:00:00", "1997-01-01 00:00:00", "1998-01-01 00:00:00"]
+DIM_KEYS = {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}
 
 
 def register(name: str):
@@ -20,6 +38,528 @@ def register(name: str):
     return deco
 
 
+def T(spark, sf_dir) -> Tables:
+    return Tables(spark, sf_dir)
+
+
+# ----------------------------------------------------------------------------- B: cleansing rules
+
+@register("normalise_codes")
+def _normalise_codes(spark, d):
+    f = T(spark, d).feed("sales")
+    return cleanse.normalise(f, upper=["region", "channel", "payment_mode"], titles=["city"]).select(
+        "vin", "sale_date", "customer_id", "dealer_id", "region", "channel", "payment_mode", "city")
+
+
+@register("safe_cast_numbers")
+def _safe_cast_numbers(spark, d):
+    f = T(spark, d).feed("sales")
+    return cleanse.safe_cast(f, {"sale_amount": "double", "discount": "double", "tax_amount": "double"}).select(
+        "vin", "sale_date", "dealer_id", "sale_amount", "discount", "tax_amount")
+
+
+@register("safe_cast_dates")
+def _safe_cast_dates(spark, d):
+    f = T(spark, d).feed("production")
+    return f.select("production_id",
+                    cleanse.safe_date("production_date").alias("production_date"),
+                    cleanse.safe_date(F.concat(F.substring("production_date", 9, 2), F.lit("/"),
+                                               F.substring("production_date", 6, 2), F.lit("/"),
+                                               F.substring("production_date", 1, 4))).alias("day_first_date"),
+                    cleanse.safe_date(F.lit("bad")).alias("malformed_date"))
+
+
+@register("required_keys")
+def _required_keys(spark, d):
+    t = T(spark, d)
+    keys = {"sales": "vin", "production": "vin", "service": "vin", "inventory": "part_id", "warranty": "vin"}
+    out = None
+    for feed, key in keys.items():
+        f = t.feed(feed)
+        part = f.agg(F.count(F.lit(1)).alias("total"), F.count(key).alias("kept")).select(
+            F.lit(feed).alias("feed"), F.lit(key).alias("key"), "total", "kept")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("valid_amounts")
+def _valid_amounts(spark, d):
+    f = T(spark, d).feed("sales")
+    amt = F.col("sale_amount").try_cast("double")
+    return f.filter(amt > 0).select("vin", "sale_date", "dealer_id", amt.alias("sale_amount"))
+
+
+@register("vin_validation")
+def _vin_validation(spark, d):
+    f = T(spark, d).feed("sales")
+    return f.select("vin").distinct().select(
+        "vin", cleanse.valid_vin("vin").alias("is_valid"), cleanse.vin_length_ok("vin").alias("length_ok"))
+
+
+@register("null_defaults")
+def _null_defaults(spark, d):
+    f = cleanse.safe_cast(T(spark, d).feed("sales"), {"discount": "double", "tax_amount": "double"})
+    return cleanse.defaults(f, {"discount": 0.0, "tax_amount": 0.0}).select(
+        "vin", "sale_date", "dealer_id", "discount", "tax_amount")
+
+
+@register("rating_range")
+def _rating_range(spark, d):
+    f = T(spark, d).feed("service")
+    r = F.col("customer_feedback_rating").try_cast("int")
+    return f.select("service_id", "vin", r.alias("raw_rating"),
+                    cleanse.null_outside(r, 1, 5).alias("customer_feedback_rating"))
+
+
+@register("status_flags")
+def _status_flags(spark, d):
+    return T(spark, d).production.select("production_id", "status", "is_completed", "is_delayed")
+
+
+@register("net_revenue")
+def _net_revenue(spark, d):
+    return T(spark, d).sales.select("vin", "sale_date", "sale_amount", "discount", "tax_amount", "net_revenue")
+
+
+@register("pii_email_hash")
+def _pii_email_hash(spark, d):
+    return T(spark, d).customer_cur.select("customer_id", "email_hash")
+
+
+@register("pii_phone_mask")
+def _pii_phone_mask(spark, d):
+    t = T(spark, d)
+    c = t.feed("customer").select(F.col("customer_id").alias("party_id"), "contact_number")
+    dl = t.feed("dealer").select(F.col("dealer_id").alias("party_id"), "contact_number")
+    return c.unionByName(dl).select("party_id", cleanse.mask_phone("contact_number").alias("masked"),
+                                    cleanse.mask_last4("contact_number").alias("masked_strict"))
+
+
+@register("documents_pii_scrub")
+def _documents_pii_scrub(spark, d):
+    return scrub_text(T(spark, d).raw("documents"), "text", "doc_id")
+
+
+for _name in ["sales", "production", "service", "inventory", "warranty"]:
+    def _mk(n):
+        return lambda spark, d: getattr(T(spark, d), n)
+    QUERIES[f"clean_{_name}"] = _mk(_name)
+
+
+# ----------------------------------------------------------------------------- C: joins
+
+@register("sales_enriched")
+def _sales_enriched(spark, d):
+    return T(spark, d).sales_enriched
+
+
+@register("production_enriched")
+def _production_enriched(spark, d):
+    return T(spark, d).production_enriched
+
+
+@register("service_enriched")
+def _service_enriched(spark, d):
+    return T(spark, d).service_enriched
+
+
+@register("service_enriched_flag")
+def _service_enriched_flag(spark, d):
+    t = T(spark, d)
+    return silver.service_enriched_flag(t.service, t.warranty, t.dealer_cur, t.vehicle_cur)
+
+
+@register("inventory_enriched")
+def _inventory_enriched(spark, d):
+    return T(spark, d).inventory_enriched
+
+
+@register("warranty_enriched")
+def _warranty_enriched(spark, d):
+    return T(spark, d).warranty_enriched
+
+
+# ----------------------------------------------------------------------------- D: aggregation
+
+@register("distinct_counts")
+def _distinct_counts(spark, d):
+    s = T(spark, d).sales_enriched
+    return s.groupBy(cleanse.month_label("sale_date").alias("sale_month_label")).agg(
+        F.count_distinct("vin").alias("vins"), F.count_distinct("dealer_id").alias("dealers"),
+        F.count_distinct("customer_id").alias("customers"), F.count_distinct("model_code").alias("models"))
+
+
+@register("rate_metrics")
+def _rate_metrics(spark, d):
+    from ..functions.exact import pct_2dp
+    w = T(spark, d).warranty
+    return w.groupBy("dealer_id").agg(
+        F.count("claim_id").alias("claims"), F.sum("is_approved").alias("_a"), F.sum("is_rejected").alias("_r"),
+        F.count("is_approved").alias("_n")).select(
+        "dealer_id", "claims", pct_2dp("_a", "claims").alias("approval_rate_pct"),
+        pct_2dp("_a", "_n").alias("approval_avg_pct"), pct_2dp("_r", "claims").alias("rejection_rate_pct"))
+
+
+@register("daily_by_dealer")
+def _daily_by_dealer(spark, d):
+    return anomaly.daily_revenue_by_dealer(T(spark, d).sales_enriched).select(
+        "dealer_id", "day", (F.col("revenue_c") / 100.0).alias("daily_revenue"), F.col("units").alias("daily_units"))
+
+
+@register("inventory_snapshot")
+def _inventory_snapshot(spark, d):
+    return daily.inventory_snapshot(T(spark, d).inventory_enriched)
+
+
+@register("inventory_snapshot_warehouse")
+def _inventory_snapshot_warehouse(spark, d):
+    return daily.inventory_snapshot(T(spark, d).inventory_enriched, weighted=False)
+
+
+@register("production_month_totals")
+def _production_month_totals(spark, d):
+    return report.production_month_totals(kpi.production_efficiency(T(spark, d).production_enriched), AS_OF)
+
+
+# ----------------------------------------------------------------------------- E / L9: z-scores
+
+@register("rolling_zscore")
+def _rolling_zscore(spark, d):
+    return anomaly.rolling_revenue_zscore(T(spark, d).sales_enriched)
+
+
+# ----------------------------------------------------------------------------- G: dedup
+
+@register("dedup_sales")
+def _dedup_sales(spark, d):
+    f = T(spark, d).feed("sales")
+    amount = F.col("sale_amount").try_cast("double")
+    f = f.filter(F.col("vin").isNotNull() & (amount > 0) & cleanse.valid_vin("vin"))
+    return dedup_first(f, ["vin", "sale_date"], [
+        cents(amount), "dealer_id", "customer_id", cents(F.col("discount").try_cast("double")),
+        cents(F.col("tax_amount").try_cast("double")), "channel", "payment_mode"])
+
+
+@register("dedup_claims")
+def _dedup_claims(spark, d):
+    f = T(spark, d).feed("warranty")
+    amount = F.col("claim_amount").try_cast("double")
+    f = f.filter(F.col("vin").isNotNull() & (amount >= 0))
+    return dedup_first(f, ["claim_id"], ["vin", "dealer_id", "part_id", "claim_date", "claim_status", cents(amount)])
+
+
+# ----------------------------------------------------------------------------- H: scalar rows
+
+@register("calendar_parts")
+def _calendar_parts(spark, d):
+    o = T(spark, d).raw("orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    return cleanse.calendar(o, "order_date", "order")
+
+
+@register("daily_metrics_parse")
+def _daily_metrics_parse(spark, d):
+    t = T(spark, d)
+    comp = daily.daily_comparison(t.sales_enriched, t.production_enriched, t.service_enriched, t.warranty_enriched,
+                                  t.inventory_enriched, AS_OF, keep_missing=True).filter(F.col("domain") == "sales")
+    schema = "units_sold BIGINT, net_revenue DOUBLE, gross_revenue DOUBLE, avg_discount DOUBLE, " \
+             "unique_customers BIGINT, active_dealers BIGINT"
+    out = None
+    for side in ["today", "yesterday"]:
+        p = comp.select(F.lit(side).alias("day"), F.from_json(f"{side}_metrics", schema).alias("m")).select("day", "m.*")
+        out = p if out is None else out.unionByName(p)
+    return out.filter(F.col("units_sold").isNotNull())
+
+
+# ----------------------------------------------------------------------------- J: quality
+
+def _fact_feeds(t: Tables) -> dict[str, DataFrame]:
+    return {n: t.feed(n) for n in ["sales", "production", "service", "inventory", "warranty"]}
+
+
+@register("expectation_report")
+def _expectation_report(spark, d):
+    return quality.expectation_report(_fact_feeds(T(spark, d)))
+
+
+@register("expectation_observed")
+def _expectation_observed(spark, d):
+    t = T(spark, d)
+    rules = quality.fact_rules()
+    rows = []
+    for table, df in _fact_feeds(t).items():
+        observed, obs = quality.observe_expectations(df, table, rules[table])
+        observed.write.format("noop").mode("overwrite").save()
+        m = obs.get
+        for rule in rules[table]:
+            rows.append((table, rule, int(m["total"]), int(m[rule]), int(m["total"]) - int(m[rule])))
+    return spark.createDataFrame(rows, "table string, rule string, total long, passed long, failed long")
+
+
+@register("quarantine_sales")
+def _quarantine_sales(spark, d):
+    return quality.quarantine(T(spark, d).feed("sales"), quality.sales_rules())
+
+
+@register("orphan_report")
+def _orphan_report(spark, d):
+    t = T(spark, d)
+    return quality.orphan_report([
+        (t.sales, "sales", t.customer_cur, "customer", "customer_id"),
+        (t.sales, "sales", t.dealer_cur, "dealer", "dealer_id"),
+        (t.sales, "sales", t.vehicle_cur, "vehicle", "vin"),
+        (t.production, "production", t.vehicle_cur, "vehicle", "vin"),
+        (t.service, "service", t.dealer_cur, "dealer", "dealer_id"),
+        (t.service, "service", t.vehicle_cur, "vehicle", "vin"),
+        (t.warranty, "warranty", t.dealer_cur, "dealer", "dealer_id"),
+        (t.warranty, "warranty", t.vehicle_cur, "vehicle", "vin"),
+        (t.warranty, "warranty", t.parts, "parts", "part_id"),
+        (t.inventory, "inventory", t.parts, "parts", "part_id"),
+    ])
+
+
+# ----------------------------------------------------------------------------- K: SCD2
+
+@register("row_hash")
+def _row_hash(spark, d):
+    s = T(spark, d).snapshot("dealer", 1)
+    return s.select("dealer_id", "_row_hash",
+                    row_hash(silver.DEALER_TRACKED, null_safe=True).alias("_row_hash_null_safe"))
+
+
+def scd2_history(spark, d, dim: str, versions: int = 3) -> DataFrame:
+    t = T(spark, d)
+    key = DIM_KEYS[dim]
+    hist = scd2.empty_history(spark, t.snapshot(dim, 0))
+    for v in range(versions):
+        hist = scd2.scd2_apply(hist, t.snapshot(dim, v), key, SNAPSHOT_TIMES[v])
+    return hist
+
+
+for _dim in ["customer", "dealer", "vehicle"]:
+    def _mk_scd(dim):
+        return lambda spark, d: scd2_history(spark, d, dim)
+    QUERIES[f"scd2_{_dim}"] = _mk_scd(_dim)
+
+
+@register("scd2_changed_rows")
+def _scd2_changed_rows(spark, d):
+    t = T(spark, d)
+    h0 = scd2.scd2_apply(scd2.empty_history(spark, t.snapshot("dealer", 0)), t.snapshot("dealer", 0),
+                         "dealer_id", SNAPSHOT_TIMES[0])
+    return scd2.changed_rows(t.snapshot("dealer", 1), h0, "dealer_id")
+
+
+@register("dealer_current")
+def _dealer_current(spark, d):
+    return scd2.current_view(scd2_history(spark, d, "dealer"))
+
+
+@register("sales_asof_dealer")
+def _sales_asof_dealer(spark, d):
+    t = T(spark, d)
+    hist = scd2_history(spark, d, "dealer")
+    facts = t.sales.select("vin", "sale_date", "dealer_id", "net_revenue")
+    return scd2.asof_join(facts, hist, "dealer_id", "sale_date", ["dealer_name", "rating"]).withColumnRenamed(
+        "rating", "dealer_rating_asof")
+
+
+@register("scd2_from_log")
+def _scd2_from_log(spark, d):
+    t = T(spark, d)
+    log = None
+    for v, ts in enumerate(SNAPSHOT_TIMES):
+        snap = t.snapshot("dealer", v).withColumn("_ts", F.lit(ts).cast("timestamp_ntz"))
+        log = snap if log is None else log.unionByName(snap)
+    return scd2.scd2_from_log(log, "dealer_id", "_ts").drop("_ts")
+
+
+# ----------------------------------------------------------------------------- L: KPI tables
+
 @register("sales_performance")
-def _sales_performance(spark, sf_dir):
-    return kpi.sales_performance(Tables(spark, sf_dir).sales_enriched)
+def _sales_performance(spark, d):
+    return kpi.sales_performance(T(spark, d).sales_enriched)
+
+
+@register("sales_performance_rollup")
+def _sales_performance_rollup(spark, d):
+    return kpi.sales_performance_rollup(T(spark, d).sales_enriched)
+
+
+@register("production_efficiency")
+def _production_efficiency(spark, d):
+    return kpi.production_efficiency(T(spark, d).production_enriched)
+
+
+@register("production_efficiency_rollup")
+def _production_efficiency_rollup(spark, d):
+    return kpi.production_efficiency_rollup(T(spark, d).production_enriched)
+
+
+@register("warranty_claims")
+def _warranty_claims(spark, d):
+    t = T(spark, d)
+    return kpi.warranty_claims(t.warranty_enriched, t.service_enriched)
+
+
+@register("warranty_claims_rollup")
+def _warranty_claims_rollup(spark, d):
+    t = T(spark, d)
+    return kpi.warranty_claims_rollup(t.warranty_enriched, t.service_enriched)
+
+
+def scorecard(t: Tables) -> DataFrame:
+    return kpi.dealer_scorecard(t.sales_enriched, t.service_enriched, t.warranty_enriched, t.inventory_enriched,
+                                t.dealer_parts)
+
+
+@register("dealer_scorecard")
+def _dealer_scorecard(spark, d):
+    return scorecard(T(spark, d))
+
+
+@register("tier_counts")
+def _tier_counts(spark, d):
+    return kpi.tier_counts(scorecard(T(spark, d)))
+
+
+@register("warranty_behaviour")
+def _warranty_behaviour(spark, d):
+    t = T(spark, d)
+    return anomaly.warranty_behaviour(t.warranty_enriched, t.sales_enriched)
+
+
+@register("warranty_behaviour_nojoin")
+def _warranty_behaviour_nojoin(spark, d):
+    return anomaly.warranty_behaviour(T(spark, d).warranty_enriched, None)
+
+
+@register("discount_behaviour")
+def _discount_behaviour(spark, d):
+    return anomaly.discount_behaviour(T(spark, d).sales_enriched)
+
+
+@register("daily_sales")
+def _daily_sales(spark, d):
+    return daily.daily_sales(T(spark, d).sales_enriched, AS_OF)
+
+
+@register("daily_production")
+def _daily_production(spark, d):
+    return daily.daily_production(T(spark, d).production_enriched, AS_OF)
+
+
+@register("daily_service")
+def _daily_service(spark, d):
+    return daily.daily_service(T(spark, d).service_enriched, AS_OF)
+
+
+@register("daily_warranty")
+def _daily_warranty(spark, d):
+    return daily.daily_warranty(T(spark, d).warranty_enriched, AS_OF)
+
+
+def _daily_inputs(t: Tables):
+    return (t.sales_enriched, t.production_enriched, t.service_enriched, t.warranty_enriched, t.inventory_enriched)
+
+
+@register("daily_comparison")
+def _daily_comparison(spark, d):
+    return daily.daily_comparison(*_daily_inputs(T(spark, d)), AS_OF)
+
+
+@register("daily_comparison_outer")
+def _daily_comparison_outer(spark, d):
+    return daily.daily_comparison(*_daily_inputs(T(spark, d)), AS_OF, keep_missing=True)
+
+
+@register("daily_comparison_long")
+def _daily_comparison_long(spark, d):
+    return daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF)
+
+
+@register("daily_anomaly_sales")
+def _daily_anomaly_sales(spark, d):
+    return anomaly.daily_anomaly_sales(T(spark, d).sales_enriched, AS_OF)
+
+
+@register("daily_anomaly_warranty")
+def _daily_anomaly_warranty(spark, d):
+    return anomaly.daily_anomaly_warranty(T(spark, d).warranty_enriched, AS_OF)
+
+
+@register("daily_anomaly_production")
+def _daily_anomaly_production(spark, d):
+    return anomaly.daily_anomaly_production(T(spark, d).production_enriched, AS_OF)
+
+
+@register("daily_anomaly_service")
+def _daily_anomaly_service(spark, d):
+    return anomaly.daily_anomaly_service(T(spark, d).service_enriched, AS_OF)
+
+
+def anomaly_summary(t: Tables, exclude_today: bool = False) -> DataFrame:
+    return anomaly.daily_anomaly_summary(t.sales_enriched, t.warranty_enriched, t.production_enriched,
+                                         t.service_enriched, AS_OF, exclude_today=exclude_today)
+
+
+@register("daily_anomaly_summary")
+def _daily_anomaly_summary(spark, d):
+    return anomaly_summary(T(spark, d))
+
+
+@register("daily_anomaly_summary_excl")
+def _daily_anomaly_summary_excl(spark, d):
+    return anomaly_summary(T(spark, d), exclude_today=True)
+
+
+# ----------------------------------------------------------------------------- F / M: report data
+
+@register("top5_dealers")
+def _top5(spark, d):
+    return report.top_dealers(scorecard(T(spark, d)), AS_OF, 5, best=True)
+
+
+@register("bottom5_dealers")
+def _bottom5(spark, d):
+    return report.top_dealers(scorecard(T(spark, d)), AS_OF, 5, best=False)
+
+
+@register("dealer_rank_by_month")
+def _dealer_rank_by_month(spark, d):
+    return report.dealer_rank_by_month(scorecard(T(spark, d)))
+
+
+@register("top_warranty_anomalies")
+def _top_warranty_anomalies(spark, d):
+    t = T(spark, d)
+    return report.top_anomalies(anomaly.warranty_behaviour(t.warranty_enriched, t.sales_enriched))
+
+
+@register("top_discount_anomalies")
+def _top_discount_anomalies(spark, d):
+    return report.top_anomalies(anomaly.discount_behaviour(T(spark, d).sales_enriched))
+
+
+@register("flagged_anomalies")
+def _flagged_anomalies(spark, d):
+    return report.flagged_anomalies(anomaly_summary(T(spark, d)))
+
+
+@register("pct_change_labels")
+def _pct_change_labels(spark, d):
+    return report.pct_change_labels(daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF))
+
+
+@register("report_lines")
+def _report_lines(spark, d):
+    return report.report_lines(daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF))
+
+
+@register("anomaly_lines")
+def _anomaly_lines(spark, d):
+    return report.anomaly_lines(anomaly_summary(T(spark, d)))
+
+
+@register("dealer_lines")
+def _dealer_lines(spark, d):
+    return report.dealer_lines(scorecard(T(spark, d)))
