@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Separator between hashed fields and the text that stands for NULL
 # in the null-safe variant.
 HASH_SEPARATOR = "||"
-NULL_SENTINEL = "\u0000NULL\u0000"
+NULL_SENTINEL = "\u2400"
 
 
 def row_hash(cols: Sequence[str | Column], null_safe: bool = False) -> Column:
