@@ -563,3 +563,143 @@ def _anomaly_lines(spark, d):
 @register("dealer_lines")
 def _dealer_lines(spark, d):
     return report.dealer_lines(scorecard(T(spark, d)))
+
+
+# ----------------------------------------------------------------------------- A / I: tables and streams
+
+def _event_chunks(t: Tables) -> int:
+    from ..streaming.ingest import event_chunk
+    top = t.raw("events").agg(F.max(event_chunk()).alias("c")).first()["c"]
+    return int(top) + 1 if top is not None else 0
+
+
+def _landing(spark, t: Tables, tag: str, **kw) -> str:
+    from ..session import run_dir
+    from ..streaming.ingest import land_events
+    root = run_dir(spark, tag)
+    land_events(t.raw("events"), f"{root}/landing", n_chunks=_event_chunks(t), **kw)
+    return root
+
+
+@register("ingest_events_stream")
+def _ingest_events_stream(spark, d):
+    """All delivered event files, each exactly once (no watermark: nothing dropped)."""
+    from ..streaming.ingest import read_events_stream, run_to_parquet
+    t = T(spark, d)
+    root = _landing(spark, t, "ingest")
+    run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("ingest_resume")
+def _ingest_resume(spark, d):
+    """Two runs over a growing landing folder with one checkpoint: no file is read twice."""
+    from ..session import run_dir
+    from ..streaming.ingest import land_events, read_events_stream, run_to_parquet
+    t = T(spark, d)
+    n = _event_chunks(t)
+    root = run_dir(spark, "resume")
+    half = n // 2
+    land_events(t.raw("events"), f"{root}/landing", with_late=False, with_duplicates=False, chunks=range(half))
+    run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
+    land_events(t.raw("events"), f"{root}/landing", with_late=False, with_duplicates=False,
+                chunks=range(half, n), first_index=half)
+    run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("source_file_filter")
+def _source_file_filter(spark, d):
+    """Keep rows from files whose path names a regular chunk (the re-sent file is skipped)."""
+    from ..streaming.ingest import read_events_stream, run_to_parquet
+    t = T(spark, d)
+    root = _landing(spark, t, "pathfilter")
+    run_to_parquet(read_events_stream(spark, f"{root}/landing", path_contains="/chunk_").drop("_metadata"),
+                   f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_dedup_events")
+def _stream_dedup_events(spark, d):
+    from ..streaming.ingest import dedup_events, read_events_stream, run_to_parquet
+    t = T(spark, d)
+    root = _landing(spark, t, "dedup")
+    run_to_parquet(dedup_events(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_daily_kpi")
+def _stream_daily_kpi(spark, d):
+    from ..streaming.ingest import daily_event_kpi, read_events_stream, run_to_parquet
+    t = T(spark, d)
+    root = _landing(spark, t, "dailykpi")
+    run_to_parquet(daily_event_kpi(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_row_hash")
+def _stream_row_hash(spark, d):
+    """Customer feed files streamed through cleansing + row hash (change detection column)."""
+    from ..session import run_dir
+    from ..sources.feeds import feed_schema
+    from ..streaming.ingest import CSV_OPTIONS, run_to_parquet, write_csv
+    t = T(spark, d)
+    root = run_dir(spark, "rowhash")
+    write_csv(t.feed("customer"), f"{root}/landing/customer_000", files=4)
+    r = spark.readStream.schema(feed_schema("customer"))
+    for k, v in CSV_OPTIONS.items():
+        r = r.option(k, v)
+    stream = silver.customer_snapshot(r.csv(f"{root}/landing/*")).select("customer_id", "_row_hash")
+    run_to_parquet(stream, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_scd2")
+def _stream_scd2(spark, d):
+    """Dealer snapshots arrive as files; each micro-batch is merged into the SCD2 history."""
+    from ..session import run_dir
+    from ..sources import fixtures
+    from ..sources.feeds import feed_schema
+    from ..streaming.ingest import CSV_OPTIONS, scd2_stream_apply, write_csv
+    from pyspark.sql.types import StringType, StructField
+    t = T(spark, d)
+    root = run_dir(spark, "scd2stream")
+    for v, ts in enumerate(SNAPSHOT_TIMES):
+        write_csv(fixtures.dealer_feed(spark, d, v).withColumn("_snapshot_ts", F.lit(ts)),
+                  f"{root}/landing/snap_{v:03d}")
+    schema = feed_schema("dealer").add(StructField("_snapshot_ts", StringType(), True))
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
+    for k, v in CSV_OPTIONS.items():
+        r = r.option(k, v)
+    snapshots = silver.dealer_snapshot(r.csv(f"{root}/landing/*"), keep=["_snapshot_ts"])
+    empty = scd2.empty_history(spark, t.snapshot("dealer", 0))
+    latest = scd2_stream_apply(spark, snapshots, "dealer_id", f"{root}/history", f"{root}/ckpt", empty)
+    return spark.read.parquet(latest)
+
+
+@register("overwrite_roundtrip")
+def _overwrite_roundtrip(spark, d):
+    """Full overwrite of a silver table twice (replacing schema), then read back."""
+    from ..session import run_dir
+    from ..sources.tables import write_table
+    t = T(spark, d)
+    path = run_dir(spark, "overwrite") + "/clean_sales"
+    write_table(t.sales.select("vin", "sale_date"), path)
+    write_table(t.sales, path)
+    return spark.read.parquet(path)
+
+
+@register("audit_append")
+def _audit_append(spark, d):
+    """Two runs append audit rows; the second adds a column (schema merged on read)."""
+    from ..session import run_dir
+    from ..sources.tables import append_table
+    t = T(spark, d)
+    path = run_dir(spark, "audit") + "/audit"
+    summary = anomaly_summary(t)
+    first = report.run_audit(summary, AS_OF, "run-1")
+    append_table(first, path)
+    second = report.run_audit(summary, AS_OF, "run-2").withColumn("rows_flagged_pct",
+                                                                   F.col("flags") * 100.0 / F.col("rows"))
+    append_table(second, path)
+    return spark.read.option("mergeSchema", "true").parquet(path)

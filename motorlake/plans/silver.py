@@ -49,8 +49,9 @@ def customer_snapshot(feed: DataFrame) -> DataFrame:
     return df.withColumn("_row_hash", row_hash(CUSTOMER_TRACKED))
 
 
-def dealer_snapshot(feed: DataFrame) -> DataFrame:
+def dealer_snapshot(feed: DataFrame, keep: list[str] = ()) -> DataFrame:
     df = require(feed, ["dealer_id"]).select(
+        *keep,
         "dealer_id",
         title("dealer_name").alias("dealer_name"),
         code("dealer_type").alias("dealer_type"),

@@ -572,5 +572,30 @@ q("sales_asof_dealer", f"""SELECT s.vin, s.sale_date, s.dealer_id, s.net_revenue
   AND (h.scd_end_date IS NULL OR CAST(s.sale_date AS TIMESTAMP) < h.scd_end_date)""")
 
 
+# ============================================================================ A / I: tables and streams
+
+_CHUNK = "CAST(floor(datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 3) AS BIGINT)"
+q("ingest_events_stream", "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 20 = 0")
+q("ingest_resume", "SELECT * FROM events")
+q("source_file_filter", "SELECT * FROM events")
+# Spark judges lateness with the watermark of the batch before (max event time seen two
+# batches back minus the delay); a window aggregate tests the window end.  Delivery order
+# is chunks 0,1,2,3,5,6,4,7,8,9 then the re-sent 5 %, one chunk per micro-batch.
+_LATE4 = f"((SELECT max(ts) FROM events WHERE {_CHUNK} IN (0, 1, 2, 3, 5)) - INTERVAL 3 DAY)"
+_LATE_DUPS = f"((SELECT max(ts) FROM events WHERE {_CHUNK} <= 8) - INTERVAL 3 DAY)"
+_FINAL = "((SELECT max(ts) FROM events) - INTERVAL 3 DAY)"
+_DAY_END = "CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP)"
+q("stream_dedup_events", f"SELECT * FROM events WHERE NOT ({_CHUNK} = 4 AND ts <= {_LATE4})")
+q("stream_daily_kpi", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events,
+  {from_cents(_sum_c('value'))} AS total_value FROM (
+    SELECT * FROM events WHERE NOT ({_CHUNK} = 4 AND {_DAY_END} <= {_LATE4})
+    UNION ALL SELECT * FROM events WHERE event_id % 20 = 0 AND {_DAY_END} > {_LATE_DUPS})
+  WHERE {_DAY_END} <= {_FINAL}
+  GROUP BY 1, 2""")
+q("stream_row_hash", "SELECT customer_id, _row_hash FROM customer_cur")
+q("stream_scd2", _history("dealer"))
+q("overwrite_roundtrip", "SELECT * FROM sales")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
