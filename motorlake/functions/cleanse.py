@@ -93,7 +93,7 @@ def mask_phone(c) -> Column:
 
 def mask_last4(c) -> Column:
     """Strict variant: star every digit that has four more digits anywhere after it,
-    so separators do not shield a digit (``+91-98765-43210`` -> ``+**-*****-43210``)."""
+    so separators do not shield a digit (``+91-98765-43210`` -> ``+**-*****-*3210``)."""
     return F.regexp_replace(col_(c), r"\d(?=(?:\D*\d){4})", "*")
 
 
