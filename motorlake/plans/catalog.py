@@ -14,11 +14,54 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import fixtures
 from . import silver
 
+# Silver tables in dependency order (each may read the ones before it).
+SILVER_TABLES = ["customer_cur", "dealer_cur", "vehicle_cur", "parts", "dealer_parts", "sales", "sales_enriched",
+                 "production", "production_enriched", "service", "service_enriched", "warranty",
+                 "warranty_enriched", "inventory", "inventory_enriched"]
+_STORES: dict[str, str] = {}
+
+
+def _key(sf_dir: str) -> str:
+    return sf_dir.rstrip("/")
+
+
+def activate_store(sf_dir: str, store: str) -> None:
+    """Read silver tables of ``sf_dir`` from a written store (see ``materialize_silver``)."""
+    _STORES[_key(sf_dir)] = store
+
+
+def deactivate_store(sf_dir: str) -> None:
+    _STORES.pop(_key(sf_dir), None)
+
+
+def materialize_silver(spark: SparkSession, sf_dir: str, store: str) -> None:
+    """Write every silver table once (the medallion's silver layer) and cut lineage.
+
+    Tables are written in dependency order and read back, so each is computed
+    once; gold queries then scan compact parquet instead of re-deriving silver.
+    """
+    t = Tables(spark, sf_dir)
+    for name in SILVER_TABLES:
+        path = f"{store.rstrip('/')}/{name}"
+        getattr(t, name).write.mode("overwrite").parquet(path)
+        t.__dict__[name] = spark.read.parquet(path)
+
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.store = _STORES.get(_key(sf_dir))
+
+    def __getattribute__(self, name):
+        # Silver tables come from the written store when one is active (read lazily,
+        # only the tables a query touches).
+        if name in SILVER_TABLES:
+            d = object.__getattribute__(self, "__dict__")
+            store = d.get("store")
+            if store and name not in d:
+                d[name] = d["spark"].read.parquet(f"{store.rstrip('/')}/{name}")
+        return object.__getattribute__(self, name)
 
     def raw(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)

@@ -45,24 +45,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     is spread round-robin over the cores.  On real data volumes the scan
     already has thousands of splits and this never applies.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and _rows_hint(df) > SMALL_TABLE_ROWS:
+    groups, rows = _footer(path)
+    if groups < cores and rows > SMALL_TABLE_ROWS:
         df = df.repartition(cores)
     return df
 
 
-def _rows_hint(df: DataFrame) -> int:
-    """Row count from parquet footers (metadata only, no data read)."""
-    try:
-        import pyarrow.parquet as pq
-        total = 0
-        for f in df.inputFiles():
-            path = f.replace("file://", "").replace("file:", "")
-            total += pq.ParquetFile(path).metadata.num_rows
-        return total
-    except Exception:  # noqa: BLE001 - remote storage: assume large
-        return SMALL_TABLE_ROWS + 1
+_FOOTERS: dict[str, tuple[int, int]] = {}
+
+
+def _footer(path: str) -> tuple[int, int]:
+    """(row groups, rows) from the parquet footer of a local file; remote or
+    multi-file tables report many groups (they are split by the scan)."""
+    if path not in _FOOTERS:
+        try:
+            import os
+
+            import pyarrow.parquet as pq
+            if not os.path.isfile(path):
+                raise FileNotFoundError(path)
+            meta = pq.ParquetFile(path).metadata
+            _FOOTERS[path] = (meta.num_row_groups, meta.num_rows)
+        except Exception:  # noqa: BLE001
+            _FOOTERS[path] = (1 << 30, 0)
+    return _FOOTERS[path]
 
 
 def _s(c) -> Column:
