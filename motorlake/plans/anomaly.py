@@ -59,7 +59,7 @@ def discount_behaviour(sales: DataFrame, threshold: float = 2.0) -> DataFrame:
 
 # --------------------------------------------------------------------------- table 8
 
-def _window_rows(df: DataFrame, date_col: str, as_of, days: int, exclude_today: bool) -> DataFrame:
+def _window_rows(df: DataFrame, date_col: str, as_of, days: int) -> DataFrame:
     """Rows of the baseline window [as_of - days, as_of]: a plain range on the date, pushed to the scan."""
     lo = F.date_sub(_date(as_of), days)
     return df.filter((F.col(date_col) >= lo) & (F.col(date_col) <= _date(as_of)))
@@ -98,11 +98,8 @@ def _flag2(z: str) -> Column:
 
 
 def daily_anomaly_sales(sales: DataFrame, as_of, days: int = BASELINE_DAYS, exclude_today: bool = False) -> DataFrame:
-    daily = (_window_rows(sales, "sale_date", as_of, days, exclude_today)
-             .groupBy("dealer_id", "dealer_name", F.col("sale_date").alias("day"))
-             .agg(F.sum(cents("net_revenue")).alias("rev_c"), F.count_distinct("vin").alias("units"))
-             .filter(F.col("dealer_name").isNotNull()))
-    t = _today_vs_window(daily, ["dealer_id", "dealer_name"], {"rev_c": 100, "units": 1}, as_of, exclude_today)
+    daily, entity = _domain_days("sales", sales, as_of, days)
+    t = _today_vs_window(daily, entity, {"rev_c": 100, "units": 1}, as_of, exclude_today)
     return t.select(
         F.lit("sales").alias("domain"), "dealer_id", "dealer_name",
         from_cents("rev_c").alias("daily_claims"),
@@ -118,11 +115,8 @@ def daily_anomaly_sales(sales: DataFrame, as_of, days: int = BASELINE_DAYS, excl
 
 def daily_anomaly_warranty(warranty: DataFrame, as_of, days: int = BASELINE_DAYS,
                            exclude_today: bool = False) -> DataFrame:
-    daily = (_window_rows(warranty, "claim_date", as_of, days, exclude_today)
-             .groupBy("dealer_id", "dealer_name", F.col("claim_date").alias("day"))
-             .agg(F.count("claim_id").alias("claims"), F.sum(cents("claim_amount")).alias("value_c"))
-             .filter(F.col("dealer_name").isNotNull()))
-    t = _today_vs_window(daily, ["dealer_id", "dealer_name"], {"claims": 1, "value_c": 100}, as_of, exclude_today)
+    daily, entity = _domain_days("warranty", warranty, as_of, days)
+    t = _today_vs_window(daily, entity, {"claims": 1, "value_c": 100}, as_of, exclude_today)
     return t.select(
         F.lit("warranty").alias("domain"), "dealer_id", "dealer_name",
         F.col("claims").cast("double").alias("daily_claims"),
@@ -138,11 +132,8 @@ def daily_anomaly_warranty(warranty: DataFrame, as_of, days: int = BASELINE_DAYS
 
 def daily_anomaly_production(production: DataFrame, as_of, days: int = BASELINE_DAYS,
                              exclude_today: bool = False) -> DataFrame:
-    daily = (_window_rows(production, "production_date", as_of, days, exclude_today)
-             .groupBy("plant_id", F.col("production_date").alias("day"))
-             .agg(F.sum("is_delayed").alias("_dl"), F.count("production_id").alias("_n"))
-             .withColumn("delay_h", div_half_up(F.col("_dl") * 10000, F.col("_n"))))
-    t = _today_vs_window(daily, ["plant_id"], {"delay_h": 100}, as_of, exclude_today)
+    daily, entity = _domain_days("production", production, as_of, days)
+    t = _today_vs_window(daily, entity, {"delay_h": 100}, as_of, exclude_today)
     return t.select(
         F.lit("production").alias("domain"), F.lit(None).cast("string").alias("dealer_id"),
         F.col("plant_id").alias("dealer_name"),
@@ -159,13 +150,8 @@ def daily_anomaly_production(production: DataFrame, as_of, days: int = BASELINE_
 
 def daily_anomaly_service(service_w: DataFrame, as_of, days: int = BASELINE_DAYS,
                           exclude_today: bool = False) -> DataFrame:
-    rating = F.col("customer_feedback_rating")
-    w = F.col("fanout")
-    daily = (_window_rows(service_w, "service_date", as_of, days, exclude_today)
-             .groupBy("dealer_id", F.col("service_date").alias("day"))
-             .agg(F.sum(w * rating).alias("_fs"), F.sum(F.when(rating.isNotNull(), w).otherwise(0)).alias("_fn"))
-             .withColumn("fb_h", div_half_up(F.col("_fs") * 100, F.col("_fn"))))
-    t = _today_vs_window(daily, ["dealer_id"], {"fb_h": 100}, as_of, exclude_today)
+    daily, entity = _domain_days("service", service_w, as_of, days)
+    t = _today_vs_window(daily, entity, {"fb_h": 100}, as_of, exclude_today)
     return t.select(
         F.lit("service").alias("domain"), "dealer_id", F.col("dealer_id").alias("dealer_name"),
         (F.col("fb_h").cast("double") / 100.0).alias("daily_claims"),
@@ -191,6 +177,66 @@ def daily_anomaly_summary(sales, warranty, production, service_w, as_of, days: i
     return out.withColumn("report_date", _date(as_of))
 
 
+# Per domain, the entity columns and the (metric, value column, scale) list
+# of the long form.
+LONG_METRICS = {
+    "sales": [("daily_revenue", "rev_c", 100), ("daily_units", "units", 1)],
+    "warranty": [("daily_claims", "claims", 1), ("daily_claim_value", "value_c", 100)],
+    "production": [("daily_delay_pct", "delay_h", 100)],
+    "service": [("daily_feedback", "fb_h", 100)],
+}
+
+
+def _domain_days(domain: str, df: DataFrame, as_of, days: int) -> tuple[DataFrame, list[str]]:
+    if domain == "sales":
+        daily = (_window_rows(df, "sale_date", as_of, days)
+                 .groupBy("dealer_id", "dealer_name", F.col("sale_date").alias("day"))
+                 .agg(F.sum(cents("net_revenue")).alias("rev_c"), F.count_distinct("vin").alias("units"))
+                 .filter(F.col("dealer_name").isNotNull()))
+        return daily, ["dealer_id", "dealer_name"]
+    if domain == "warranty":
+        daily = (_window_rows(df, "claim_date", as_of, days)
+                 .groupBy("dealer_id", "dealer_name", F.col("claim_date").alias("day"))
+                 .agg(F.count("claim_id").alias("claims"), F.sum(cents("claim_amount")).alias("value_c"))
+                 .filter(F.col("dealer_name").isNotNull()))
+        return daily, ["dealer_id", "dealer_name"]
+    if domain == "production":
+        daily = (_window_rows(df, "production_date", as_of, days)
+                 .groupBy("plant_id", F.col("production_date").alias("day"))
+                 .agg(F.sum("is_delayed").alias("_dl"), F.count("production_id").alias("_n"))
+                 .withColumn("delay_h", div_half_up(F.col("_dl") * 10000, F.col("_n"))))
+        return daily, ["plant_id"]
+    rating, w = F.col("customer_feedback_rating"), F.col("fanout")
+    daily = (_window_rows(df, "service_date", as_of, days)
+             .groupBy("dealer_id", F.col("service_date").alias("day"))
+             .agg(F.sum(w * rating).alias("_fs"), F.sum(F.when(rating.isNotNull(), w).otherwise(0)).alias("_fn"))
+             .withColumn("fb_h", div_half_up(F.col("_fs") * 100, F.col("_fn"))))
+    return daily, ["dealer_id"]
+
+
+def daily_anomaly_long(sales, warranty, production, service_w, as_of, days: int = BASELINE_DAYS,
+                       exclude_today: bool = False) -> DataFrame:
+    """Table 8 without the renaming loss: one row per (domain, entity, metric) with
+    value, baseline mean, z, two-sided flag and percent change."""
+    out = None
+    for domain, df in [("sales", sales), ("warranty", warranty), ("production", production), ("service", service_w)]:
+        daily, entity = _domain_days(domain, df, as_of, days)
+        metrics = LONG_METRICS[domain]
+        t = _today_vs_window(daily, entity, {v: sc for _, v, sc in metrics}, as_of, exclude_today)
+        ent_id = F.col(entity[0])
+        ent_name = F.col(entity[1]) if len(entity) > 1 else F.col(entity[0])
+        for metric, v, sc in metrics:
+            part = t.select(F.lit(domain).alias("domain"), ent_id.alias("entity_id"), ent_name.alias("entity_name"),
+                            F.lit(metric).alias("metric"),
+                            (F.col(v).cast("double") / float(sc)).alias("value"),
+                            F.col(f"avg_{v}").alias("baseline_mean"),
+                            F.col(f"z_{v}").alias("z_score"),
+                            _flag2(f"z_{v}").alias("anomaly_flag"),
+                            F.col(f"pct_{v}").alias("pct_change"))
+            out = part if out is None else out.unionByName(part)
+    return out.withColumn("report_date", _date(as_of))
+
+
 # --------------------------------------------------------------------------- rolling, every day
 
 def daily_revenue_by_dealer(sales: DataFrame) -> DataFrame:

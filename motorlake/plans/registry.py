@@ -327,11 +327,17 @@ def _row_hash(spark, d):
 
 
 def scd2_history(spark, d, dim: str, versions: int = 3) -> DataFrame:
+    """Apply the snapshots in order; each history version is written to a new folder
+    and read back (lineage cut, nothing overwritten while it is read)."""
+    from ..session import run_dir
     t = T(spark, d)
     key = DIM_KEYS[dim]
+    root = run_dir(spark, f"scd2-{dim}")
     hist = scd2.empty_history(spark, t.snapshot(dim, 0))
     for v in range(versions):
-        hist = scd2.scd2_apply(hist, t.snapshot(dim, v), key, SNAPSHOT_TIMES[v])
+        out = f"{root}/v{v:03d}"
+        scd2.scd2_apply(hist, t.snapshot(dim, v), key, SNAPSHOT_TIMES[v]).write.mode("overwrite").parquet(out)
+        hist = spark.read.parquet(out)
     return hist
 
 
@@ -507,6 +513,13 @@ def _daily_anomaly_summary(spark, d):
     return anomaly_summary(T(spark, d))
 
 
+@register("daily_anomaly_long")
+def _daily_anomaly_long(spark, d):
+    t = T(spark, d)
+    return anomaly.daily_anomaly_long(t.sales_enriched, t.warranty_enriched, t.production_enriched,
+                                      t.service_enriched, AS_OF)
+
+
 @register("daily_anomaly_summary_excl")
 def _daily_anomaly_summary_excl(spark, d):
     return anomaly_summary(T(spark, d), exclude_today=True)

@@ -229,7 +229,9 @@ def dealer_parts_feed(spark, sf_dir) -> DataFrame:
         "s_suppkey", (F.pmod(-F.col("s_suppkey"), F.lit(5))).alias("_slot"))
     p = table(spark, sf_dir, "part").filter(F.col("p_partkey") < N_PARTS).select(
         "p_partkey", (F.col("p_partkey") % 5).alias("_slot"))
-    return s.join(p, "_slot").select(
+    # The part side holds at most N_PARTS rows (unique part keys below N_PARTS): a proven
+    # bound, so it is broadcast; the 5-valued join key would otherwise skew a shuffle.
+    return s.join(F.broadcast(p), "_slot").select(
         F.concat(F.lit("P"), _s("p_partkey")).alias("part_id"),
         F.concat(F.lit("D"), _s("s_suppkey")).alias("dealer_id"),
         _s((F.col("s_suppkey") * 7 + F.col("p_partkey")) % 100).alias("available_stock"),

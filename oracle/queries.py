@@ -404,6 +404,38 @@ def daily_anomaly_service(excl=False) -> str:
   FROM ({t})"""
 
 
+def daily_anomaly_long() -> str:
+    specs = {
+        "sales": (f"""SELECT dealer_id, dealer_name, sale_date AS day, {_sum_c('net_revenue')} AS rev_c,
+            count(DISTINCT vin) AS units FROM sales_enriched WHERE {_window_filter('sale_date')}
+            GROUP BY dealer_id, dealer_name, sale_date HAVING dealer_name IS NOT NULL""",
+                  ["dealer_id", "dealer_name"], [("daily_revenue", "rev_c", 100), ("daily_units", "units", 1)]),
+        "warranty": (f"""SELECT dealer_id, dealer_name, claim_date AS day, count(claim_id) AS claims,
+            {_sum_c('claim_amount')} AS value_c FROM warranty_enriched WHERE {_window_filter('claim_date')}
+            GROUP BY dealer_id, dealer_name, claim_date HAVING dealer_name IS NOT NULL""",
+                     ["dealer_id", "dealer_name"], [("daily_claims", "claims", 1), ("daily_claim_value", "value_c", 100)]),
+        "production": (f"""SELECT plant_id, day, {half_up('dl * 10000', 'n')} AS delay_h FROM (
+            SELECT plant_id, production_date AS day, {_sum('is_delayed')} AS dl, count(production_id) AS n
+            FROM production_enriched WHERE {_window_filter('production_date')} GROUP BY plant_id, production_date)""",
+                       ["plant_id"], [("daily_delay_pct", "delay_h", 100)]),
+        "service": (f"""SELECT dealer_id, day, {half_up('fs * 100', 'fn')} AS fb_h FROM (
+            SELECT dealer_id, service_date AS day, {_sum('fanout * customer_feedback_rating')} AS fs,
+              {_sum('CASE WHEN customer_feedback_rating IS NOT NULL THEN fanout ELSE 0 END')} AS fn
+            FROM service_enriched WHERE {_window_filter('service_date')} GROUP BY dealer_id, service_date)""",
+                    ["dealer_id"], [("daily_feedback", "fb_h", 100)]),
+    }
+    parts = []
+    for dom, (daily, ent, metrics) in specs.items():
+        t = _today_vs_window(daily, ent, [v for _, v, _ in metrics], False)
+        name = ent[1] if len(ent) > 1 else ent[0]
+        for metric, v, sc in metrics:
+            parts.append(f"""SELECT '{dom}' AS domain, {ent[0]} AS entity_id, {name} AS entity_name, '{metric}' AS metric,
+              CAST({v} AS DOUBLE) / {sc}.0 AS value, mean_{v} / {sc}.0 AS baseline_mean, z_{v} AS z_score,
+              CASE WHEN abs(z_{v}) > 2 THEN 1 ELSE 0 END AS anomaly_flag, pct_{v} AS pct_change FROM ({t})""")
+    return f"SELECT *, {AS_OF} AS report_date FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+q("daily_anomaly_long", daily_anomaly_long())
 q("daily_anomaly_sales", daily_anomaly_sales())
 q("daily_anomaly_warranty", daily_anomaly_warranty())
 q("daily_anomaly_production", daily_anomaly_production())
