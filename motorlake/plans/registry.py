@@ -654,15 +654,13 @@ def _stream_daily_kpi(spark, d):
 def _stream_row_hash(spark, d):
     """Customer feed files streamed through cleansing + row hash (change detection column)."""
     from ..session import run_dir
-    from ..sources.feeds import feed_schema
-    from ..streaming.ingest import CSV_OPTIONS, run_to_parquet, write_csv
+    from ..sources.feeds import ingest_stream
+    from ..streaming.ingest import run_to_parquet, write_csv
     t = T(spark, d)
     root = run_dir(spark, "rowhash")
     write_csv(t.feed("customer"), f"{root}/landing/customer_000", files=4)
-    r = spark.readStream.schema(feed_schema("customer"))
-    for k, v in CSV_OPTIONS.items():
-        r = r.option(k, v)
-    stream = silver.customer_snapshot(r.csv(f"{root}/landing/*")).select("customer_id", "_row_hash")
+    feed = ingest_stream(spark, f"{root}/landing/*", "customer", path_contains="customer")
+    stream = silver.customer_snapshot(feed).select("customer_id", "_row_hash")
     run_to_parquet(stream, f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
@@ -670,21 +668,20 @@ def _stream_row_hash(spark, d):
 @register("stream_scd2")
 def _stream_scd2(spark, d):
     """Dealer snapshots arrive as files; each micro-batch is merged into the SCD2 history."""
+    from pyspark.sql.types import StringType, StructField
+
     from ..session import run_dir
     from ..sources import fixtures
-    from ..sources.feeds import feed_schema
-    from ..streaming.ingest import CSV_OPTIONS, scd2_stream_apply, write_csv
-    from pyspark.sql.types import StringType, StructField
+    from ..sources.feeds import feed_schema, ingest_stream
+    from ..streaming.ingest import FILES_PER_CHUNK, scd2_stream_apply, write_csv
     t = T(spark, d)
     root = run_dir(spark, "scd2stream")
     for v, ts in enumerate(SNAPSHOT_TIMES):
         write_csv(fixtures.dealer_feed(spark, d, v).withColumn("_snapshot_ts", F.lit(ts)),
                   f"{root}/landing/snap_{v:03d}")
     schema = feed_schema("dealer").add(StructField("_snapshot_ts", StringType(), True))
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
-    for k, v in CSV_OPTIONS.items():
-        r = r.option(k, v)
-    snapshots = silver.dealer_snapshot(r.csv(f"{root}/landing/*"), keep=["_snapshot_ts"])
+    feed = ingest_stream(spark, f"{root}/landing/*", schema=schema, max_files_per_trigger=FILES_PER_CHUNK)
+    snapshots = silver.dealer_snapshot(feed, keep=["_snapshot_ts"])
     empty = scd2.empty_history(spark, t.snapshot("dealer", 0))
     latest = scd2_stream_apply(spark, snapshots, "dealer_id", f"{root}/history", f"{root}/ckpt", empty)
     return spark.read.parquet(latest)

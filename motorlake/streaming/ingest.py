@@ -31,7 +31,6 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": TS_FORMAT, "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 TRANSACTION_WATERMARK = "3 days"
-MASTER_WATERMARK = "7 days"
 EVENT_BASE_DAY = "2024-01-01"
 DAYS_PER_CHUNK = 3
 LATE_CHUNK, LATE_AFTER = 4, 6          # chunk 4 is delivered after chunk 6

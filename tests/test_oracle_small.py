@@ -1,7 +1,6 @@
 """Registered queries against their DuckDB oracle on the smallest fixture."""
 
 import math
-import os
 
 import duckdb
 import pytest
