@@ -713,3 +713,30 @@ def _audit_append(spark, d):
                                                                    F.col("flags") * 100.0 / F.col("rows"))
     append_table(second, path)
     return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+# ----------------------------------------------------------------------------- end to end
+
+def _pipeline_gold(spark, d, table: str) -> DataFrame:
+    """Land the ten fixture feeds as CSV, run bronze -> silver -> gold, read one gold table."""
+    from ..session import run_dir
+    from ..sources import fixtures
+    from ..sources.feeds import FEED_COLUMNS
+    from ..streaming.ingest import write_csv
+    from .pipeline import run_pipeline
+    root = run_dir(spark, "pipeline")
+    cores = spark.sparkContext.defaultParallelism
+    for feed in FEED_COLUMNS:
+        write_csv(fixtures.feed(spark, d, feed), f"{root}/landing/{feed}/batch_000", files=cores)
+    gold = run_pipeline(spark, f"{root}/landing", f"{root}/work", AS_OF, SNAPSHOT_TIMES[1], gold_tables=[table])
+    return spark.read.parquet(gold[table])
+
+
+@register("pipeline_sales_performance")
+def _pipeline_sales_performance(spark, d):
+    return _pipeline_gold(spark, d, "sales_performance")
+
+
+@register("pipeline_dealer_scorecard")
+def _pipeline_dealer_scorecard(spark, d):
+    return _pipeline_gold(spark, d, "dealer_scorecard")

@@ -629,5 +629,9 @@ q("stream_scd2", _history("dealer"))
 q("overwrite_roundtrip", "SELECT * FROM sales")
 
 
+Q["pipeline_sales_performance"] = Q["sales_performance"]
+Q["pipeline_dealer_scorecard"] = Q["dealer_scorecard"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
