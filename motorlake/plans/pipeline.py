@@ -13,8 +13,10 @@ should be a folder in the cluster's shared storage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import scd2
+from ..operators.dedup import dedup_first
 from ..sources.feeds import FEED_COLUMNS, ingest_stream
 from ..streaming.ingest import run_to_parquet
 from . import anomaly, daily, kpi, silver
@@ -29,7 +31,9 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str) -> dict[str, str
     paths = {}
     for feed in FEED_COLUMNS:
         out = f"{root}/bronze/{feed}"
-        run_to_parquet(ingest_stream(spark, f"{landing}/{feed}/*", feed), out, f"{root}/checkpoints/bronze_{feed}")
+        stream = ingest_stream(spark, f"{landing}/{feed}/*", feed).withColumn(
+            "_ingest_ts", F.col("_metadata.file_modification_time"))
+        run_to_parquet(stream, out, f"{root}/checkpoints/bronze_{feed}")
         paths[feed] = out
     return paths
 
@@ -41,10 +45,13 @@ def _write(df: DataFrame, path: str) -> DataFrame:
 
 def build_silver(spark: SparkSession, bronze: dict[str, str], root: str, as_of: str,
                  previous_history: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    b = {k: spark.read.parquet(v) for k, v in bronze.items()}
+    raw = {k: spark.read.parquet(v) for k, v in bronze.items()}
+    b = {k: v.drop("_ingest_ts") for k, v in raw.items()}
     out: dict[str, DataFrame] = {}
     for dim, (feed, key, clean) in DIMENSIONS.items():
-        snap = clean(b[feed])
+        # bronze keeps every delivered snapshot: the latest row per key is the one to merge
+        latest = dedup_first(raw[feed], [key], [-F.unix_micros("_ingest_ts")]).drop("_ingest_ts")
+        snap = clean(latest)
         prev = previous_history.get(dim) if previous_history else None
         hist = spark.read.parquet(prev) if prev else scd2.empty_history(spark, snap)
         hist = _write(scd2.scd2_apply(hist, snap, key, as_of), f"{root}/silver/{dim}_scd2")
