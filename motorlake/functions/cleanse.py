@@ -107,6 +107,16 @@ def month_label(d) -> Column:
     return F.date_format(col_(d), "yyyy-MM")
 
 
+def calendar_from_label(label: str, prefix: str) -> dict[str, Column]:
+    """Year, month and 'yyyyQq' derived from a 'yyyy-MM' label (NULL label -> NULLs and '')."""
+    lab = F.col(label)
+    year = F.substring(lab, 1, 4).cast("int")
+    month = F.substring(lab, 6, 2).cast("int")
+    quarter = F.call_function("div", month + 2, F.lit(3))
+    return {f"{prefix}_year": year, f"{prefix}_month": month,
+            f"{prefix}_quarter": F.concat_ws("Q", year.cast("string"), quarter.cast("string"))}
+
+
 def calendar(df: DataFrame, date_col: str, prefix: str) -> DataFrame:
     """Year, month, 'yyyy-MM' and 'yyyyQq' columns from a DATE."""
     d = F.col(date_col)

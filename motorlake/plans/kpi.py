@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleanse import calendar, month_label
+from ..functions.cleanse import calendar_from_label, month_label
 from ..functions.exact import avg_cents_2dp, cents, div_half_up, from_cents, pct_2dp
 
 SALES_KEYS = ["sale_year", "sale_month", "sale_month_label", "sale_quarter", "model_code", "model_name",
@@ -28,6 +28,20 @@ TIERS = [(80, "PLATINUM"), (60, "GOLD"), (40, "SILVER")]
 LOWEST_TIER = "BRONZE"
 
 
+def _monthly(df: DataFrame, date_col: str, prefix: str, keys: list[str]):
+    """Group on the 'yyyy-MM' label only; year, month and quarter are functions of it
+    and are derived after the aggregation (narrower shuffle rows)."""
+    label = f"{prefix}_month_label"
+    derived = {f"{prefix}_year", f"{prefix}_month", f"{prefix}_quarter"}
+    df = df.withColumn(label, month_label(date_col))
+    group = [k for k in keys if k not in derived]
+
+    def finish(agg: DataFrame) -> DataFrame:
+        cols = {k: v for k, v in calendar_from_label(label, prefix).items() if k in keys}
+        return agg.withColumns(cols) if cols else agg
+    return df.groupBy(*group), finish
+
+
 def _count_distinct_key(keys: list[str], c: str) -> Column:
     """count(DISTINCT c): inside a group keyed by c it is 1, or 0 for the NULL key,
     so no distinct aggregation (and no Expand) is planned for it."""
@@ -39,8 +53,8 @@ def _count_distinct_key(keys: list[str], c: str) -> Column:
 # --------------------------------------------------------------------------- L1
 
 def sales_performance(sales: DataFrame, keys: list[str] = SALES_KEYS) -> DataFrame:
-    df = calendar(sales, "sale_date", "sale")
-    agg = df.groupBy(*keys).agg(
+    grouped, finish = _monthly(sales, "sale_date", "sale", keys)
+    agg = grouped.agg(
         F.count_distinct("vin").alias("units_sold"),
         F.sum(cents("sale_amount")).alias("_gross_c"),
         F.sum(cents("net_revenue")).alias("_net_c"),
@@ -51,7 +65,7 @@ def sales_performance(sales: DataFrame, keys: list[str] = SALES_KEYS) -> DataFra
         F.count_distinct("dealer_id").alias("active_dealers"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
-    agg = agg.withColumn("models_sold", _count_distinct_key(keys, "model_code"))
+    agg = finish(agg).withColumn("models_sold", _count_distinct_key(keys, "model_code"))
     return agg.select(
         *keys, "units_sold",
         from_cents("_gross_c").alias("gross_revenue"),
@@ -69,9 +83,9 @@ def sales_performance(sales: DataFrame, keys: list[str] = SALES_KEYS) -> DataFra
 
 def sales_performance_rollup(sales: DataFrame) -> DataFrame:
     """Without model keys, so models_sold is a real distinct count."""
-    df = calendar(sales, "sale_date", "sale")
     keys = SALES_ROLLUP_KEYS
-    agg = df.groupBy(*keys).agg(
+    grouped, finish = _monthly(sales, "sale_date", "sale", keys)
+    agg = grouped.agg(
         F.count_distinct("vin").alias("units_sold"),
         F.sum(cents("sale_amount")).alias("_gross_c"),
         F.sum(cents("net_revenue")).alias("_net_c"),
@@ -81,7 +95,7 @@ def sales_performance_rollup(sales: DataFrame) -> DataFrame:
         F.count_distinct("dealer_id").alias("active_dealers"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
-    return agg.select(
+    return finish(agg).select(
         *keys, "units_sold",
         from_cents("_gross_c").alias("gross_revenue"),
         from_cents("_net_c").alias("net_revenue"),
@@ -96,8 +110,8 @@ def sales_performance_rollup(sales: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- L2
 
 def production_efficiency(production: DataFrame, keys: list[str] = PRODUCTION_KEYS) -> DataFrame:
-    df = calendar(production, "production_date", "prod")
-    agg = df.groupBy(*keys).agg(
+    grouped, finish = _monthly(production, "production_date", "prod", keys)
+    agg = grouped.agg(
         F.count("production_id").alias("total_units"),
         F.sum("is_completed").alias("completed_units"),
         F.sum("is_delayed").alias("delayed_units"),
@@ -107,7 +121,7 @@ def production_efficiency(production: DataFrame, keys: list[str] = PRODUCTION_KE
         F.max("production_time_minutes").alias("max_production_time"),
         F.count_distinct("vin").alias("unique_vins_produced"),
     )
-    return agg.select(
+    return finish(agg).select(
         *keys, "total_units", "completed_units", "delayed_units",
         (div_half_up(F.col("_min_sum") * 100, "_min_n").cast("double") / 100.0).alias("avg_production_time_minutes"),
         "min_production_time", "max_production_time", "unique_vins_produced",
@@ -153,8 +167,8 @@ def _avg_rating(s, n) -> Column:
 # --------------------------------------------------------------------------- L3
 
 def warranty_claims(warranty: DataFrame, service_w: DataFrame, keys: list[str] = WARRANTY_KEYS) -> DataFrame:
-    df = calendar(warranty, "claim_date", "claim")
-    agg = df.groupBy(*keys).agg(
+    grouped, finish = _monthly(warranty, "claim_date", "claim", keys)
+    agg = grouped.agg(
         F.count("claim_id").alias("total_claims"),
         F.sum("is_approved").alias("approved_claims"),
         F.sum("is_rejected").alias("rejected_claims"),
@@ -163,7 +177,7 @@ def warranty_claims(warranty: DataFrame, service_w: DataFrame, keys: list[str] =
         F.max("claim_amount").alias("max_claim_amount"),
         F.count_distinct("vin").alias("unique_vehicles_claimed"),
     )
-    out = agg.select(
+    out = finish(agg).select(
         *keys, "total_claims", "approved_claims", "rejected_claims",
         from_cents("_amt_c").alias("total_claim_amount"),
         avg_cents_2dp("_amt_c", "_amt_n").alias("avg_claim_amount"),
@@ -227,10 +241,14 @@ def tier(score) -> Column:
 
 def dealer_scorecard(sales: DataFrame, service_w: DataFrame, warranty: DataFrame, inventory: DataFrame,
                      dealer_parts: DataFrame) -> DataFrame:
-    s = sales.withColumns({"sale_month_label": month_label("sale_date"),
-                           "sale_year": F.year("sale_date"), "sale_month": F.month("sale_date")})
-    sales_agg = s.groupBy("dealer_id", "dealer_name", "dealer_region", "dealer_type", "dealer_rating",
-                          "sale_year", "sale_month", "sale_month_label").agg(
+    # Dealer attributes come from a join with a dimension unique on dealer_id, so they
+    # are functions of it: carried through the aggregate with max() rather than grouped
+    # on (narrower keys in the distinct-count Expand).
+    card_keys = ["dealer_id", "sale_year", "sale_month", "sale_month_label"]
+    attrs = ["dealer_name", "dealer_region", "dealer_type", "dealer_rating"]
+    grouped, finish = _monthly(sales, "sale_date", "sale", card_keys)
+    sales_agg = finish(grouped.agg(
+        *[F.max(a).alias(a) for a in attrs],
         F.count_distinct("vin").alias("units_sold"),
         F.sum(cents("net_revenue")).alias("_net_c"),
         F.sum(cents("sale_amount")).alias("_sale_c"),
@@ -239,7 +257,7 @@ def dealer_scorecard(sales: DataFrame, service_w: DataFrame, warranty: DataFrame
         F.count("discount").alias("_disc_n"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("model_code").alias("models_sold"),
-    ).select(
+    )).select(
         "dealer_id", "dealer_name", "dealer_region", "dealer_type", "dealer_rating",
         "sale_year", "sale_month", "sale_month_label", "units_sold",
         from_cents("_net_c").alias("total_revenue"),
