@@ -106,9 +106,11 @@ def domain_days(sales, production, service_w, warranty, inventory_w, as_of) -> d
 def _json_pair(df: DataFrame, domain: str) -> DataFrame:
     metrics = [c for c in df.columns if c != "day"]
     js = F.to_json(F.struct(*[F.col(c) for c in metrics]))
-    return (df.withColumn("_js", js).groupBy(F.lit(domain).alias("domain"))
+    # a key-less aggregate always yields one row, so the outer form keeps every domain
+    return (df.withColumn("_js", js)
               .agg(F.max(F.when(F.col("day") == TODAY, F.col("_js"))).alias("today_metrics"),
-                   F.max(F.when(F.col("day") == YESTERDAY, F.col("_js"))).alias("yesterday_metrics")))
+                   F.max(F.when(F.col("day") == YESTERDAY, F.col("_js"))).alias("yesterday_metrics"))
+              .select(F.lit(domain).alias("domain"), "today_metrics", "yesterday_metrics"))
 
 
 def daily_comparison(sales, production, service_w, warranty, inventory_w, as_of, keep_missing: bool = False) -> DataFrame:
