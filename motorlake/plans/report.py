@@ -112,8 +112,11 @@ def production_month_totals(production_eff: DataFrame, as_of) -> DataFrame:
         F.sum("delayed_units").alias("delayed_units"),
         F.sum(F.round(F.col("avg_production_time_minutes") * 100).cast("long")).alias("_s"),
         F.count("avg_production_time_minutes").alias("_n"),
+        F.sum(F.round(F.col("avg_production_time_minutes") * 100).cast("long") * F.col("total_units")).alias("_ws"),
+        F.sum(F.when(F.col("avg_production_time_minutes").isNotNull(), F.col("total_units"))).alias("_wn"),
     ).select("total_units", "completed_units", "delayed_units",
-             (div_half_up("_s", "_n").cast("double") / 100.0).alias("avg_of_avg_production_time"))
+             (div_half_up("_s", "_n").cast("double") / 100.0).alias("avg_of_avg_production_time"),
+             (div_half_up("_ws", "_wn").cast("double") / 100.0).alias("unit_weighted_avg_production_time"))
 
 
 def run_audit(summary: DataFrame, as_of, run_ts: str) -> DataFrame:

@@ -172,7 +172,10 @@ q("production_efficiency_rollup", production_efficiency([k for k in PROD_KEYS if
 q("production_month_totals", f"""SELECT {_sum('total_units')} AS total_units, {_sum('completed_units')} AS completed_units,
   {_sum('delayed_units')} AS delayed_units,
   CAST({half_up(_sum(cents('avg_production_time_minutes')), 'count(avg_production_time_minutes)')} AS DOUBLE) / 100.0
-    AS avg_of_avg_production_time
+    AS avg_of_avg_production_time,
+  CAST({half_up(_sum(cents('avg_production_time_minutes') + ' * total_units'),
+                _sum('CASE WHEN avg_production_time_minutes IS NOT NULL THEN total_units END'))} AS DOUBLE) / 100.0
+    AS unit_weighted_avg_production_time
   FROM ({production_efficiency(PROD_KEYS)}) WHERE prod_month_label = {AS_OF_MONTH}""")
 
 SERVICE_MEASURES = f"""{_sum('CASE WHEN service_id IS NOT NULL THEN fanout ELSE 0 END')} AS visits,
