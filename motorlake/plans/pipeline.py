@@ -21,6 +21,10 @@ from ..sources.feeds import FEED_COLUMNS, ingest_stream
 from ..streaming.ingest import run_to_parquet
 from . import anomaly, daily, kpi, silver
 
+FACT_DATES = {"sales": "sale_date", "production": "production_date", "service": "service_date",
+              "warranty": "claim_date"}
+DAILY_GOLD = {"daily_comparison", "daily_anomaly_summary"}
+
 DIMENSIONS = {"customer": ("customer", "customer_id", silver.customer_snapshot),
               "dealer": ("dealer", "dealer_id", silver.dealer_snapshot),
               "vehicle": ("vehicle_master", "vin", silver.vehicle_snapshot)}
@@ -38,13 +42,32 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str) -> dict[str, str
     return paths
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+def _write(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
+    """Write a silver table; with ``month_of`` it is partitioned by the 'yyyy-MM' of that
+    date column (``_month``), so date-window readers can prune partitions."""
+    w = df
+    if month_of:
+        w = df.withColumn("_month", F.date_format(month_of, "yyyy-MM"))
+        w.write.mode("overwrite").partitionBy("_month").parquet(path)
+    else:
+        w.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _months(as_of: str, days: int) -> list[str]:
+    import datetime as dt
+    end = dt.date.fromisoformat(str(as_of))
+    start = end - dt.timedelta(days=days)
+    out, d = [], start.replace(day=1)
+    while d <= end:
+        out.append(d.strftime("%Y-%m"))
+        d = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    return out
+
+
 def build_silver(spark: SparkSession, bronze: dict[str, str], root: str, as_of: str,
-                 previous_history: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                 previous_history: dict[str, str] | None = None,
+                 partition_by_month: bool = False) -> dict[str, DataFrame]:
     raw = {k: spark.read.parquet(v) for k, v in bronze.items()}
     b = {k: v.drop("_ingest_ts") for k, v in raw.items()}
     out: dict[str, DataFrame] = {}
@@ -61,13 +84,18 @@ def build_silver(spark: SparkSession, bronze: dict[str, str], root: str, as_of:
     dealer_parts = _write(silver.clean_dealer_parts(b["dealer_parts"]), f"{root}/silver/dealer_parts")
     sales = silver.sales_enriched(silver.clean_sales(b["sales"]), out["customer_cur"], out["dealer_cur"],
                                   out["vehicle_cur"])
-    out["sales"] = _write(sales, f"{root}/silver/sales")
+    def m(fact):
+        return FACT_DATES[fact] if partition_by_month else None
+    out["sales"] = _write(sales, f"{root}/silver/sales", m("sales"))
     out["production"] = _write(silver.production_enriched(silver.clean_production(b["production"]),
-                                                          out["vehicle_cur"]), f"{root}/silver/production")
+                                                          out["vehicle_cur"]), f"{root}/silver/production",
+                               m("production"))
     out["service"] = _write(silver.service_enriched(silver.clean_service(b["service"]), b["warranty"],
-                                                    out["dealer_cur"], out["vehicle_cur"]), f"{root}/silver/service")
+                                                    out["dealer_cur"], out["vehicle_cur"]), f"{root}/silver/service",
+                            m("service"))
     out["warranty"] = _write(silver.warranty_enriched(silver.clean_warranty(b["warranty"]), b["parts"],
-                                                      out["vehicle_cur"], out["dealer_cur"]), f"{root}/silver/warranty")
+                                                      out["vehicle_cur"], out["dealer_cur"]), f"{root}/silver/warranty",
+                             m("warranty"))
     out["inventory"] = _write(silver.inventory_enriched(silver.clean_inventory(b["inventory"]), parts, dealer_parts),
                               f"{root}/silver/inventory")
     out["dealer_parts"] = dealer_parts
@@ -90,18 +118,26 @@ GOLD = {
 
 
 def build_gold(s: dict[str, DataFrame], root: str, as_of: str, tables=None) -> dict[str, str]:
+    """Daily tables read only the month partitions overlapping their 31-day window
+    when silver is month-partitioned (the filter on ``_month`` prunes the scan)."""
+    window = {}
+    for fact in FACT_DATES:
+        df = s[fact]
+        window[fact] = df.filter(F.col("_month").isin(_months(as_of, 31))) if "_month" in df.columns else df
+    recent = {**s, **window}
     paths = {}
     for name in tables or GOLD:
         paths[name] = f"{root}/gold/{name}"
-        GOLD[name](s, as_of).write.mode("overwrite").parquet(paths[name])
+        GOLD[name](recent if name in DAILY_GOLD else s, as_of).write.mode("overwrite").parquet(paths[name])
     return paths
 
 
 def run_pipeline(spark: SparkSession, landing: str, root: str, as_of: str, dim_as_of: str,
-                 previous_history: dict[str, str] | None = None, gold_tables=None) -> dict[str, str]:
+                 previous_history: dict[str, str] | None = None, gold_tables=None,
+                 partition_by_month: bool = False) -> dict[str, str]:
     """Run all layers; returns the gold table paths.  ``dim_as_of`` stamps the SCD2
     versions opened by this run; ``as_of`` is the report date; ``gold_tables``
     limits the gold layer (default: all)."""
     bronze = ingest_bronze(spark, landing, root)
-    s = build_silver(spark, bronze, root, dim_as_of, previous_history)
+    s = build_silver(spark, bronze, root, dim_as_of, previous_history, partition_by_month)
     return build_gold(s, root, as_of, gold_tables)
