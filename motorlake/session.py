@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,28 +43,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured by the operator and is read from
-    the session.  Only when it is unset (local tests) do we create one.
+    On a cluster the folder is configured by the operator and is read from the session; a
+    session without one is an error there. Only a local master (tests) gets a folder of its own.
     """
     sc = spark.sparkContext
-    d = None
-    try:
-        d = sc.getCheckpointDir()
-    except Exception:  # pragma: no cover - older API
-        d = None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="motorlake-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="motorlake-ckpt-"))
+        d = sc.getCheckpointDir()
     return d
 
 
 def run_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique sub-folder of the shared folder for one run."""
-    base = shared_dir(spark)
-    path = base.rstrip("/") + f"/{tag}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """The path of a fresh sub-folder of the shared folder; Spark's writers create it."""
+    return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
