@@ -174,3 +174,20 @@ def word_hasher() -> WordHashes:
     if "words" not in _ENCODERS:
         _ENCODERS["words"] = WordHashes()
     return _ENCODERS["words"]
+
+
+def word_batches(ids: list, texts: list, most_words: int = 400_000):
+    """Split a batch into runs of at most ``most_words`` words (one text at least):
+    yields (ids, word hashes of each text)."""
+    hasher = word_hasher()
+    kept, words, n = [], [], 0
+    for i, text in zip(ids, texts):
+        h = hasher.of(text)
+        if kept and n + len(h) // 8 > most_words:
+            yield kept, words
+            kept, words, n = [], [], 0
+        kept.append(i)
+        words.append(h)
+        n += len(h) // 8
+    if kept:
+        yield kept, words

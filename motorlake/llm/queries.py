@@ -17,20 +17,45 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024, 2)
 
 
+def op4_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.grammar_ids import encode_and_read
     return encode_and_read(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 1)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.line_dedup import deduplicate_lines
+    return deduplicate_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.language_id import identify, train
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 512)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.near_dup import near_duplicate_classes
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_pack": op2_pack,
+    "op4_contaminated": op4_contaminated,
     "op5_token_ids": op5_token_ids,
+    "op6_line_dedup": op6_line_dedup,
+    "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
