@@ -17,6 +17,12 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024, 2)
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.surrogates import replace_personal_data
+    key = spark.conf.get("spark.motorlake.surrogateKey", "set a secret key on the session")
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode())
+
+
 def op4_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -50,6 +56,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_pack": op2_pack,
+    "op3_surrogates": op3_surrogates,
     "op4_contaminated": op4_contaminated,
     "op5_token_ids": op5_token_ids,
     "op6_line_dedup": op6_line_dedup,
