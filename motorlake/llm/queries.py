@@ -12,6 +12,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.rule_ensemble import score_documents, train
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024, 2)
@@ -38,6 +44,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.robust_outliers import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.language_id import identify, train
     docs = table(spark, sf_dir, "documents")
@@ -55,11 +66,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_pack": op2_pack,
     "op3_surrogates": op3_surrogates,
     "op4_contaminated": op4_contaminated,
     "op5_token_ids": op5_token_ids,
     "op6_line_dedup": op6_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
