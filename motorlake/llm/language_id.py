@@ -208,15 +208,17 @@ _MODELS: dict[int, _Words] = {}
 
 
 def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, n_spans) of every whole text.
+    """``docs`` plus lang_pred, score and n_spans, found from every whole text.
 
     ``lang_pred`` is the language with most letters among the Viterbi spans, ``score`` its share of the
     letters, ``n_spans`` how many spans there are. NULL texts and texts without a letter (or a
     model that learned nothing) are ``und`` with score 0. Ties go to the language first in order.
-    Other columns are ignored; each row gives one row.
+    Only the text enters a prediction; each row gives one row; a clashing column of the three is replaced.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
     key = id(broadcast)
+    own = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "n_spans")]
+    names = [f.name for f in own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = broadcast.value
@@ -226,7 +228,7 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
         words = _MODELS[key]
         for b in batches:
             langs, scores, n_spans = [], [], []
-            for text in b.column(2).to_pylist():
+            for text in b.column(names.index("text")).to_pylist():
                 label, letters = spans(words, text, switch) if text and m.languages else (np.zeros(0, np.int64), np.zeros(0))
                 if not len(label):
                     langs.append(UNDETERMINED)
@@ -238,12 +240,11 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
                 langs.append(m.languages[top])
                 scores.append(float(share[top] / letters.sum()))
                 n_spans.append(1 + int((label[1:] != label[:-1]).sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(n_spans, pa.int32())],
-                                             names=["doc_id", "held_out", "lang_pred", "score", "n_spans"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(n_spans, pa.int32())],
+                                             names=[*names, "lang_pred", "score", "n_spans"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text") \
-        .mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, n_spans int")
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own) + "lang_pred string, score double, n_spans int"
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def label_spans(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> DataFrame:

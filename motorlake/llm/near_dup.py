@@ -195,7 +195,10 @@ def near_duplicate_classes(docs: DataFrame, near: float = NEAR, k: int = SHINGLE
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without near duplicates: the least doc_id of each class stays, all columns kept.
 
-    A class without any id, and rows that repeat a kept id, leave one row by id and text.
+    Rows that repeat a kept id leave one row. Rows without an id take no part in the classes:
+    they stay, one for each text.
     """
-    kept = near_duplicate_classes(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.filter("doc_id IS NOT NULL")
+    kept = saved(near_duplicate_classes(named, **options).filter("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
+    one = named.join(kept, named["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return one.union(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from motorlake.llm.common import table
 
@@ -50,9 +51,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.common import held_out
     from motorlake.llm.language_id import identify, train
     docs = table(spark, sf_dir, "documents")
-    return identify(docs, train(docs))
+    return identify(docs.select("doc_id", "text"), train(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_spans")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

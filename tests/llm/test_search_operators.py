@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from motorlake.llm import decontaminate, language_id, line_dedup, near_dup
-from motorlake.llm.common import shingle_hashes, word_hasher
+from motorlake.llm.common import held_out, shingle_hashes, word_hasher
 
 SMALL = "/root/testdata/sf0.001/documents.parquet"
 
@@ -71,7 +71,7 @@ def test_one_of_each_stays(corpus):
     got = near_dup.keep_one_of_each(corpus)
     assert got.columns == corpus.columns
     ids = [r.doc_id for r in got.collect()]
-    assert len(ids) == len(set(ids)) and {3, 300, 302, 303, 304, 307} <= set(ids) and not {200, 301, 308} & set(ids)
+    assert len(ids) == len(set(ids)) and {3, 300, 302, 303, 304, 307, None} <= set(ids) and not {200, 301, 308} & set(ids)
 
 
 def test_prob_minhash_estimates_probability_jaccard():
@@ -221,14 +221,14 @@ def test_viterbi_finds_the_best_path(seed):
 def test_language_accuracy_and_edge_cases(spark):
     docs = spark.read.parquet(SMALL.replace("0.001", "0.01"))
     model = language_id.train(docs, 400)
-    got = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
+    got = language_id.identify(docs, model).filter(held_out(F.col("doc_id")))
     right, n = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 150 and right > 0.97
     texts = {lang: next(r.text for r in docs.filter(F.col("lang") == lang).orderBy(F.desc("n_chars")).take(1)).split()[:80] for lang in ("de", "es")}
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 34 ... !"), (4, "日本語 한국어"), (4, " ".join(texts["de"] + texts["es"])), (None, "the of and")],
                                 "doc_id long, text string").withColumn("lang_pred", F.lit("clash"))
-    out = sorted(((r.doc_id or 0, r.lang_pred, r.held_out) for r in language_id.identify(odd, model).collect()))
-    assert [x[1] for x in out if x[0] in (1, 2, 3)] == ["und"] * 3 and out[0][1] != "und" and out[0][2]
+    out = sorted(((r.doc_id or 0, r.lang_pred, r.score) for r in language_id.identify(odd, model).collect()))
+    assert [x[1:] for x in out if x[0] in (1, 2, 3)] == [("und", 0.0)] * 3 and out[0][1] == "en" and out[0][2] == 1.0
     spans = [(r.lang, r.n_words) for r in language_id.label_spans(odd, model).filter("doc_id = 4").orderBy("span").collect() if r.n_words > 20]
     assert [s for s, _ in spans] == ["de", "es"] and all(abs(n - 80) <= 3 for _, n in spans)
 
