@@ -29,49 +29,11 @@ PART_MADE_DATE = "2023-01-01"
 PART_EXPIRY_DATE = "2028-01-01"
 RESTOCK_DATE = "2024-01-15"
 REORDER_LEVEL = "25"
-N_PARTS = 50
-
-
-# Tables at or below this many rows are dimension-sized and never rebalanced.
-SMALL_TABLE_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one test table.
-
-    A file written as a single row group is a single scan split, which would
-    run every operator before the first shuffle in one task.  When the scan
-    has fewer splits than the cluster has cores and the table is not tiny, it
-    is spread round-robin over the cores.  On real data volumes the scan
-    already has thousands of splits and this never applies.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    groups, rows = _footer(path)
-    if groups < cores and rows > SMALL_TABLE_ROWS:
-        df = df.repartition(cores)
-    return df
-
-
-_FOOTERS: dict[str, tuple[int, int]] = {}
-
-
-def _footer(path: str) -> tuple[int, int]:
-    """(row groups, rows) from the parquet footer of a local file; remote or
-    multi-file tables report many groups (they are split by the scan)."""
-    if path not in _FOOTERS:
-        try:
-            import os
-
-            import pyarrow.parquet as pq
-            if not os.path.isfile(path):
-                raise FileNotFoundError(path)
-            meta = pq.ParquetFile(path).metadata
-            _FOOTERS[path] = (meta.num_row_groups, meta.num_rows)
-        except Exception:  # noqa: BLE001
-            _FOOTERS[path] = (1 << 30, 0)
-    return _FOOTERS[path]
+    """Scan one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -151,20 +113,23 @@ def sales_feed(spark, sf_dir) -> DataFrame:
 
 
 def production_feed(spark, sf_dir) -> DataFrame:
+    """The vin is that of the order's least part; an order without a line has none. Every 53rd plant is missing."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    made = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("l_partkey"))
+    o = o.join(made, o.o_orderkey == made.l_orderkey, "left")
     k = F.col("o_orderkey")
     minutes = (F.when(k % 37 == 0, F.lit("0"))
                 .when(k % 43 == 0, F.lit("n/a"))
                 .otherwise(_s(idiv(cents("o_totalprice"), F.lit(100000)))))
     return o.select(
         _s(k).alias("production_id"),
-        vin_of(k % 200).alias("vin"),
+        F.when(F.col("l_partkey").isNotNull(), vin_of("l_partkey")).alias("vin"),
         date_text(F.col("o_orderdate")).alias("production_date"),
         minutes.alias("production_time_minutes"),
         _map(F.col("o_orderstatus"), PRODUCTION_STATUS).alias("status"),
         _pick(k, SHIFTS).alias("shift"),
         F.concat(F.lit("line-"), _s(k % 5)).alias("assembly_line"),
-        F.concat(F.lit("pl"), _s(k % 10)).alias("plant_id"),
+        F.when(k % 53 != 0, F.concat(F.lit("pl"), _s(k % 10))).alias("plant_id"),
     )
 
 
@@ -173,7 +138,7 @@ def service_feed(spark, sf_dir) -> DataFrame:
     return li.select(
         F.concat(F.lit("S"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("service_id"),
         vin_of("l_partkey").alias("vin"),
-        F.concat(F.lit("D"), _s("l_suppkey")).alias("dealer_id"),
+        F.when(F.col("l_orderkey") % 59 != 0, F.concat(F.lit("D"), _s("l_suppkey"))).alias("dealer_id"),
         date_text(F.col("l_shipdate")).alias("service_date"),
         _map(F.col("l_returnflag"), SERVICE_TYPES).alias("service_type"),
         money_text(cents("l_extendedprice")).alias("service_cost"),
@@ -189,7 +154,7 @@ def warranty_feed(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("W"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("claim_id"),
         vin_of("l_partkey").alias("vin"),
         F.concat(F.lit("D"), _s("l_suppkey")).alias("dealer_id"),
-        F.concat(F.lit("P"), _s(F.col("l_partkey") % N_PARTS)).alias("part_id"),
+        F.concat(F.lit("P"), _s("l_partkey")).alias("part_id"),
         date_text(F.col("l_shipdate")).alias("claim_date"),
         _map(F.col("l_returnflag"), CLAIM_STATUS).alias("claim_status"),
         money_text(idiv(cents("l_extendedprice"), F.lit(10))).alias("claim_amount"),
@@ -197,19 +162,21 @@ def warranty_feed(spark, sf_dir) -> DataFrame:
 
 
 def inventory_feed(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    return p.select(
-        F.concat(F.lit("I"), _s(k)).alias("inventory_id"),
-        F.concat(F.lit("P"), _s(k % N_PARTS)).alias("part_id"),
-        F.concat(F.lit("wh"), _s(k % 4)).alias("warehouse_id"),
-        _s("p_size").alias("stock_quantity"),
+    """A part lies in warehouse s % 4 of every supplier s that has sold it."""
+    li = table(spark, sf_dir, "lineitem")
+    at = li.select("l_partkey", (F.col("l_suppkey") % 4).alias("_w")).distinct()
+    k, w = F.col("l_partkey"), F.col("_w")
+    return at.select(
+        F.concat(F.lit("I"), _s(k), F.lit("-"), _s(w)).alias("inventory_id"),
+        F.concat(F.lit("P"), _s(k)).alias("part_id"),
+        F.concat(F.lit("wh"), _s(w)).alias("warehouse_id"),
+        _s((k * 13 + w * 7) % 60).alias("stock_quantity"),
         F.lit(REORDER_LEVEL).alias("reorder_level"),
     )
 
 
 def parts_feed(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") < N_PARTS)
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     return p.select(
         F.concat(F.lit("P"), _s(k)).alias("part_id"),
@@ -224,17 +191,12 @@ def parts_feed(spark, sf_dir) -> DataFrame:
 
 
 def dealer_parts_feed(spark, sf_dir) -> DataFrame:
-    """Dealers stock the parts p with (p + s) % 5 = 0: an equi-join on p % 5."""
-    s = table(spark, sf_dir, "supplier").select(
-        "s_suppkey", (F.pmod(-F.col("s_suppkey"), F.lit(5))).alias("_slot"))
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") < N_PARTS).select(
-        "p_partkey", (F.col("p_partkey") % 5).alias("_slot"))
-    # The part side holds at most N_PARTS rows (unique part keys below N_PARTS): a proven
-    # bound, so it is broadcast; the 5-valued join key would otherwise skew a shuffle.
-    return s.join(F.broadcast(p), "_slot").select(
-        F.concat(F.lit("P"), _s("p_partkey")).alias("part_id"),
-        F.concat(F.lit("D"), _s("s_suppkey")).alias("dealer_id"),
-        _s((F.col("s_suppkey") * 7 + F.col("p_partkey")) % 100).alias("available_stock"),
+    """A dealer stocks every part it has sold."""
+    sold = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    return sold.select(
+        F.concat(F.lit("P"), _s("l_partkey")).alias("part_id"),
+        F.concat(F.lit("D"), _s("l_suppkey")).alias("dealer_id"),
+        _s((F.col("l_suppkey") * 7 + F.col("l_partkey")) % 100).alias("available_stock"),
         F.lit(RESTOCK_DATE).alias("last_restock_date"),
     )
 

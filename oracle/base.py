@@ -119,18 +119,19 @@ FEEDS = {
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
       JOIN customer c ON o.o_custkey = c.c_custkey JOIN nat ON c.c_nationkey = nat.n_nationkey""",
     "f_production": f"""SELECT CAST(o_orderkey AS VARCHAR) AS production_id,
-        {vin('o_orderkey % 200')} AS vin,
+        CASE WHEN m.l_partkey IS NOT NULL THEN {vin('m.l_partkey')} END AS vin,
         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS production_date,
         CASE WHEN o_orderkey % 37 = 0 THEN '0' WHEN o_orderkey % 43 = 0 THEN 'n/a'
              ELSE CAST({cents('o_totalprice')} // 100000 AS VARCHAR) END AS production_time_minutes,
         CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN ' Delayed' WHEN 'O' THEN 'in progress' END AS status,
         {pick('o_orderkey', ['morning', 'evening ', 'night'])} AS shift,
         'line-' || CAST(o_orderkey % 5 AS VARCHAR) AS assembly_line,
-        'pl' || CAST(o_orderkey % 10 AS VARCHAR) AS plant_id
-      FROM orders""",
+        CASE WHEN o_orderkey % 53 <> 0 THEN 'pl' || CAST(o_orderkey % 10 AS VARCHAR) END AS plant_id
+      FROM orders LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1) m
+        ON o_orderkey = m.l_orderkey""",
     "f_service": f"""SELECT 'S' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS service_id,
         {vin('l.l_partkey')} AS vin,
-        'D' || CAST(l.l_suppkey AS VARCHAR) AS dealer_id,
+        CASE WHEN l.l_orderkey % 59 <> 0 THEN 'D' || CAST(l.l_suppkey AS VARCHAR) END AS dealer_id,
         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS service_date,
         CASE l.l_returnflag WHEN 'R' THEN 'repair' WHEN 'A' THEN ' accident' WHEN 'N' THEN 'routine' END AS service_type,
         {money(PRICE_C)} AS service_cost,
@@ -140,27 +141,27 @@ FEEDS = {
     "f_warranty": f"""SELECT 'W' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS claim_id,
         {vin('l.l_partkey')} AS vin,
         'D' || CAST(l.l_suppkey AS VARCHAR) AS dealer_id,
-        'P' || CAST(l.l_partkey % 50 AS VARCHAR) AS part_id,
+        'P' || CAST(l.l_partkey AS VARCHAR) AS part_id,
         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS claim_date,
         CASE l.l_returnflag WHEN 'A' THEN 'approved ' WHEN 'R' THEN 'Rejected' WHEN 'N' THEN ' pending' END AS claim_status,
         {money(f'{PRICE_C} // 10')} AS claim_amount
       FROM lineitem l WHERE l.l_linestatus = 'F'""",
-    "f_inventory": """SELECT 'I' || CAST(p_partkey AS VARCHAR) AS inventory_id,
-        'P' || CAST(p_partkey % 50 AS VARCHAR) AS part_id,
-        'wh' || CAST(p_partkey % 4 AS VARCHAR) AS warehouse_id,
-        CAST(p_size AS VARCHAR) AS stock_quantity,
+    "f_inventory": """SELECT DISTINCT 'I' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey % 4 AS VARCHAR) AS inventory_id,
+        'P' || CAST(l_partkey AS VARCHAR) AS part_id,
+        'wh' || CAST(l_suppkey % 4 AS VARCHAR) AS warehouse_id,
+        CAST((l_partkey * 13 + l_suppkey % 4 * 7) % 60 AS VARCHAR) AS stock_quantity,
         '25' AS reorder_level
-      FROM part""",
+      FROM lineitem""",
     "f_parts": f"""SELECT 'P' || CAST(p_partkey AS VARCHAR) AS part_id, p_name AS part_name, p_type AS category,
         'S' || CAST(p_partkey % 10 AS VARCHAR) AS supplier_id,
         {money(cents('p_retailprice'))} AS unit_cost,
         '2023-01-01' AS manufacture_date, '2028-01-01' AS expiry_date,
         CAST(p_partkey % 5 + 1 AS VARCHAR) AS quality_rating
-      FROM part WHERE p_partkey < 50""",
-    "f_dealer_parts": """SELECT 'P' || CAST(p.p_partkey AS VARCHAR) AS part_id, 'D' || CAST(s.s_suppkey AS VARCHAR) AS dealer_id,
-        CAST((s.s_suppkey * 7 + p.p_partkey) % 100 AS VARCHAR) AS available_stock,
+      FROM part""",
+    "f_dealer_parts": """SELECT DISTINCT 'P' || CAST(l_partkey AS VARCHAR) AS part_id, 'D' || CAST(l_suppkey AS VARCHAR) AS dealer_id,
+        CAST((l_suppkey * 7 + l_partkey) % 100 AS VARCHAR) AS available_stock,
         '2024-01-15' AS last_restock_date
-      FROM supplier s JOIN part p ON p.p_partkey % 5 = (5 - s.s_suppkey % 5) % 5 WHERE p.p_partkey < 50""",
+      FROM lineitem""",
 }
 
 
@@ -298,16 +299,15 @@ SILVER = {
         CASE WHEN TRY_CAST(customer_feedback_rating AS INTEGER) BETWEEN 1 AND 5
              THEN TRY_CAST(customer_feedback_rating AS INTEGER) END AS customer_feedback_rating
       FROM service_dd""",
-    "claims_per_vin": """SELECT vin, count(*) AS claim_rows, count(claim_id) AS claims_with_id
-      FROM f_warranty WHERE vin IS NOT NULL GROUP BY vin""",
-    "service_enriched": """SELECT s.*, d.dealer_name, d.region AS dealer_region, d.dealer_type,
-        v.model_code, v.model_name, v.fuel_type,
-        greatest(coalesce(cv.claim_rows, 0), 1) AS fanout,
-        coalesce(cv.claims_with_id, 0) AS warranty_rows,
-        CASE WHEN cv.claims_with_id > 0 THEN 1 ELSE 0 END AS is_warranty_claim
-      FROM service s LEFT JOIN claims_per_vin cv ON s.vin = cv.vin
+    "service_pairs": """SELECT s.*, d.dealer_name, d.region AS dealer_region, d.dealer_type,
+        v.model_code, v.model_name, v.fuel_type, c.claim_id,
+        CASE WHEN c.claim_id IS NOT NULL THEN 1 ELSE 0 END AS is_warranty_claim
+      FROM service s LEFT JOIN f_warranty c ON s.vin = c.vin
       LEFT JOIN dealer_cur d ON s.dealer_id = d.dealer_id
       LEFT JOIN vehicle_cur v ON s.vin = v.vin""",
+    "service_enriched": """SELECT * EXCLUDE (claim_id, is_warranty_claim), count(*) AS fanout,
+        count(claim_id) AS warranty_rows, max(is_warranty_claim) AS is_warranty_claim
+      FROM service_pairs GROUP BY ALL""",
     "warranty_dd": dedup(
         "(SELECT * FROM f_warranty WHERE vin IS NOT NULL AND TRY_CAST(claim_amount AS DOUBLE) >= 0)",
         ["claim_id"],
@@ -343,13 +343,13 @@ SILVER = {
         CASE WHEN coalesce(TRY_CAST(stock_quantity AS INTEGER), 0) < coalesce(TRY_CAST(reorder_level AS INTEGER), 0)
              THEN 1 ELSE 0 END AS is_below_reorder
       FROM inventory_dd""",
-    "dealers_per_part": "SELECT part_id, count(*) AS dealer_rows FROM dealer_parts GROUP BY part_id",
-    "inventory_enriched": f"""SELECT i.*, p.part_name, p.category, p.supplier_id, p.unit_cost, p.manufacture_date,
-        p.expiry_date, p.quality_rating,
-        greatest(coalesce(dp.dealer_rows, 0), 1) AS fanout,
+    "inventory_pairs": f"""SELECT i.*, p.part_name, p.category, p.supplier_id, p.unit_cost, p.manufacture_date,
+        p.expiry_date, p.quality_rating, dp.dealer_id, dp.dealer_available_stock,
         {from_cents(f"i.stock_quantity * {cents('p.unit_cost')}")} AS inventory_value
       FROM inventory i LEFT JOIN parts p ON i.part_id = p.part_id
-      LEFT JOIN dealers_per_part dp ON i.part_id = dp.part_id""",
+      LEFT JOIN dealer_parts dp ON i.part_id = dp.part_id""",
+    "inventory_enriched": """SELECT * EXCLUDE (dealer_id, dealer_available_stock), count(*) AS fanout
+      FROM inventory_pairs GROUP BY ALL""",
 }
 
 BASE = {**FEEDS, **SILVER}
