@@ -1,17 +1,17 @@
 """Slowly changing dimension, type 2.
 
-``scd2_apply`` merges one snapshot into a history in a single pass with one
-``as_of`` time: the current versions are joined to the snapshot on the key
-(one shuffle of current rows + snapshot; closed history is passed through
-untouched), changed versions are closed at ``as_of`` and new/changed rows
-open a version starting at ``as_of``.  The result is a new DataFrame to be
-written to a new location: a table is never overwritten while it is read.
+``scd2_apply`` merges one snapshot into a history with one ``as_of`` time: one full outer join of the
+current versions and the snapshot closes changed versions and opens new ones; closed history
+passes by untouched. ``VersionedHistory`` keeps a history on storage: every run writes the current
+rows and the rows it closed to a folder of its own and commits it last, so a run can be
+repeated, nothing is overwritten while it is read, and closed rows are written once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType, TimestampNTZType
@@ -45,29 +45,84 @@ def changed_rows(snapshot: DataFrame, history: DataFrame, key: str, hash_col: st
     return snapshot.join(cur, [key, hash_col], "left_anti")
 
 
-def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, as_of, hash_col: str = "_row_hash",
-               close_missing: bool = False) -> DataFrame:
+def merge_current(current: DataFrame, snapshot: DataFrame, key: str, as_of, hash_col: str = "_row_hash",
+                  close_missing: bool = False) -> DataFrame:
+    """The rows of ``current`` after a snapshot: kept or closed, and the versions it opens."""
     ts = _ts(as_of)
-    attrs = [c for c in snapshot.columns]
+    attrs = list(snapshot.columns)
     src = dedup_first(snapshot, [key])  # one row per key: duplicate keys cannot open two versions
-    closed_before = history.filter(~F.col("is_current"))
-    cur = history.filter(F.col("is_current"))
-
-    s = src.select(F.col(key).alias("_k"), F.col(hash_col).alias("_sh"), F.lit(True).alias("_in_src"))
-    j = cur.join(s, cur[key] == s["_k"], "left")
-    changed = F.col("_in_src") & (F.col(hash_col) != F.col("_sh"))
-    if close_missing:
-        changed = changed | F.col("_in_src").isNull()
-    cur_out = j.withColumns({
-        "scd_end_date": F.when(changed, ts).otherwise(F.col("scd_end_date")),
-        "is_current": F.when(changed, F.lit(False)).otherwise(F.lit(True)),
-    }).drop("_k", "_sh", "_in_src")
-
-    opened = (changed_rows(src, history, key, hash_col)
-              .withColumns({"_ingest_ts": ts, "scd_start_date": ts,
-                            "scd_end_date": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}))
-    cols = attrs + SCD_COLS
-    return (closed_before.select(*cols).unionByName(cur_out.select(*cols)).unionByName(opened.select(*cols)))
+    c = current.select(F.col(key).alias("_ck"), F.struct(*attrs, *SCD_COLS).alias("_c"))
+    s = src.select(F.col(key).alias("_sk"), F.struct(*attrs).alias("_s"))
+    old, new = F.col("_c"), F.col("_s")
+    differs = F.coalesce(old[hash_col] != new[hash_col], F.lit(True))
+    closes = old.isNotNull() & F.when(new.isNotNull(), differs).otherwise(F.lit(close_missing))
+    opens = new.isNotNull() & (old.isNull() | differs)
+    kept = F.struct(*(old[a].alias(a) for a in attrs), old["_ingest_ts"].alias("_ingest_ts"),
+                    old["scd_start_date"].alias("scd_start_date"),
+                    F.when(closes, ts).otherwise(old["scd_end_date"]).alias("scd_end_date"), (~closes).alias("is_current"))
+    opened = F.struct(*(new[a].alias(a) for a in attrs), ts.alias("_ingest_ts"), ts.alias("scd_start_date"),
+                      F.lit(None).cast("timestamp_ntz").alias("scd_end_date"), F.lit(True).alias("is_current"))
+    rows = F.array_compact(F.array(F.when(old.isNotNull(), kept), F.when(opens, opened)))
+    return c.join(s, F.col("_ck") == F.col("_sk"), "full").select(F.explode(rows).alias("_r")).select("_r.*")
+
+
+def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, as_of, hash_col: str = "_row_hash",
+               close_missing: bool = False) -> DataFrame:
+    cols = [*snapshot.columns, *SCD_COLS]
+    merged = merge_current(history.filter(F.col("is_current")), snapshot, key, as_of, hash_col, close_missing)
+    return history.filter(~F.col("is_current")).select(*cols).unionByName(merged.select(*cols))
+
+
+class VersionedHistory:
+    """An SCD2 history under ``root``: data/v=<n>/is_current=<b> folders and a table of commits.
+
+    The history of version n is the current rows of n and the closed rows of all committed
+    versions up to n. A folder without a commit is ignored and rewritten by the next run.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def commits(self) -> list[tuple[int, str]]:
+        try:
+            rows = self.spark.read.schema("v int, as_of string").parquet(f"{self.root}/commits").distinct().collect()
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return []
+        return sorted((r["v"], r["as_of"]) for r in rows)
+
+    def latest(self, below: int | None = None) -> int | None:
+        """The highest committed version (below a given one), None without any."""
+        found = [v for v, _ in self.commits() if below is None or v < below]
+        return max(found, default=None)
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        version = self.latest() if version is None else version
+        if version is None:
+            return None
+        committed = [v for v, _ in self.commits() if v <= version]
+        rows = self.spark.read.parquet(f"{self.root}/data").withColumn("is_current", F.col("is_current").cast("boolean"))
+        mine = (F.col("v") == version) | (~F.col("is_current") & F.col("v").isin(committed))
+        return rows.filter(mine).drop("v")
+
+    def write(self, version: int, rows: DataFrame, as_of: str) -> None:
+        """Write a version's current and newly closed rows, then commit it."""
+        if version in [v for v, _ in self.commits()] and self.latest() != version:
+            raise ValueError(f"version {version} of {self.root} has successors")
+        rows.write.mode("overwrite").partitionBy("is_current").parquet(f"{self.root}/data/v={version:06d}")
+        self.spark.createDataFrame([(version, str(as_of))], "v int, as_of string").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
+    def merge(self, snapshot: DataFrame, key: str, as_of, **options) -> DataFrame:
+        """Merge a snapshot into the latest version and commit the result as the next one."""
+        done = self.commits()
+        if done and str(as_of) < max(t for _, t in done):
+            raise ValueError(f"as_of {as_of} lies before the latest commit of {self.root}")
+        last = self.latest()
+        history = self.read(last) if last is not None else empty_history(self.spark, snapshot)
+        version = (last or 0) + 1
+        self.write(version, merge_current(history.filter(F.col("is_current")), snapshot, key, as_of, **options), as_of)
+        return self.read(version)
 
 
 def current_view(history: DataFrame) -> DataFrame:

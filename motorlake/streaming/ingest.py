@@ -13,10 +13,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType)
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType)
 
 from ..functions.exact import cents, from_cents
 from ..operators import scd2
+from ..operators.dedup import dedup_first
+from ..sources import feeds
 
 # Event file layout and the stream semantics asked for.
 EVENT_SCHEMA = StructType([
@@ -31,11 +33,11 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": TS_FORMAT, "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 TRANSACTION_WATERMARK = "3 days"
-EVENT_BASE_DAY = "2024-01-01"
+MASTER_WATERMARK = "7 days"            # dimension feeds may be later than transactions
 DAYS_PER_CHUNK = 3
-LATE_CHUNK, LATE_AFTER = 4, 6          # chunk 4 is delivered after chunk 6
 DUPLICATE_MODULUS = 20                 # every 20th event (5 %) is sent again at the end
-FILES_PER_CHUNK = 2
+FILES_PER_EPOCH = 1000                 # files of one micro-batch of a feed; more make more batches
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def csv_reader_options(reader):
@@ -44,46 +46,38 @@ def csv_reader_options(reader):
     return reader
 
 
-def write_csv(df: DataFrame, path: str, files: int = FILES_PER_CHUNK) -> None:
-    w = df.repartition(files).write.mode("overwrite")
+def write_csv(df: DataFrame, path: str) -> None:
+    w = df.write.mode("overwrite")
     for k, v in CSV_OPTIONS.items():
         w = w.option(k, v)
     w.csv(path)
 
 
-def event_chunk(ts_col: str = "ts"):
-    return F.floor(F.datediff(F.to_date(F.col(ts_col)), F.lit(EVENT_BASE_DAY).cast("date")) / DAYS_PER_CHUNK)
+def stage_events(events: DataFrame, staging: str) -> list[int | None]:
+    """One partitioned write of all events by chunk: ``DAYS_PER_CHUNK`` days from the data's own first
+    day, events without a time in a chunk of their own (None). Returns the chunks in time order."""
+    first = events.agg(F.to_date(F.min("ts")).alias("d")).first()["d"]
+    chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / DAYS_PER_CHUNK).cast("int")
+    events.withColumn("_chunk", chunk).write.mode("overwrite").partitionBy("_chunk").parquet(staging)
+    found = events.sparkSession.read.parquet(staging).select(F.col("_chunk").cast("int")).distinct().collect() if first else []
+    return sorted((r["_chunk"] for r in found), key=lambda c: (c is None, c or 0))
 
 
-def delivery_plan(n_chunks: int) -> list[int]:
-    order = [c for c in range(n_chunks) if c != LATE_CHUNK]
-    if LATE_CHUNK < n_chunks:
-        order.insert(order.index(LATE_AFTER) + 1 if LATE_AFTER in order else len(order), LATE_CHUNK)
-    return order
+def land_chunks(spark: SparkSession, staging: str, landing: str, chunks: Sequence[int | None]) -> None:
+    """Deliver staged chunks as CSV folders, one after another, so file times follow delivery; each
+    chunk's write reads its own partition only."""
+    staged = spark.read.schema(StructType([*EVENT_SCHEMA, StructField("_chunk", IntegerType(), True)])).parquet(staging)
+    for c in chunks:
+        name = "none" if c is None else f"{c:05d}"
+        write_csv(staged.filter(F.col("_chunk").eqNullSafe(F.lit(c).cast("int"))).drop("_chunk"), f"{landing}/chunk_{name}")
 
 
-def land_events(events: DataFrame, landing: str, with_late: bool = True, with_duplicates: bool = True,
-                chunks: Sequence[int] | None = None, n_chunks: int = 10, first_index: int = 0) -> list[str]:
-    """Write the event table as CSV files in delivery order, one folder per chunk.
+def land_copies(events: DataFrame, landing: str) -> None:
+    """Deliver the re-sent events."""
+    write_csv(events.filter(F.col("event_id") % DUPLICATE_MODULUS == 0), f"{landing}/dups")
 
-    Each chunk is a distributed write of the rows of ``DAYS_PER_CHUNK`` days.
-    Folders are written one after another, so file times follow delivery order.
-    """
-    ev = events.withColumn("_chunk", event_chunk())
-    order = list(chunks) if chunks is not None else (delivery_plan(n_chunks) if with_late else list(range(n_chunks)))
-    paths = []
-    for i, c in enumerate(order, start=first_index):
-        p = f"{landing}/chunk_{i:03d}"
-        write_csv(ev.filter(F.col("_chunk") == c).drop("_chunk"), p)
-        paths.append(p)
-    if with_duplicates:
-        p = f"{landing}/dups_{first_index + len(order):03d}"
-        write_csv(events.filter(F.col("event_id") % DUPLICATE_MODULUS == 0), p)
-        paths.append(p)
-    return paths
-
-
-def read_events_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = FILES_PER_CHUNK,
+
+def read_events_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None,
                        path_contains: str | None = None) -> DataFrame:
     reader = spark.readStream.schema(EVENT_SCHEMA)
     reader = csv_reader_options(reader)
@@ -123,24 +117,56 @@ def daily_event_kpi(stream: DataFrame, watermark: str = TRANSACTION_WATERMARK) -
                       from_cents("_v").alias("total_value"))
 
 
+def master_changes(stream: DataFrame, key: str, time_col: str, watermark: str = MASTER_WATERMARK) -> DataFrame:
+    """Dimension rows once for each key and row hash while copies are at most ``watermark`` late."""
+    return stream.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key, "_row_hash"])
+
+
 def scd2_stream_apply(spark: SparkSession, snapshots_stream: DataFrame, key: str, history_root: str,
-                      checkpoint: str, empty: DataFrame) -> str:
-    """Apply each micro-batch (a dimension snapshot with ``_snapshot_ts``) to the
-    SCD2 history.  Version n+1 is written to a new folder; a batch replayed after
-    a failure rewrites its own folder only (idempotent per epoch)."""
-    state = {"latest": None}
+                      checkpoint: str, empty: DataFrame) -> scd2.VersionedHistory:
+    """Merge each micro-batch of dimension snapshots (with ``_snapshot_ts``) into a ``VersionedHistory``.
+
+    Epoch e writes version e + 1 from the highest committed version below it, so a restarted
+    query goes on from what is committed and a replayed batch gives the same version again. The
+    snapshots of a batch and the current rows form one change log, merged in one pass.
+    """
+    store = scd2.VersionedHistory(spark, history_root)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        prev = spark.read.parquet(state["latest"]) if state["latest"] else empty
-        for ts_row in batch.select("_snapshot_ts").distinct().orderBy("_snapshot_ts").collect():
-            ts = ts_row[0]
-            snap = batch.filter(F.col("_snapshot_ts") == ts).drop("_snapshot_ts")
-            prev = scd2.scd2_apply(prev, snap, key, ts)
-        out = f"{history_root}/v{epoch:05d}"
-        prev.write.mode("overwrite").parquet(out)
-        state["latest"] = out
+        base = store.latest(below=epoch + 1)
+        now = (store.read(base) if base is not None else empty).filter("is_current")
+        ts = F.col("_snapshot_ts").cast("timestamp_ntz")
+        new = dedup_first(batch.withColumn("_snapshot_ts", ts), [key, "_snapshot_ts"])
+        log = new.withColumnsRenamed({"_snapshot_ts": "_ts"}).withColumn("_ingest_ts", F.col("_ts")).unionByName(
+            now.withColumn("_ts", F.col("scd_start_date")).drop("scd_start_date", "scd_end_date", "is_current"))
+        rows = scd2.scd2_from_log(log, key, "_ts").drop("_ts").select(*empty.columns)
+        store.write(epoch + 1, rows, f"epoch {epoch}")
 
     q = (snapshots_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return state["latest"]
+    return store
+
+
+def ingest_feed(spark: SparkSession, landing: str, out: str, checkpoint: str, feed: str, multi_line: bool = False) -> DataFrame:
+    """Read newly landed CSV files of a feed once, by column name, into Parquet under ``out``.
+
+    The file source only tracks the files; each batch's files are read by ``feeds.read_feed``, so their
+    columns may be reordered, missing or new. Every epoch writes its own folder (a replay rewrites
+    it), malformed rows included (see ``rejected_rows``). Returns the well-formed rows with the
+    columns of all epochs.
+    """
+    def apply(batch: DataFrame, epoch: int) -> None:
+        files = [r["path"] for r in batch.select("path").collect()]     # the files of one trigger
+        feeds.read_feed_rows(spark, files, feed, multi_line).write.mode("overwrite").parquet(f"{out}/epoch={epoch:06d}")
+
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("maxFilesPerTrigger", FILES_PER_EPOCH).load(landing).select("path")
+    q = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.read.option("mergeSchema", "true").parquet(out)
+    return rows.filter("_malformed IS NULL").drop("epoch", "_malformed", "_file")
+
+
+def rejected_rows(spark: SparkSession, out: str) -> DataFrame:
+    """(_file, _malformed): the rows that ``ingest_feed`` could not read."""
+    return spark.read.option("mergeSchema", "true").parquet(out).filter("_malformed IS NOT NULL").select("_file", "_malformed")
