@@ -9,25 +9,26 @@ from pyspark.sql import functions as F
 # Patterns and replacement tokens (ASCII classes only, so every
 # regex engine agrees on what matches).
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE_PATTERN = r"\+?[0-9]{2,3}[- ][0-9]{5}[- ][0-9]{5}|[0-9]{10}"
-EMAIL_TOKEN = "[EMAIL]"
-PHONE_TOKEN = "[PHONE]"
+PHONE_PATTERN = r"(?:\+|\b)[0-9]{2,3}[- ][0-9]{5}[- ][0-9]([0-9]{4})\b|\b[0-9]{6}([0-9]{4})\b"
+PHONE_MASK = "******"          # before the last four digits
 
 
-def scrub(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.regexp_replace(c, EMAIL_PATTERN, EMAIL_TOKEN), PHONE_PATTERN, PHONE_TOKEN)
+def scrub(text: Column, emails: Column) -> Column:
+    """The text with each of its e-mails hashed and each phone number masked but for its last four digits."""
+    hashed = F.aggregate(emails, text, lambda t, e: F.replace(t, e, F.sha2(e, 256)))
+    return F.regexp_replace(hashed, PHONE_PATTERN, PHONE_MASK + "$1$2")
 
 
 def scrub_text(df: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per document: e-mail and phone counts, the hashes of the e-mails found,
-    and the length of the scrubbed text."""
-    t = F.col(col)
-    emails = F.regexp_extract_all(t, F.lit(EMAIL_PATTERN), 0)
-    return df.select(
+    """Per document: e-mail and phone counts, the hashes of the e-mails found and the scrubbed text.
+
+    E-mails are looked for once; phones are counted where no e-mail stands."""
+    found = df.select(key, F.col(col).alias("_t"), F.regexp_extract_all(F.col(col), F.lit(EMAIL_PATTERN), 0).alias("_e"))
+    phones = F.regexp_count(F.regexp_replace("_t", EMAIL_PATTERN, ""), F.lit(PHONE_PATTERN))
+    return found.select(
         key,
-        F.regexp_count(t, F.lit(EMAIL_PATTERN)).cast("long").alias("n_emails"),
-        F.regexp_count(F.regexp_replace(t, EMAIL_PATTERN, EMAIL_TOKEN), F.lit(PHONE_PATTERN)).cast("long").alias("n_phones"),
-        F.array_join(F.transform(emails, lambda e: F.sha2(e, 256)), ",").alias("email_hashes"),
-        F.length(scrub(t)).cast("long").alias("scrubbed_chars"),
+        F.size("_e").cast("long").alias("n_emails"),
+        phones.cast("long").alias("n_phones"),
+        F.array_join(F.transform("_e", lambda e: F.sha2(e, 256)), ",").alias("email_hashes"),
+        scrub(F.col("_t"), F.col("_e")).alias("scrubbed_text"),
     )

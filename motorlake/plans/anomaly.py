@@ -202,12 +202,14 @@ def _domain_days(domain: str, df: DataFrame, as_of, days: int) -> tuple[DataFram
         return daily, ["dealer_id", "dealer_name"]
     if domain == "production":
         daily = (_window_rows(df, "production_date", as_of, days)
+                 .filter(F.col("plant_id").isNotNull())
                  .groupBy("plant_id", F.col("production_date").alias("day"))
                  .agg(F.sum("is_delayed").alias("_dl"), F.count("production_id").alias("_n"))
                  .withColumn("delay_h", div_half_up(F.col("_dl") * 10000, F.col("_n"))))
         return daily, ["plant_id"]
     rating, w = F.col("customer_feedback_rating"), F.col("fanout")
     daily = (_window_rows(df, "service_date", as_of, days)
+             .filter(F.col("dealer_id").isNotNull())
              .groupBy("dealer_id", F.col("service_date").alias("day"))
              .agg(F.sum(w * rating).alias("_fs"), F.sum(F.when(rating.isNotNull(), w).otherwise(0)).alias("_fn"))
              .withColumn("fb_h", div_half_up(F.col("_fs") * 100, F.col("_fn"))))

@@ -10,7 +10,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.cleanse import safe_date
 from ..sources import fixtures
 from . import silver
 
@@ -18,20 +20,6 @@ from . import silver
 SILVER_TABLES = ["customer_cur", "dealer_cur", "vehicle_cur", "parts", "dealer_parts", "sales", "sales_enriched",
                  "production", "production_enriched", "service", "service_enriched", "warranty",
                  "warranty_enriched", "inventory", "inventory_enriched"]
-_STORES: dict[str, str] = {}
-
-
-def _key(sf_dir: str) -> str:
-    return sf_dir.rstrip("/")
-
-
-def activate_store(sf_dir: str, store: str) -> None:
-    """Read silver tables of ``sf_dir`` from a written store (see ``materialize_silver``)."""
-    _STORES[_key(sf_dir)] = store
-
-
-def deactivate_store(sf_dir: str) -> None:
-    _STORES.pop(_key(sf_dir), None)
 
 
 def materialize_silver(spark: SparkSession, sf_dir: str, store: str) -> None:
@@ -48,10 +36,11 @@ def materialize_silver(spark: SparkSession, sf_dir: str, store: str) -> None:
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: str | None = None):
+        """``store``: where ``materialize_silver`` has written the silver tables, to read them from there."""
         self.spark = spark
         self.sf_dir = sf_dir
-        self.store = _STORES.get(_key(sf_dir))
+        self.store = store
 
     def __getattribute__(self, name):
         # Silver tables come from the written store when one is active (read lazily,
@@ -114,7 +103,7 @@ class Tables:
 
     @cached_property
     def service_enriched(self) -> DataFrame:
-        return silver.service_enriched(self.service, self.feed("warranty"), self.dealer_cur, self.vehicle_cur)
+        return silver.service_enriched(self.service, silver.claims_per_vin(self.feed("warranty")), self.dealer_cur, self.vehicle_cur)
 
     @cached_property
     def warranty(self) -> DataFrame:
@@ -124,6 +113,11 @@ class Tables:
     def warranty_enriched(self) -> DataFrame:
         return silver.warranty_enriched(self.warranty, self.feed("parts"), self.vehicle_cur, self.dealer_cur)
 
+    @cached_property
+    def claims(self) -> DataFrame:
+        """Claims with their dealer, for plans that use nothing of the part or vehicle."""
+        return silver.claims_with_dealer(self.warranty, self.dealer_cur)
+
     @cached_property
     def parts(self) -> DataFrame:
         return silver.clean_parts(self.feed("parts"))
@@ -138,4 +132,36 @@ class Tables:
 
     @cached_property
     def inventory_enriched(self) -> DataFrame:
-        return silver.inventory_enriched(self.inventory, self.parts, self.dealer_parts)
+        return silver.inventory_enriched(self.inventory, self.parts, silver.dealers_per_part(self.dealer_parts))
+
+
+class RecentTables(Tables):
+    """Tables whose service, warranty and production facts hold the business keys with a row in the
+    ``days`` up to ``as_of`` only.
+
+    The date filter runs on the raw feed, so a short report does not deduplicate all history:
+    the keys seen in the window are kept with all their rows (a semi join), then deduplicated as ever,
+    so every row dated in the window is the same as in the whole table.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str, days: int):
+        super().__init__(spark, sf_dir)
+        self.as_of, self.days = as_of, days
+
+    def _recent(self, feed: str, key: str, date: str) -> DataFrame:
+        rows = self.feed(feed)
+        day, end = safe_date(date), F.lit(self.as_of).cast("date")
+        keys = rows.filter((day >= F.date_sub(end, self.days)) & (day <= end)).select(key).distinct()
+        return rows.join(keys, key, "left_semi")
+
+    @cached_property
+    def production(self) -> DataFrame:
+        return silver.clean_production(self._recent("production", "production_id", "production_date"))
+
+    @cached_property
+    def service(self) -> DataFrame:
+        return silver.clean_service(self._recent("service", "service_id", "service_date"))
+
+    @cached_property
+    def warranty(self) -> DataFrame:
+        return silver.clean_warranty(self._recent("warranty", "claim_id", "claim_date"))

@@ -15,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import scd2
+from ..operators import quality, scd2
 from ..operators.dedup import dedup_first
-from ..sources.feeds import FEED_COLUMNS, ingest_stream
-from ..streaming.ingest import run_to_parquet
-from . import anomaly, daily, kpi, silver
+from ..sources.feeds import FEED_COLUMNS
+from ..sources.tables import append_table
+from ..streaming.ingest import ingest_feed
+from . import anomaly, daily, kpi, report, silver
 
 FACT_DATES = {"sales": "sale_date", "production": "production_date", "service": "service_date",
               "warranty": "claim_date"}
@@ -30,16 +31,20 @@ DIMENSIONS = {"customer": ("customer", "customer_id", silver.customer_snapshot),
               "vehicle": ("vehicle_master", "vin", silver.vehicle_snapshot)}
 
 
-def ingest_bronze(spark: SparkSession, landing: str, root: str) -> dict[str, str]:
-    """Each feed lands as batch folders under ``landing/<feed>/``."""
-    paths = {}
-    for feed in FEED_COLUMNS:
-        out = f"{root}/bronze/{feed}"
-        stream = ingest_stream(spark, f"{landing}/{feed}/*", feed).withColumn(
-            "_ingest_ts", F.col("_metadata.file_modification_time"))
-        run_to_parquet(stream, out, f"{root}/checkpoints/bronze_{feed}")
-        paths[feed] = out
-    return paths
+def ingest_bronze(spark: SparkSession, landing: str, root: str) -> dict[str, DataFrame]:
+    """Each feed lands as batch folders under ``landing/<feed>/``; columns are read by name."""
+    return {feed: ingest_feed(spark, f"{landing}/{feed}/*", f"{root}/bronze/{feed}", f"{root}/checkpoints/bronze_{feed}", feed)
+            for feed in FEED_COLUMNS}
+
+
+def merge_dimension(spark: SparkSession, raw: DataFrame, dim: str, silver_root: str, as_of: str) -> DataFrame:
+    """Merge the latest delivered row of each key into the dimension's history; returns the history.
+
+    The previous version is found under ``silver_root`` by itself."""
+    _, key, clean = DIMENSIONS[dim]
+    # bronze keeps every delivered snapshot: the latest row per key is the one to merge
+    latest = dedup_first(raw, [key], [-F.unix_micros("_ingest_ts")]).drop("_ingest_ts")
+    return scd2.VersionedHistory(spark, f"{silver_root}/{dim}_scd2").merge(clean(latest), key, as_of)
 
 
 def _write(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
@@ -48,10 +53,10 @@ def _write(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
     w = df
     if month_of:
         w = df.withColumn("_month", F.date_format(month_of, "yyyy-MM"))
-        w.write.mode("overwrite").partitionBy("_month").parquet(path)
+        w.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").partitionBy("_month").parquet(path)
     else:
-        w.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+        w.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path).drop("_processed_ts")
 
 
 def _months(as_of: str, days: int) -> list[str]:
@@ -65,23 +70,47 @@ def _months(as_of: str, days: int) -> list[str]:
     return out
 
 
-def build_silver(spark: SparkSession, bronze: dict[str, str], root: str, as_of: str,
-                 previous_history: dict[str, str] | None = None,
-                 partition_by_month: bool = False) -> dict[str, DataFrame]:
-    raw = {k: spark.read.parquet(v) for k, v in bronze.items()}
-    b = {k: v.drop("_ingest_ts") for k, v in raw.items()}
+def build_quality(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Expectation counts of the fact feeds, the rows that violate one with their reasons, and
+    the CSV rows that could not be read."""
+    rules = quality.fact_rules()
+    facts = {n: bronze[n] for n in rules}
+    paths = {"expectations": f"{root}/quality/expectations"}
+    quality.expectation_report(facts).withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths["expectations"])
+    for name, df in facts.items():
+        paths[f"quarantine_{name}"] = f"{root}/quality/quarantine_{name}"
+        quality.quarantine(df, rules[name]).write.mode("overwrite").parquet(paths[f"quarantine_{name}"])
+    return paths
+
+
+def build_report(spark: SparkSession, s: dict[str, DataFrame], gold: dict[str, str], root: str, as_of: str, run_ts: str) -> dict[str, str]:
+    """Report tables and the run's audit rows, from the gold tables this run wrote."""
+    paths = {}
+    if "daily_anomaly_summary" in gold:
+        summary = spark.read.parquet(gold["daily_anomaly_summary"])
+        paths["anomaly_lines"] = f"{root}/report/anomaly_lines"
+        report.anomaly_lines(summary).write.mode("overwrite").parquet(paths["anomaly_lines"])
+        paths["audit"] = f"{root}/report/audit"
+        append_table(report.run_audit(summary, as_of, run_ts), paths["audit"])
+    if "dealer_scorecard" in gold:
+        paths["dealer_lines"] = f"{root}/report/dealer_lines"
+        report.dealer_lines(spark.read.parquet(gold["dealer_scorecard"])).write.mode("overwrite").parquet(paths["dealer_lines"])
+    return paths
+
+
+def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of: str,
+                 partition_by_month: bool = True) -> dict[str, DataFrame]:
+    b = {k: v.drop("_ingest_ts") for k, v in bronze.items()}
     out: dict[str, DataFrame] = {}
-    for dim, (feed, key, clean) in DIMENSIONS.items():
-        # bronze keeps every delivered snapshot: the latest row per key is the one to merge
-        latest = dedup_first(raw[feed], [key], [-F.unix_micros("_ingest_ts")]).drop("_ingest_ts")
-        snap = clean(latest)
-        prev = previous_history.get(dim) if previous_history else None
-        hist = spark.read.parquet(prev) if prev else scd2.empty_history(spark, snap)
-        hist = _write(scd2.scd2_apply(hist, snap, key, as_of), f"{root}/silver/{dim}_scd2")
+    for dim, (feed, _, _) in DIMENSIONS.items():
+        hist = merge_dimension(spark, bronze[feed], dim, f"{root}/silver", as_of)
         out[f"{dim}_scd2"] = hist
         out[f"{dim}_cur"] = scd2.current_view(hist).drop(*scd2.SCD_COLS)
     parts = _write(silver.clean_parts(b["parts"]), f"{root}/silver/parts")
     dealer_parts = _write(silver.clean_dealer_parts(b["dealer_parts"]), f"{root}/silver/dealer_parts")
+    # multiplicities are written, so that the joins with them can split a hot key
+    per_vin = _write(silver.claims_per_vin(b["warranty"]), f"{root}/silver/claims_per_vin")
+    per_part = _write(silver.dealers_per_part(dealer_parts), f"{root}/silver/dealers_per_part")
     sales = silver.sales_enriched(silver.clean_sales(b["sales"]), out["customer_cur"], out["dealer_cur"],
                                   out["vehicle_cur"])
     def m(fact):
@@ -90,13 +119,13 @@ def build_silver(spark: SparkSession, bronze: dict[str, str], root: str, as_of:
     out["production"] = _write(silver.production_enriched(silver.clean_production(b["production"]),
                                                           out["vehicle_cur"]), f"{root}/silver/production",
                                m("production"))
-    out["service"] = _write(silver.service_enriched(silver.clean_service(b["service"]), b["warranty"],
+    out["service"] = _write(silver.service_enriched(silver.clean_service(b["service"]), per_vin,
                                                     out["dealer_cur"], out["vehicle_cur"]), f"{root}/silver/service",
                             m("service"))
     out["warranty"] = _write(silver.warranty_enriched(silver.clean_warranty(b["warranty"]), b["parts"],
                                                       out["vehicle_cur"], out["dealer_cur"]), f"{root}/silver/warranty",
                              m("warranty"))
-    out["inventory"] = _write(silver.inventory_enriched(silver.clean_inventory(b["inventory"]), parts, dealer_parts),
+    out["inventory"] = _write(silver.inventory_enriched(silver.clean_inventory(b["inventory"]), parts, per_part),
                               f"{root}/silver/inventory")
     out["dealer_parts"] = dealer_parts
     return out
@@ -128,16 +157,19 @@ def build_gold(s: dict[str, DataFrame], root: str, as_of: str, tables=None) -> d
     paths = {}
     for name in tables or GOLD:
         paths[name] = f"{root}/gold/{name}"
-        GOLD[name](recent if name in DAILY_GOLD else s, as_of).write.mode("overwrite").parquet(paths[name])
+        made = GOLD[name](recent if name in DAILY_GOLD else s, as_of)
+        made.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths[name])
     return paths
 
 
-def run_pipeline(spark: SparkSession, landing: str, root: str, as_of: str, dim_as_of: str,
-                 previous_history: dict[str, str] | None = None, gold_tables=None,
-                 partition_by_month: bool = False) -> dict[str, str]:
-    """Run all layers; returns the gold table paths.  ``dim_as_of`` stamps the SCD2
+def run_pipeline(spark: SparkSession, landing: str, root: str, as_of: str, dim_as_of: str, gold_tables=None,
+                 partition_by_month: bool = True) -> dict[str, str]:
+    """Run all layers; returns the paths of the gold, quality and report tables. ``dim_as_of`` stamps the SCD2
     versions opened by this run; ``as_of`` is the report date; ``gold_tables``
-    limits the gold layer (default: all)."""
+    limits the gold layer (default: all). Runs on one ``root`` follow each other: bronze reads new
+    files only and the dimension histories go on from their last committed version."""
     bronze = ingest_bronze(spark, landing, root)
-    s = build_silver(spark, bronze, root, dim_as_of, previous_history, partition_by_month)
-    return build_gold(s, root, as_of, gold_tables)
+    checks = build_quality(spark, bronze, root)
+    s = build_silver(spark, bronze, root, dim_as_of, partition_by_month)
+    gold = build_gold(s, root, as_of, gold_tables)
+    return {**gold, **checks, **build_report(spark, s, gold, root, as_of, dim_as_of)}

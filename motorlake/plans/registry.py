@@ -20,7 +20,7 @@ from ..operators import quality, scd2
 from ..operators.dedup import dedup_first
 from ..operators.hashing import row_hash
 from . import anomaly, daily, kpi, report, silver
-from .catalog import Tables
+from .catalog import RecentTables, Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,11 @@ def T(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
+def recent(spark, sf_dir, days: int = 30) -> RecentTables:
+    """Facts of the report window only, filtered before they are deduplicated."""
+    return RecentTables(spark, sf_dir, AS_OF, days)
+
+
 # ----------------------------------------------------------------------------- B: cleansing rules
 
 @register("normalise_codes")
@@ -327,18 +332,13 @@ def _row_hash(spark, d):
 
 
 def scd2_history(spark, d, dim: str, versions: int = 3) -> DataFrame:
-    """Apply the snapshots in order; each history version is written to a new folder
-    and read back (lineage cut, nothing overwritten while it is read)."""
+    """Merge the snapshots in order into a history on storage, one committed version each."""
     from ..session import run_dir
     t = T(spark, d)
-    key = DIM_KEYS[dim]
-    root = run_dir(spark, f"scd2-{dim}")
-    hist = scd2.empty_history(spark, t.snapshot(dim, 0))
+    store = scd2.VersionedHistory(spark, run_dir(spark, f"scd2-{dim}"))
     for v in range(versions):
-        out = f"{root}/v{v:03d}"
-        scd2.scd2_apply(hist, t.snapshot(dim, v), key, SNAPSHOT_TIMES[v]).write.mode("overwrite").parquet(out)
-        hist = spark.read.parquet(out)
-    return hist
+        store.merge(t.snapshot(dim, v), DIM_KEYS[dim], SNAPSHOT_TIMES[v])
+    return store.read()
 
 
 for _dim in ["customer", "dealer", "vehicle"]:
@@ -413,9 +413,14 @@ def _warranty_claims_rollup(spark, d):
     return kpi.warranty_claims_rollup(t.warranty_enriched, t.service_enriched)
 
 
-def scorecard(t: Tables) -> DataFrame:
-    return kpi.dealer_scorecard(t.sales_enriched, t.service_enriched, t.warranty_enriched, t.inventory_enriched,
-                                t.dealer_parts)
+def scorecard(t: Tables, month_of: str | None = None) -> DataFrame:
+    """The scorecard of all months, or of one month: the facts are then filtered by its dates first."""
+    sales, service, claims = t.sales_enriched, t.service_enriched, t.claims
+    if month_of:
+        first = F.trunc(F.lit(month_of).cast("date"), "month")
+        within = lambda df, c: df.filter((F.col(c) >= first) & (F.col(c) < F.add_months(first, 1)))
+        sales, service, claims = within(sales, "sale_date"), within(service, "service_date"), within(claims, "claim_date")
+    return kpi.dealer_scorecard(sales, service, claims, t.inventory_enriched, t.dealer_parts)
 
 
 @register("dealer_scorecard")
@@ -431,12 +436,12 @@ def _tier_counts(spark, d):
 @register("warranty_behaviour")
 def _warranty_behaviour(spark, d):
     t = T(spark, d)
-    return anomaly.warranty_behaviour(t.warranty_enriched, t.sales_enriched)
+    return anomaly.warranty_behaviour(t.claims, t.sales)
 
 
 @register("warranty_behaviour_nojoin")
 def _warranty_behaviour_nojoin(spark, d):
-    return anomaly.warranty_behaviour(T(spark, d).warranty_enriched, None)
+    return anomaly.warranty_behaviour(T(spark, d).claims, None)
 
 
 @register("discount_behaviour")
@@ -451,36 +456,36 @@ def _daily_sales(spark, d):
 
 @register("daily_production")
 def _daily_production(spark, d):
-    return daily.daily_production(T(spark, d).production_enriched, AS_OF)
+    return daily.daily_production(recent(spark, d, 1).production, AS_OF)
 
 
 @register("daily_service")
 def _daily_service(spark, d):
-    return daily.daily_service(T(spark, d).service_enriched, AS_OF)
+    return daily.daily_service(recent(spark, d, 1).service_enriched, AS_OF)
 
 
 @register("daily_warranty")
 def _daily_warranty(spark, d):
-    return daily.daily_warranty(T(spark, d).warranty_enriched, AS_OF)
+    return daily.daily_warranty(recent(spark, d, 1).warranty, AS_OF)
 
 
 def _daily_inputs(t: Tables):
-    return (t.sales_enriched, t.production_enriched, t.service_enriched, t.warranty_enriched, t.inventory_enriched)
+    return (t.sales_enriched, t.production, t.service_enriched, t.warranty, t.inventory_enriched)
 
 
 @register("daily_comparison")
 def _daily_comparison(spark, d):
-    return daily.daily_comparison(*_daily_inputs(T(spark, d)), AS_OF)
+    return daily.daily_comparison(*_daily_inputs(recent(spark, d, 1)), AS_OF)
 
 
 @register("daily_comparison_outer")
 def _daily_comparison_outer(spark, d):
-    return daily.daily_comparison(*_daily_inputs(T(spark, d)), AS_OF, keep_missing=True)
+    return daily.daily_comparison(*_daily_inputs(recent(spark, d, 1)), AS_OF, keep_missing=True)
 
 
 @register("daily_comparison_long")
 def _daily_comparison_long(spark, d):
-    return daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF)
+    return daily.daily_comparison_long(*_daily_inputs(recent(spark, d, 1)), AS_OF)
 
 
 @register("daily_anomaly_sales")
@@ -490,62 +495,66 @@ def _daily_anomaly_sales(spark, d):
 
 @register("daily_anomaly_warranty")
 def _daily_anomaly_warranty(spark, d):
-    return anomaly.daily_anomaly_warranty(T(spark, d).warranty_enriched, AS_OF)
+    return anomaly.daily_anomaly_warranty(recent(spark, d).claims, AS_OF)
 
 
 @register("daily_anomaly_production")
 def _daily_anomaly_production(spark, d):
-    return anomaly.daily_anomaly_production(T(spark, d).production_enriched, AS_OF)
+    return anomaly.daily_anomaly_production(recent(spark, d).production, AS_OF)
 
 
 @register("daily_anomaly_service")
 def _daily_anomaly_service(spark, d):
-    return anomaly.daily_anomaly_service(T(spark, d).service_enriched, AS_OF)
+    return anomaly.daily_anomaly_service(recent(spark, d).service_enriched, AS_OF)
 
 
 def anomaly_summary(t: Tables, exclude_today: bool = False) -> DataFrame:
-    return anomaly.daily_anomaly_summary(t.sales_enriched, t.warranty_enriched, t.production_enriched,
+    return anomaly.daily_anomaly_summary(t.sales_enriched, t.claims, t.production,
                                          t.service_enriched, AS_OF, exclude_today=exclude_today)
 
 
 @register("daily_anomaly_summary")
 def _daily_anomaly_summary(spark, d):
-    return anomaly_summary(T(spark, d))
+    return anomaly_summary(recent(spark, d))
 
 
 @register("daily_anomaly_long")
 def _daily_anomaly_long(spark, d):
-    t = T(spark, d)
-    return anomaly.daily_anomaly_long(t.sales_enriched, t.warranty_enriched, t.production_enriched,
+    t = recent(spark, d)
+    return anomaly.daily_anomaly_long(t.sales_enriched, t.claims, t.production,
                                       t.service_enriched, AS_OF)
 
 
 @register("daily_anomaly_summary_excl")
 def _daily_anomaly_summary_excl(spark, d):
-    return anomaly_summary(T(spark, d), exclude_today=True)
+    return anomaly_summary(recent(spark, d), exclude_today=True)
 
 
 # ----------------------------------------------------------------------------- F / M: report data
 
 @register("top5_dealers")
 def _top5(spark, d):
-    return report.top_dealers(scorecard(T(spark, d)), AS_OF, 5, best=True)
+    return report.top_dealers(scorecard(T(spark, d), AS_OF), AS_OF, 5, best=True)
 
 
 @register("bottom5_dealers")
 def _bottom5(spark, d):
-    return report.top_dealers(scorecard(T(spark, d)), AS_OF, 5, best=False)
+    return report.top_dealers(scorecard(T(spark, d), AS_OF), AS_OF, 5, best=False)
 
 
 @register("dealer_rank_by_month")
 def _dealer_rank_by_month(spark, d):
-    return report.dealer_rank_by_month(scorecard(T(spark, d)))
+    """Both ends are ranked from one written scorecard."""
+    from ..session import run_dir
+    path = run_dir(spark, "scorecard")
+    scorecard(T(spark, d)).write.parquet(path)
+    return report.dealer_rank_by_month(spark.read.parquet(path))
 
 
 @register("top_warranty_anomalies")
 def _top_warranty_anomalies(spark, d):
     t = T(spark, d)
-    return report.top_anomalies(anomaly.warranty_behaviour(t.warranty_enriched, t.sales_enriched))
+    return report.top_anomalies(anomaly.warranty_behaviour(t.claims, t.sales))
 
 
 @register("top_discount_anomalies")
@@ -555,22 +564,28 @@ def _top_discount_anomalies(spark, d):
 
 @register("flagged_anomalies")
 def _flagged_anomalies(spark, d):
-    return report.flagged_anomalies(anomaly_summary(T(spark, d)))
+    return report.flagged_anomalies(anomaly_summary(recent(spark, d)))
 
 
 @register("pct_change_labels")
 def _pct_change_labels(spark, d):
-    return report.pct_change_labels(daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF))
+    return report.pct_change_labels(daily.daily_comparison_long(*_daily_inputs(recent(spark, d, 1)), AS_OF))
 
 
 @register("report_lines")
 def _report_lines(spark, d):
-    return report.report_lines(daily.daily_comparison_long(*_daily_inputs(T(spark, d)), AS_OF))
+    return report.report_lines(daily.daily_comparison_long(*_daily_inputs(recent(spark, d, 1)), AS_OF))
 
 
 @register("anomaly_lines")
 def _anomaly_lines(spark, d):
-    return report.anomaly_lines(anomaly_summary(T(spark, d)))
+    return report.anomaly_lines(anomaly_summary(recent(spark, d)))
+
+
+@register("behaviour_lines")
+def _behaviour_lines(spark, d):
+    t = T(spark, d)
+    return report.behaviour_lines(anomaly.warranty_behaviour(t.claims, t.sales), anomaly.discount_behaviour(t.sales))
 
 
 @register("dealer_lines")
@@ -580,26 +595,21 @@ def _dealer_lines(spark, d):
 
 # ----------------------------------------------------------------------------- A / I: tables and streams
 
-def _event_chunks(t: Tables) -> int:
-    from ..streaming.ingest import event_chunk
-    top = t.raw("events").agg(F.max(event_chunk()).alias("c")).first()["c"]
-    return int(top) + 1 if top is not None else 0
-
-
-def _landing(spark, t: Tables, tag: str, **kw) -> str:
+def _staged(spark, t: Tables, tag: str) -> tuple[str, list]:
     from ..session import run_dir
-    from ..streaming.ingest import land_events
+    from ..streaming.ingest import stage_events
     root = run_dir(spark, tag)
-    land_events(t.raw("events"), f"{root}/landing", n_chunks=_event_chunks(t), **kw)
-    return root
+    return root, stage_events(t.raw("events"), f"{root}/staged")
 
 
 @register("ingest_events_stream")
 def _ingest_events_stream(spark, d):
     """All delivered event files, each exactly once (no watermark: nothing dropped)."""
-    from ..streaming.ingest import read_events_stream, run_to_parquet
+    from ..streaming.ingest import land_chunks, land_copies, read_events_stream, run_to_parquet
     t = T(spark, d)
-    root = _landing(spark, t, "ingest")
+    root, chunks = _staged(spark, t, "ingest")
+    land_chunks(spark, f"{root}/staged", f"{root}/landing", chunks)
+    land_copies(t.raw("events"), f"{root}/landing")
     run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
@@ -607,47 +617,52 @@ def _ingest_events_stream(spark, d):
 @register("ingest_resume")
 def _ingest_resume(spark, d):
     """Two runs over a growing landing folder with one checkpoint: no file is read twice."""
-    from ..session import run_dir
-    from ..streaming.ingest import land_events, read_events_stream, run_to_parquet
-    t = T(spark, d)
-    n = _event_chunks(t)
-    root = run_dir(spark, "resume")
-    half = n // 2
-    land_events(t.raw("events"), f"{root}/landing", with_late=False, with_duplicates=False, chunks=range(half))
-    run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
-    land_events(t.raw("events"), f"{root}/landing", with_late=False, with_duplicates=False,
-                chunks=range(half, n), first_index=half)
-    run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
+    from ..streaming.ingest import land_chunks, read_events_stream, run_to_parquet
+    root, chunks = _staged(spark, T(spark, d), "resume")
+    half = len(chunks) // 2
+    for part in (chunks[:half], chunks[half:]):
+        land_chunks(spark, f"{root}/staged", f"{root}/landing", part)
+        if part:
+            run_to_parquet(read_events_stream(spark, f"{root}/landing"), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
 @register("source_file_filter")
 def _source_file_filter(spark, d):
     """Keep rows from files whose path names a regular chunk (the re-sent file is skipped)."""
-    from ..streaming.ingest import read_events_stream, run_to_parquet
+    from ..streaming.ingest import land_chunks, land_copies, read_events_stream, run_to_parquet
     t = T(spark, d)
-    root = _landing(spark, t, "pathfilter")
+    root, chunks = _staged(spark, t, "pathfilter")
+    land_chunks(spark, f"{root}/staged", f"{root}/landing", chunks)
+    land_copies(t.raw("events"), f"{root}/landing")
     run_to_parquet(read_events_stream(spark, f"{root}/landing", path_contains="/chunk_").drop("_metadata"),
                    f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
-@register("stream_dedup_events")
-def _stream_dedup_events(spark, d):
-    from ..streaming.ingest import dedup_events, read_events_stream, run_to_parquet
+def _late_copies(spark, d, tag: str, transform) -> DataFrame:
+    """Every event's first delivery in time, then, after a restart on the same checkpoint, the copies:
+    those the watermark has passed are late, the others meet the state that is still kept."""
+    from ..streaming.ingest import land_chunks, land_copies, read_events_stream, run_to_parquet
     t = T(spark, d)
-    root = _landing(spark, t, "dedup")
-    run_to_parquet(dedup_events(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
+    root, chunks = _staged(spark, t, tag)
+    land_chunks(spark, f"{root}/staged", f"{root}/landing", chunks)
+    run_to_parquet(transform(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
+    land_copies(t.raw("events"), f"{root}/landing")
+    run_to_parquet(transform(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
 
 
+@register("stream_dedup_events")
+def _stream_dedup_events(spark, d):
+    from ..streaming.ingest import dedup_events
+    return _late_copies(spark, d, "dedup", dedup_events)
+
+
 @register("stream_daily_kpi")
 def _stream_daily_kpi(spark, d):
-    from ..streaming.ingest import daily_event_kpi, read_events_stream, run_to_parquet
-    t = T(spark, d)
-    root = _landing(spark, t, "dailykpi")
-    run_to_parquet(daily_event_kpi(read_events_stream(spark, f"{root}/landing")), f"{root}/out", f"{root}/ckpt")
-    return spark.read.parquet(f"{root}/out")
+    from ..streaming.ingest import daily_event_kpi
+    return _late_copies(spark, d, "dailykpi", daily_event_kpi)
 
 
 @register("stream_row_hash")
@@ -658,7 +673,7 @@ def _stream_row_hash(spark, d):
     from ..streaming.ingest import run_to_parquet, write_csv
     t = T(spark, d)
     root = run_dir(spark, "rowhash")
-    write_csv(t.feed("customer"), f"{root}/landing/customer_000", files=4)
+    write_csv(t.feed("customer"), f"{root}/landing/customer_000")
     feed = ingest_stream(spark, f"{root}/landing/*", "customer", path_contains="customer")
     stream = silver.customer_snapshot(feed).select("customer_id", "_row_hash")
     run_to_parquet(stream, f"{root}/out", f"{root}/ckpt")
@@ -673,18 +688,51 @@ def _stream_scd2(spark, d):
     from ..session import run_dir
     from ..sources import fixtures
     from ..sources.feeds import feed_schema, ingest_stream
-    from ..streaming.ingest import FILES_PER_CHUNK, scd2_stream_apply, write_csv
+    from ..streaming.ingest import scd2_stream_apply, write_csv
     t = T(spark, d)
     root = run_dir(spark, "scd2stream")
-    for v, ts in enumerate(SNAPSHOT_TIMES):
-        write_csv(fixtures.dealer_feed(spark, d, v).withColumn("_snapshot_ts", F.lit(ts)),
-                  f"{root}/landing/snap_{v:03d}")
     schema = feed_schema("dealer").add(StructField("_snapshot_ts", StringType(), True))
-    feed = ingest_stream(spark, f"{root}/landing/*", schema=schema, max_files_per_trigger=FILES_PER_CHUNK)
-    snapshots = silver.dealer_snapshot(feed, keep=["_snapshot_ts"])
     empty = scd2.empty_history(spark, t.snapshot("dealer", 0))
-    latest = scd2_stream_apply(spark, snapshots, "dealer_id", f"{root}/history", f"{root}/ckpt", empty)
-    return spark.read.parquet(latest)
+    for arrived in ([0, 1], [2]):       # the query stops and goes on from its checkpoint in between
+        for v in arrived:
+            write_csv(fixtures.dealer_feed(spark, d, v).withColumn("_snapshot_ts", F.lit(SNAPSHOT_TIMES[v])),
+                      f"{root}/landing/snap_{v:03d}")
+        feed = ingest_stream(spark, f"{root}/landing/*", schema=schema)
+        snapshots = silver.dealer_snapshot(feed, keep=["_snapshot_ts"])
+        store = scd2_stream_apply(spark, snapshots, "dealer_id", f"{root}/history", f"{root}/ckpt", empty)
+    return store.read()
+
+
+@register("ingest_feed_by_name")
+def _ingest_feed_by_name(spark, d):
+    """Dealer stock files whose columns come in different orders, one without a column, one with a new one."""
+    from ..session import run_dir
+    from ..streaming.ingest import ingest_feed, write_csv
+    feed = T(spark, d).feed("dealer_parts")
+    root = run_dir(spark, "by-name")
+    k = F.pmod(F.xxhash64("part_id", "dealer_id"), F.lit(3))
+    write_csv(feed.filter(k == 0).select("dealer_id", "available_stock", "part_id", "last_restock_date"), f"{root}/landing/a")
+    write_csv(feed.filter(k == 1).select("part_id", "dealer_id", "last_restock_date", "available_stock"), f"{root}/landing/b")
+    ingest_feed(spark, f"{root}/landing/*", f"{root}/out", f"{root}/ckpt", "dealer_parts")
+    write_csv(feed.filter(k == 2).select(F.concat(F.lit("bin "), "part_id").alias("bin"), "last_restock_date", "available_stock", "part_id", "dealer_id"),
+              f"{root}/landing/c")
+    out = ingest_feed(spark, f"{root}/landing/*", f"{root}/out", f"{root}/ckpt", "dealer_parts")
+    return out.select("part_id", "dealer_id", "available_stock", "last_restock_date", F.coalesce(F.col("bin") == F.concat(F.lit("bin "), "part_id"), F.lit(True)).alias("bin_ok"))
+
+
+@register("pipeline_scd2_rerun")
+def _pipeline_scd2_rerun(spark, d):
+    """Dealer history after three whole runs on one root folder, a new snapshot landing before each."""
+    from ..session import run_dir
+    from ..sources import fixtures
+    from ..streaming.ingest import ingest_feed, write_csv
+    from .pipeline import merge_dimension
+    root = run_dir(spark, "scd2-rerun")
+    for v, ts in enumerate(SNAPSHOT_TIMES):
+        write_csv(fixtures.dealer_feed(spark, d, v), f"{root}/landing/dealer/batch_{v:03d}")
+        raw = ingest_feed(spark, f"{root}/landing/dealer/*", f"{root}/bronze/dealer", f"{root}/checkpoints/dealer", "dealer")
+        history = merge_dimension(spark, raw, "dealer", f"{root}/silver", ts)
+    return history
 
 
 @register("overwrite_roundtrip")
@@ -704,9 +752,10 @@ def _audit_append(spark, d):
     """Two runs append audit rows; the second adds a column (schema merged on read)."""
     from ..session import run_dir
     from ..sources.tables import append_table
-    t = T(spark, d)
-    path = run_dir(spark, "audit") + "/audit"
-    summary = anomaly_summary(t)
+    root = run_dir(spark, "audit")
+    path = root + "/audit"
+    anomaly_summary(recent(spark, d)).write.parquet(root + "/summary")
+    summary = spark.read.parquet(root + "/summary")
     first = report.run_audit(summary, AS_OF, "run-1")
     append_table(first, path)
     second = report.run_audit(summary, AS_OF, "run-2").withColumn("rows_flagged_pct",
@@ -725,11 +774,10 @@ def _pipeline_gold(spark, d, table: str) -> DataFrame:
     from ..streaming.ingest import write_csv
     from .pipeline import run_pipeline
     root = run_dir(spark, "pipeline")
-    cores = spark.sparkContext.defaultParallelism
     for feed in FEED_COLUMNS:
-        write_csv(fixtures.feed(spark, d, feed), f"{root}/landing/{feed}/batch_000", files=cores)
+        write_csv(fixtures.feed(spark, d, feed), f"{root}/landing/{feed}/batch_000")
     gold = run_pipeline(spark, f"{root}/landing", f"{root}/work", AS_OF, SNAPSHOT_TIMES[1], gold_tables=[table])
-    return spark.read.parquet(gold[table])
+    return spark.read.parquet(gold[table]).drop("_processed_ts")
 
 
 @register("pipeline_sales_performance")

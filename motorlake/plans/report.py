@@ -18,6 +18,9 @@ from ..functions.exact import div_half_up
 NO_PRIOR = "N/A (no prior data)"
 UP, DOWN, FLAT = "▲", "▼", "─"
 UNKNOWN_ENTITY = "Unknown"
+MONEY = ["net_revenue", "gross_revenue", "avg_discount", "total_service_revenue", "total_claim_value", "total_inventory_value"]
+COUNTS = ["units_sold", "unique_customers", "active_dealers", "total_units", "service_visits", "warranty_backed_services",
+          "total_claims", "distinct_parts"]
 
 DEALER_COLS = ["dealer_id", "dealer_name", "dealer_region", "units_sold", "total_revenue", "composite_score",
                "performance_tier", "avg_feedback_score"]
@@ -75,29 +78,51 @@ def pct_change_labels(long: DataFrame) -> DataFrame:
     return long.select("domain", "metric", "today", "yesterday", pct_label("today", "yesterday").alias("label"))
 
 
+def whole(cents_) -> Column:
+    """Cents as whole money units, half up, with thousands separators."""
+    return F.format_number(div_half_up(cents_, F.lit(100)), 0)
+
+
 def report_lines(long: DataFrame) -> DataFrame:
-    """'metric: today (yesterday: y) label' with thousands separators, NULL shown as 0."""
-    t = F.format_number(F.coalesce(F.col("today"), F.lit(0.0)), 2)
-    y = F.format_number(F.coalesce(F.col("yesterday"), F.lit(0.0)), 2)
-    line = F.format_string("%s: %s (yesterday: %s) %s", F.col("metric"), t, y, pct_label("today", "yesterday"))
+    """'metric: today (yesterday: y) label'; counts plain, money in whole units with thousands
+    separators, rates with two decimals, NULL shown as 0."""
+    def text(c: str) -> Column:
+        cents_ = F.coalesce(F.round(F.col(c) * 100).cast("long"), F.lit(0))
+        return F.when(F.col("metric").isin(MONEY), whole(cents_)).when(
+            F.col("metric").isin(COUNTS), F.call_function("div", cents_, F.lit(100)).cast("string")).otherwise(
+            F.format_string("%.2f", F.coalesce(F.col(c), F.lit(0.0))))
+
+    line = F.format_string("%s: %s (yesterday: %s) %s", F.col("metric"), text("today"), text("yesterday"), pct_label("today", "yesterday"))
     return long.select("domain", "metric", line.alias("line"))
 
 
 def anomaly_lines(summary: DataFrame) -> DataFrame:
     entity = F.coalesce(F.col("dealer_name"), F.col("dealer_id"), F.lit(UNKNOWN_ENTITY))
     z = F.coalesce(F.col("claims_z_score"), F.lit(0.0))
-    chg = F.coalesce(F.col("claims_pct_change"), F.lit(0.0))
-    sign = F.when(chg >= 0, F.lit("+")).otherwise(F.lit(""))
-    line = F.format_string("%s: z-score=%.2f, %s%.1f%% vs 30-day avg", entity, z, sign, chg)
+    chg = F.coalesce(F.round(F.col("claims_pct_change") * 100).cast("long"), F.lit(0))
+    tenths = div_half_up(F.abs(chg), F.lit(10))
+    sign = F.when(chg >= 0, F.lit("+")).otherwise(F.lit("-"))
+    line = F.format_string("%s: z-score=%.2f, %s%d.%d%% vs 30-day avg", entity, z, sign, F.call_function("div", tenths, F.lit(10)), tenths % 10)
     return flagged_anomalies(summary).select("domain", entity.alias("entity"), line.alias("line"))
 
 
+def behaviour_lines(warranty: DataFrame, discount: DataFrame, k: int = 5) -> DataFrame:
+    """The k strongest behaviour anomalies of each kind: dealer, z-score and, for discounts, the rate."""
+    z = F.coalesce(F.col("z_score"), F.lit(0.0))
+    w = top_anomalies(warranty, k).select(F.lit("warranty").alias("kind"), "dealer_id", "month",
+                                          F.format_string("Dealer %s: z-score=%.2f", "dealer_id", z).alias("line"))
+    rate = 100 * F.coalesce(F.col("discount_pct"), F.lit(0.0))
+    d = top_anomalies(discount, k).select(F.lit("discount").alias("kind"), "dealer_id", "month", F.format_string(
+        "Dealer %s: z-score=%.2f, %.1f%% discount rate", "dealer_id", z, rate).alias("line"))
+    return w.unionByName(d)
+
+
 def dealer_lines(scorecard: DataFrame) -> DataFrame:
     line = F.format_string(
         "%s (%s): Score=%s, Tier=%s, Units=%s, Revenue=%s, Feedback=%s/5",
         F.col("dealer_name"), F.col("dealer_region"), F.coalesce(F.col("composite_score"), F.lit(0.0)),
         F.col("performance_tier"), F.coalesce(F.col("units_sold"), F.lit(0)),
-        F.format_number(F.coalesce(F.col("total_revenue"), F.lit(0.0)), 0),
+        whole(F.coalesce(F.round(F.col("total_revenue") * 100).cast("long"), F.lit(0))),
         F.coalesce(F.col("avg_feedback_score"), F.lit(0.0)))
     return scorecard.select("dealer_id", "sale_month_label", line.alias("line"))
 

@@ -221,7 +221,7 @@ def claims_per_vin(warranty_feed: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("claim_rows"), F.count("claim_id").alias("claims_with_id")))
 
 
-def service_enriched(service: DataFrame, warranty_feed: DataFrame, dealer_cur: DataFrame,
+def service_enriched(service: DataFrame, per_vin: DataFrame, dealer_cur: DataFrame,
                      vehicle_cur: DataFrame) -> DataFrame:
     """Visits with dealer and vehicle, plus the raw-claim multiplicity of their vin.
 
@@ -229,10 +229,12 @@ def service_enriched(service: DataFrame, warranty_feed: DataFrame, dealer_cur: D
     visit stays one row and carries ``fanout`` = max(claims on vin, 1), the
     number of rows it had in that join, and ``warranty_rows`` = how many of
     those rows had a claim id.  Weighted aggregates equal the fan-out's.
+
+    ``per_vin``: ``claims_per_vin`` of the raw claims. Written to storage first, it leaves the join
+    free to split a hot vin; taken straight from its aggregate the two share one partitioning.
     """
     dealer = dealer_cur.select("dealer_id", "dealer_name", F.col("region").alias("dealer_region"), "dealer_type")
     vehicle = vehicle_cur.select("vin", "model_code", "model_name", "fuel_type")
-    per_vin = claims_per_vin(warranty_feed)
     return (service.join(per_vin, "vin", "left")
                    .join(dealer, "dealer_id", "left")
                    .join(vehicle, "vin", "left")
@@ -260,7 +262,7 @@ def dealers_per_part(dealer_parts: DataFrame) -> DataFrame:
     return dealer_parts.groupBy("part_id").agg(F.count(F.lit(1)).alias("dealer_rows"))
 
 
-def inventory_enriched(inventory: DataFrame, parts: DataFrame, dealer_parts: DataFrame) -> DataFrame:
+def inventory_enriched(inventory: DataFrame, parts: DataFrame, per_part: DataFrame) -> DataFrame:
     """Warehouse rows with part attributes and value, plus the dealer-stock multiplicity.
 
     The reference joins each warehouse row to every dealer stocking the part;
@@ -268,7 +270,6 @@ def inventory_enriched(inventory: DataFrame, parts: DataFrame, dealer_parts: Dat
     warehouse row had there.  Dealer-level measures come from
     ``dealer_inventory_health`` which joins per-part aggregates instead.
     """
-    per_part = dealers_per_part(dealer_parts)
     df = (inventory.join(parts, "part_id", "left")
                    .join(per_part, "part_id", "left")
                    .withColumn("fanout", F.greatest(F.coalesce(F.col("dealer_rows"), F.lit(0)), F.lit(1)))
@@ -276,6 +277,11 @@ def inventory_enriched(inventory: DataFrame, parts: DataFrame, dealer_parts: Dat
     return df.withColumn("inventory_value", from_cents(F.col("stock_quantity") * cents("unit_cost")))
 
 
+def claims_with_dealer(warranty: DataFrame, dealer_cur: DataFrame) -> DataFrame:
+    dealer = dealer_cur.select("dealer_id", "dealer_name", F.col("region").alias("dealer_region"))
+    return warranty.join(dealer, "dealer_id", "left")
+
+
 def warranty_enriched(warranty: DataFrame, parts_feed: DataFrame, vehicle_cur: DataFrame,
                       dealer_cur: DataFrame) -> DataFrame:
     parts = parts_feed.select("part_id", title("part_name").alias("part_name"),

@@ -15,7 +15,7 @@ AS_OF_MONTH = "'1998-06'"
 SNAPSHOT_TIMES = ["1996-01-01 00:00:00", "1997-01-01 00:00:00", "1998-01-01 00:00:00"]
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE = r"\+?[0-9]{2,3}[- ][0-9]{5}[- ][0-9]{5}|[0-9]{10}"
+PHONE = r"(?:\+|\b)[0-9]{2,3}[- ][0-9]{5}[- ][0-9]([0-9]{4})\b|\b[0-9]{6}([0-9]{4})\b"
 NULL_SENTINEL = "␀"
 
 
@@ -75,12 +75,14 @@ q("pii_phone_mask", f"""SELECT party_id, {B.mask_digits('contact_number')} AS ma
   FROM (SELECT customer_id AS party_id, contact_number FROM f_customer
         UNION ALL SELECT dealer_id AS party_id, contact_number FROM f_dealer)""")
 
-_scrubbed_email = f"regexp_replace(text, '{EMAIL}', '[EMAIL]', 'g')"
+_no_email = f"regexp_replace(text, '{EMAIL}', '', 'g')"
+_emails = f"regexp_extract_all(text, '{EMAIL}')"
 q("documents_pii_scrub", f"""SELECT doc_id,
   CAST(len(regexp_extract_all(text, '{EMAIL}')) AS BIGINT) AS n_emails,
-  CAST(len(regexp_extract_all({_scrubbed_email}, '{PHONE}')) AS BIGINT) AS n_phones,
+  CAST(len(regexp_extract_all({_no_email}, '{PHONE}')) AS BIGINT) AS n_phones,
   array_to_string(list_transform(regexp_extract_all(text, '{EMAIL}'), lambda e: sha256(e)), ',') AS email_hashes,
-  CAST(length(regexp_replace({_scrubbed_email}, '{PHONE}', '[PHONE]', 'g')) AS BIGINT) AS scrubbed_chars
+  regexp_replace(CASE WHEN len({_emails}) = 0 THEN text ELSE list_reduce(list_prepend(text, {_emails}),
+    lambda t, e: replace(t, e, sha256(e))) END, '{PHONE}', '******\\1\\2', 'g') AS scrubbed_text
   FROM documents""")
 
 for _t in ["sales", "production", "service", "inventory", "warranty"]:
@@ -112,10 +114,10 @@ q("daily_by_dealer", f"""SELECT dealer_id, sale_date AS day, {from_cents(_sum_c(
 
 
 def _inventory_snapshot(weighted: bool) -> str:
-    w = "fanout" if weighted else "1"
-    return f"""SELECT {from_cents(_sum(f'{w} * stock_quantity * ' + cents('unit_cost')))} AS total_inventory_value,
-  {pct(_sum(f'{w} * is_below_reorder'), _sum(w))} AS pct_below_reorder,
-  count(DISTINCT part_id) AS distinct_parts FROM inventory_enriched"""
+    src = "inventory_pairs" if weighted else "inventory_enriched"
+    return f"""SELECT {from_cents(_sum('stock_quantity * ' + cents('unit_cost')))} AS total_inventory_value,
+  {pct(_sum('is_below_reorder'), 'count(*)')} AS pct_below_reorder,
+  count(DISTINCT part_id) AS distinct_parts FROM {src}"""
 
 
 q("inventory_snapshot", _inventory_snapshot(True))
@@ -178,16 +180,15 @@ q("production_month_totals", f"""SELECT {_sum('total_units')} AS total_units, {_
     AS unit_weighted_avg_production_time
   FROM ({production_efficiency(PROD_KEYS)}) WHERE prod_month_label = {AS_OF_MONTH}""")
 
-SERVICE_MEASURES = f"""{_sum('CASE WHEN service_id IS NOT NULL THEN fanout ELSE 0 END')} AS visits,
-    {_sum('fanout * ' + cents('service_cost'))} AS cost_c,
-    {_sum('CASE WHEN service_cost IS NOT NULL THEN fanout ELSE 0 END')} AS cost_n,
-    {_sum('fanout * customer_feedback_rating')} AS fb_s,
-    {_sum('CASE WHEN customer_feedback_rating IS NOT NULL THEN fanout ELSE 0 END')} AS fb_n,
-    {_sum('warranty_rows')} AS backed"""
+# over the true join of visits with every raw claim of their vin
+SERVICE_MEASURES = f"""count(service_id) AS visits,
+    {_sum_c('service_cost')} AS cost_c, count(service_cost) AS cost_n,
+    {_sum('customer_feedback_rating')} AS fb_s, count(customer_feedback_rating) AS fb_n,
+    {_sum('is_warranty_claim')} AS backed"""
 
 SVC_SUMMARY = f"""SELECT dealer_id, {avg_int('fb_s', 'fb_n')} AS avg_service_feedback, visits AS total_service_visits,
   {avg_cents('cost_c', 'cost_n')} AS avg_service_cost
-  FROM (SELECT dealer_id, {SERVICE_MEASURES} FROM service_enriched GROUP BY dealer_id)"""
+  FROM (SELECT dealer_id, {SERVICE_MEASURES} FROM service_pairs GROUP BY dealer_id)"""
 
 
 def warranty_claims(keys) -> str:
@@ -224,21 +225,17 @@ svc AS (
   SELECT dealer_id, m AS sale_month_label, visits AS service_visits, {avg_cents('cost_c', 'cost_n')} AS avg_service_cost,
     {avg_int('fb_s', 'fb_n')} AS avg_feedback_score, backed AS warranty_backed_services
   FROM (SELECT dealer_id, {B.month_label('service_date')} AS m, {SERVICE_MEASURES}
-        FROM service_enriched GROUP BY ALL)),
+        FROM service_pairs GROUP BY ALL)),
 wa AS (
   SELECT dealer_id, m AS sale_month_label, n AS warranty_claims_filed, {from_cents('amt')} AS total_warranty_cost,
     {pct('ap', 'apn')} AS warranty_approval_rate_pct
   FROM (SELECT dealer_id, {B.month_label('claim_date')} AS m, count(claim_id) AS n, {_sum_c('claim_amount')} AS amt,
       {_sum('is_approved')} AS ap, count(is_approved) AS apn FROM warranty_enriched GROUP BY ALL)),
-pp AS (
-  SELECT part_id, count(*) AS rows_, {_sum('is_below_reorder')} AS below_,
-    {_sum('stock_quantity * ' + cents('unit_cost'))} AS value_c FROM inventory_enriched GROUP BY part_id),
 ih AS (
   SELECT dealer_id, tps AS total_parts_stock, {pct('b', 'r')} AS pct_parts_below_reorder,
     {from_cents('v')} AS total_inventory_value
-  FROM (SELECT dp.dealer_id, {_sum('dp.dealer_available_stock * pp.rows_')} AS tps, {_sum('pp.below_')} AS b,
-      {_sum('pp.rows_')} AS r, {_sum('pp.value_c')} AS v
-    FROM dealer_parts dp JOIN pp ON dp.part_id = pp.part_id GROUP BY dp.dealer_id)),
+  FROM (SELECT dealer_id, {_sum('dealer_available_stock')} AS tps, {_sum('is_below_reorder')} AS b, count(*) AS r,
+      {_sum_c('inventory_value')} AS v FROM inventory_pairs WHERE dealer_id IS NOT NULL GROUP BY dealer_id)),
 j AS (
   SELECT sa.*, svc.service_visits, svc.avg_service_cost, svc.avg_feedback_score, svc.warranty_backed_services,
     wa.warranty_claims_filed, wa.total_warranty_cost, wa.warranty_approval_rate_pct,
@@ -286,15 +283,14 @@ def _baseline(monthly: str, value: str, prefix: str) -> str:
 
 def warranty_behaviour(join_sales: bool) -> str:
     if join_sales:
-        src = """SELECT w.claim_id, w.vin, w.dealer_id, w.claim_date, greatest(coalesce(m.m, 0), 1) AS wt
-          FROM warranty_enriched w LEFT JOIN (SELECT vin, dealer_id, count(*) AS m FROM sales_enriched GROUP BY vin, dealer_id) m
-          ON w.vin = m.vin AND w.dealer_id = m.dealer_id"""
+        src = """SELECT w.claim_id, w.vin, w.dealer_id, w.claim_date
+          FROM warranty_enriched w LEFT JOIN sales_enriched m ON w.vin = m.vin AND w.dealer_id = m.dealer_id"""
     else:
-        src = "SELECT claim_id, vin, dealer_id, claim_date, 1 AS wt FROM warranty_enriched"
+        src = "SELECT claim_id, vin, dealer_id, claim_date FROM warranty_enriched"
     monthly = f"""SELECT dealer_id, month, total_claims, vehicles_claimed,
         CAST(total_claims AS DOUBLE) / NULLIF(CAST(vehicles_claimed AS DOUBLE), 0) AS claim_rate
       FROM (SELECT dealer_id, {B.month_label('claim_date')} AS month,
-          {_sum('CASE WHEN claim_id IS NOT NULL THEN wt ELSE 0 END')} AS total_claims,
+          count(claim_id) AS total_claims,
           count(DISTINCT vin) AS vehicles_claimed FROM ({src}) GROUP BY ALL) WHERE dealer_id IS NOT NULL"""
     return _baseline(monthly, "claim_rate", "claim_rate")
 
@@ -385,7 +381,7 @@ def daily_anomaly_warranty(excl=False) -> str:
 def daily_anomaly_production(excl=False) -> str:
     daily = f"""SELECT plant_id, day, {half_up('dl * 10000', 'n')} AS delay_h FROM (
         SELECT plant_id, production_date AS day, {_sum('is_delayed')} AS dl, count(production_id) AS n
-        FROM production_enriched WHERE {_window_filter('production_date')} GROUP BY plant_id, production_date)"""
+        FROM production_enriched WHERE plant_id IS NOT NULL AND {_window_filter('production_date')} GROUP BY plant_id, production_date)"""
     t = _today_vs_window(daily, ["plant_id"], ["delay_h"], excl)
     return f"""SELECT 'production' AS domain, CAST(NULL AS VARCHAR) AS dealer_id, plant_id AS dealer_name,
   CAST(delay_h AS DOUBLE) / 100.0 AS daily_claims, mean_delay_h / 100.0 AS avg_claims, z_delay_h AS claims_z_score,
@@ -396,9 +392,9 @@ def daily_anomaly_production(excl=False) -> str:
 
 def daily_anomaly_service(excl=False) -> str:
     daily = f"""SELECT dealer_id, day, {half_up('fs * 100', 'fn')} AS fb_h FROM (
-        SELECT dealer_id, service_date AS day, {_sum('fanout * customer_feedback_rating')} AS fs,
-          {_sum('CASE WHEN customer_feedback_rating IS NOT NULL THEN fanout ELSE 0 END')} AS fn
-        FROM service_enriched WHERE {_window_filter('service_date')} GROUP BY dealer_id, service_date)"""
+        SELECT dealer_id, service_date AS day, {_sum('customer_feedback_rating')} AS fs,
+          count(customer_feedback_rating) AS fn
+        FROM service_pairs WHERE dealer_id IS NOT NULL AND {_window_filter('service_date')} GROUP BY dealer_id, service_date)"""
     t = _today_vs_window(daily, ["dealer_id"], ["fb_h"], excl)
     return f"""SELECT 'service' AS domain, dealer_id, dealer_id AS dealer_name,
   CAST(fb_h AS DOUBLE) / 100.0 AS daily_claims, mean_fb_h / 100.0 AS avg_claims, z_fb_h AS claims_z_score,
@@ -419,12 +415,12 @@ def daily_anomaly_long() -> str:
                      ["dealer_id", "dealer_name"], [("daily_claims", "claims", 1), ("daily_claim_value", "value_c", 100)]),
         "production": (f"""SELECT plant_id, day, {half_up('dl * 10000', 'n')} AS delay_h FROM (
             SELECT plant_id, production_date AS day, {_sum('is_delayed')} AS dl, count(production_id) AS n
-            FROM production_enriched WHERE {_window_filter('production_date')} GROUP BY plant_id, production_date)""",
+            FROM production_enriched WHERE plant_id IS NOT NULL AND {_window_filter('production_date')} GROUP BY plant_id, production_date)""",
                        ["plant_id"], [("daily_delay_pct", "delay_h", 100)]),
         "service": (f"""SELECT dealer_id, day, {half_up('fs * 100', 'fn')} AS fb_h FROM (
-            SELECT dealer_id, service_date AS day, {_sum('fanout * customer_feedback_rating')} AS fs,
-              {_sum('CASE WHEN customer_feedback_rating IS NOT NULL THEN fanout ELSE 0 END')} AS fn
-            FROM service_enriched WHERE {_window_filter('service_date')} GROUP BY dealer_id, service_date)""",
+            SELECT dealer_id, service_date AS day, {_sum('customer_feedback_rating')} AS fs,
+              count(customer_feedback_rating) AS fn
+            FROM service_pairs WHERE dealer_id IS NOT NULL AND {_window_filter('service_date')} GROUP BY dealer_id, service_date)""",
                     ["dealer_id"], [("daily_feedback", "fb_h", 100)]),
     }
     parts = []
@@ -480,7 +476,7 @@ DAILY = {
     "service": f"""SELECT day, visits AS service_visits, {from_cents('cost_c')} AS total_service_revenue,
       {avg_int('fb_s', 'fb_n')} AS avg_feedback, backed AS warranty_backed_services
     FROM (SELECT {DAY_TAG.format(c='service_date')} AS day, {SERVICE_MEASURES}
-      FROM service_enriched WHERE {_days('service_date')} GROUP BY 1)""",
+      FROM service_pairs WHERE {_days('service_date')} GROUP BY 1)""",
     "warranty": f"""SELECT day, total_claims, {from_cents('v')} AS total_claim_value, {pct('a', 'an')} AS approval_rate_pct
     FROM (SELECT {DAY_TAG.format(c='claim_date')} AS day, count(claim_id) AS total_claims, {_sum_c('claim_amount')} AS v,
         {_sum('is_approved')} AS a, count(is_approved) AS an
@@ -525,6 +521,55 @@ q("pct_change_labels", f"""SELECT domain, metric, today, yesterday,
             CAST({_tenths} // 10 AS VARCHAR) || '.' || CAST({_tenths} % 10 AS VARCHAR) || '%' END AS label
   FROM ({LONG})""")
 
+# ============================================================================ M: report lines
+
+_MONEY = "('net_revenue', 'gross_revenue', 'avg_discount', 'total_service_revenue', 'total_claim_value', 'total_inventory_value')"
+_COUNTS = ("('units_sold', 'unique_customers', 'active_dealers', 'total_units', 'service_visits', "
+           "'warranty_backed_services', 'total_claims', 'distinct_parts')")
+
+
+def _whole(cents_: str) -> str:
+    return f"format('{{:,}}', CAST({half_up(cents_, '100')} AS BIGINT))"
+
+
+def _line_value(c: str) -> str:
+    n = f"coalesce(CAST(round({c} * 100) AS BIGINT), 0)"
+    return (f"CASE WHEN metric IN {_MONEY} THEN {_whole(n)} WHEN metric IN {_COUNTS} THEN CAST({n} // 100 AS VARCHAR) "
+            f"ELSE printf('%.2f', coalesce({c}, 0.0)) END")
+
+
+_label = f"""CASE WHEN {_y} = 0 THEN 'N/A (no prior data)'
+       ELSE (CASE WHEN {_t} > {_y} THEN '▲' WHEN {_t} < {_y} THEN '▼' ELSE '─' END) || ' ' ||
+            CAST({_tenths} // 10 AS VARCHAR) || '.' || CAST({_tenths} % 10 AS VARCHAR) || '%' END"""
+q("report_lines", f"""SELECT domain, metric, metric || ': ' || {_line_value('today')} || ' (yesterday: ' || {_line_value('yesterday')}
+    || ') ' || {_label} AS line FROM ({LONG})""")
+
+_chg = "coalesce(CAST(round(claims_pct_change * 100) AS BIGINT), 0)"
+_chg10 = half_up(f"abs({_chg})", "10")
+_entity = "coalesce(dealer_name, dealer_id, 'Unknown')"
+q("anomaly_lines", f"""SELECT domain, {_entity} AS entity, {_entity} || ': z-score=' || printf('%.2f', coalesce(claims_z_score, 0.0))
+    || ', ' || CASE WHEN {_chg} >= 0 THEN '+' ELSE '-' END || CAST({_chg10} // 10 AS VARCHAR) || '.' || CAST({_chg10} % 10 AS VARCHAR)
+    || '% vs 30-day avg' AS line FROM ({daily_anomaly_summary()}) WHERE claims_anomaly = 1""")
+
+_revenue = _whole("coalesce(CAST(round(total_revenue * 100) AS BIGINT), 0)")
+q("dealer_lines", f"""SELECT dealer_id, sale_month_label, coalesce(dealer_name, 'null') || ' (' || coalesce(dealer_region, 'null') || '): Score='
+    || CAST(coalesce(composite_score, 0.0) AS VARCHAR) || ', Tier=' || performance_tier || ', Units=' || CAST(coalesce(units_sold, 0) AS VARCHAR)
+    || ', Revenue=' || {_revenue} || ', Feedback=' || CAST(coalesce(avg_feedback_score, 0.0) AS VARCHAR) || '/5' AS line
+  FROM ({SCORECARD})""")
+
+_TOP5 = "WHERE anomaly_flag = 1 ORDER BY z_score DESC NULLS LAST, dealer_id, month LIMIT 5"
+q("behaviour_lines", f"""SELECT 'warranty' AS kind, dealer_id, month, 'Dealer ' || dealer_id || ': z-score=' || printf('%.2f', z_score) AS line
+    FROM (SELECT * FROM ({warranty_behaviour(True)}) {_TOP5})
+  UNION ALL SELECT 'discount' AS kind, dealer_id, month, 'Dealer ' || dealer_id || ': z-score=' || printf('%.2f', z_score) || ', '
+    || printf('%.1f', 100 * coalesce(discount_pct, 0.0)) || '% discount rate' AS line
+    FROM (SELECT * FROM ({_baseline(DISCOUNT_MONTHLY, 'discount_pct', 'discount_pct')}) {_TOP5})""")
+
+_audit = f"""SELECT domain, count(*) AS "rows", CAST(sum(claims_anomaly) AS BIGINT) AS flags
+  FROM ({daily_anomaly_summary()}) GROUP BY domain"""
+q("audit_append", f"""SELECT '1998-06-15' AS report_date, 'run-1' AS run_ts, domain, "rows", flags, CAST(NULL AS DOUBLE) AS rows_flagged_pct
+    FROM ({_audit})
+  UNION ALL SELECT '1998-06-15', 'run-2', domain, "rows", flags, flags * 100.0 / "rows" FROM ({_audit})""")
+
 # ============================================================================ G: dedup, H: calendar
 
 q("dedup_sales", "SELECT * FROM sales_dd")
@@ -547,6 +592,8 @@ q("expectation_report", " UNION ALL ".join(
         count(*) - CAST(count_if(coalesce({p}, false)) AS BIGINT) AS failed FROM f_{t}"""
     for t, rules in RULES.items() for r, p in rules))
 
+Q["expectation_observed"] = Q["expectation_report"]
+
 q("quarantine_sales", f"""SELECT * FROM (SELECT *, concat_ws(',',
     CASE WHEN NOT coalesce(vin IS NOT NULL, false) THEN 'vin_not_null' END,
     CASE WHEN NOT coalesce(TRY_CAST(sale_amount AS DOUBLE) > 0, false) THEN 'valid_sale_amount' END,
@@ -609,26 +656,20 @@ q("sales_asof_dealer", f"""SELECT s.vin, s.sale_date, s.dealer_id, s.net_revenue
 
 # ============================================================================ A / I: tables and streams
 
-_CHUNK = "CAST(floor(datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 3) AS BIGINT)"
 q("ingest_events_stream", "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 20 = 0")
 q("ingest_resume", "SELECT * FROM events")
 q("source_file_filter", "SELECT * FROM events")
-# Spark judges lateness with the watermark of the batch before (max event time seen two
-# batches back minus the delay); a window aggregate tests the window end.  Delivery order
-# is chunks 0,1,2,3,5,6,4,7,8,9 then the re-sent 5 %, one chunk per micro-batch.
-_LATE4 = f"((SELECT max(ts) FROM events WHERE {_CHUNK} IN (0, 1, 2, 3, 5)) - INTERVAL 3 DAY)"
-_LATE_DUPS = f"((SELECT max(ts) FROM events WHERE {_CHUNK} <= 8) - INTERVAL 3 DAY)"
-_FINAL = "((SELECT max(ts) FROM events) - INTERVAL 3 DAY)"
-_DAY_END = "CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP)"
-q("stream_dedup_events", f"SELECT * FROM events WHERE NOT ({_CHUNK} = 4 AND ts <= {_LATE4})")
+# Only re-sent copies are late: every distinct event stays. A window is given out once the
+# watermark, three days behind the latest event, has passed its end; copies come later still.
+q("stream_dedup_events", "SELECT * FROM events")
 q("stream_daily_kpi", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events,
-  {from_cents(_sum_c('value'))} AS total_value FROM (
-    SELECT * FROM events WHERE NOT ({_CHUNK} = 4 AND {_DAY_END} <= {_LATE4})
-    UNION ALL SELECT * FROM events WHERE event_id % 20 = 0 AND {_DAY_END} > {_LATE_DUPS})
-  WHERE {_DAY_END} <= {_FINAL}
+  {from_cents(_sum_c('value'))} AS total_value FROM events
+  WHERE CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
   GROUP BY 1, 2""")
 q("stream_row_hash", "SELECT customer_id, _row_hash FROM customer_cur")
 q("stream_scd2", _history("dealer"))
+q("pipeline_scd2_rerun", _history("dealer"))
+q("ingest_feed_by_name", "SELECT *, TRUE AS bin_ok FROM f_dealer_parts")
 q("overwrite_roundtrip", "SELECT * FROM sales")
 
 

@@ -24,7 +24,7 @@ def test_service_weights_equal_fanout(spark):
     dealer = spark.createDataFrame([("D1", "n1", "R", "T"), ("D2", "n2", "R", "T")],
                                    "dealer_id string, dealer_name string, region string, dealer_type string")
     vehicle = spark.createDataFrame([("V1", "m", "mn", "f")], "vin string, model_code string, model_name string, fuel_type string")
-    w = silver.service_enriched(service, claims, dealer, vehicle)
+    w = silver.service_enriched(service, silver.claims_per_vin(claims), dealer, vehicle)
     got = {r.dealer_id: r for r in kpi.service_dealer_summary(w).collect()}
     # explicit reference fan-out
     fan = service.join(claims, "vin", "left").withColumn("is_claim", F.when(F.col("claim_id").isNotNull(), 1).otherwise(0))

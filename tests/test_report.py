@@ -21,8 +21,8 @@ def test_report_line_format(spark):
     df = spark.createDataFrame([("sales", "gross_revenue", 1234567.5, 1000000.0), ("sales", "units_sold", 5.0, None)],
                                "domain string, metric string, today double, yesterday double")
     lines = {r.metric: r.line for r in report.report_lines(df).collect()}
-    assert lines["gross_revenue"] == "gross_revenue: 1,234,567.50 (yesterday: 1,000,000.00) ▲ 23.5%"
-    assert lines["units_sold"] == "units_sold: 5.00 (yesterday: 0.00) N/A (no prior data)"
+    assert lines["gross_revenue"] == "gross_revenue: 1,234,568 (yesterday: 1,000,000) ▲ 23.5%"
+    assert lines["units_sold"] == "units_sold: 5 (yesterday: 0) N/A (no prior data)"
 
 
 def test_anomaly_line_entity_fallback(spark):

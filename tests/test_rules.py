@@ -75,9 +75,12 @@ def test_pct_labels(spark):
 
 
 def test_text_scrub(spark):
+    import hashlib
+
     from motorlake.functions.text import scrub_text
-    df = spark.createDataFrame([(1, "mail name.19@mail5.example.com or 9876543210, not 12345")],
-                               "doc_id long, text string")
-    r = scrub_text(df).first()
-    assert (r.n_emails, r.n_phones) == (1, 1)
-    assert r.scrubbed_chars == len("mail [EMAIL] or [PHONE], not 12345")
+    df = spark.createDataFrame([(1, "mail a@b.com or 9876543210, not 12345, card 4111111111111111, +91-98765-43210"), (2, None)], "doc_id int, text string")
+    r, null = scrub_text(df).orderBy("doc_id").collect()
+    digest = hashlib.sha256(b"a@b.com").hexdigest()
+    assert (r.n_emails, r.n_phones, r.email_hashes) == (1, 2, digest)
+    assert r.scrubbed_text == f"mail {digest} or ******3210, not 12345, card 4111111111111111, ******3210"
+    assert null.scrubbed_text is None

@@ -27,3 +27,28 @@ def test_hot_entity_baseline_is_pre_aggregated(spark):
     daily = rows.groupBy(F.lit("HOT").alias("dealer_id"), "day").agg(F.sum("x").alias("v"))
     z = zscore.rolling_zscore(daily, ["dealer_id"], "day", "v")
     assert z.count() == 60 and z.filter("anomaly_flag = 1").count() == 0
+
+
+def test_a_hot_vin_is_split_in_the_visit_join(spark):
+    """A third of the visits on one vin, the multiplicities written: the skewed partition is split."""
+    from motorlake.plans import silver
+    from motorlake.session import run_dir
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        vin = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("V"), (F.col("id") % 5000).cast("string")))
+        visits = spark.range(200_000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("service_id"), vin.alias("vin"))
+        claims = spark.range(50_000).select(F.col("id").cast("string").alias("claim_id"), vin.alias("vin"))
+        path = run_dir(spark, "claims-per-vin")
+        silver.claims_per_vin(claims).write.parquet(path)
+        joined = visits.join(spark.read.parquet(path), "vin", "left")
+        assert joined.count() == 200_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
