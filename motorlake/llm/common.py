@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from array import array
 
 import numpy as np
@@ -103,30 +104,104 @@ def shingle_hashes(word_hashes: list[bytes], k: int = SHINGLE_WORDS) -> tuple[np
 
 # ---------------------------------------------------------------- token ids
 
+#: Fixed value: the pre-token pattern of byte-level vocabularies.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_symbols() -> list[str]:
+    """The printable stand-in of each byte in a byte-level vocabulary: printable Latin-1
+    characters stand for themselves, the other bytes get code points from 256 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    extra = iter(range(256, 512))
+    kept = set(own)
+    return [chr(b) if b in kept else chr(next(extra)) for b in range(256)]
+
+
+def _pre_tokens(spec: dict) -> tuple[str, bool, bool]:
+    """(pattern, lower case, known) of a tokenizers file: how it cuts a text into pre-tokens."""
+    pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
+    if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not norm:
+        return PRE_TOKENS, False, True
+    steps = pre.get("pretokenizers", [])
+    if [p["type"] for p in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"] and steps[0]["invert"] and steps[0]["behavior"] == "Removed" \
+            and [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+        return steps[0]["pattern"]["Regex"], True, True
+    return r"\S+", False, False
+
+
 class _Unsafe(Exception):
     """The text must be encoded whole."""
 
 
-class _Ids(dict):
-    """Chunk -> token ids as little-endian uint32 bytes."""
+class Recent(dict):
+    """A bounded cache of two generations: when the younger is full it becomes the older and the
+    former older one is dropped, so what is used often is never made anew. Subclasses make entries."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self._entries, self._older = entries, {}
+
+    def make(self, key: str):
+        raise NotImplementedError
+
+    def __missing__(self, key: str):
+        out = self._older.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= CACHED_CHARS:
+            if len(self) >= self._entries:
+                self._older = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
+class _PieceIds(Recent):
+    """Pre-token -> token ids as little-endian uint32 bytes."""
+
+    def __init__(self, tokenizer):
+        super().__init__(CACHE_ENTRIES // 2)
+        self._merge, stand_ins = tokenizer.model.tokenize, byte_symbols()
+        self._latin = {c: "".join(stand_ins[b] for b in chr(c).encode("utf-8")) for c in range(256)}
 
-    def __init__(self, tokenizer, lead: str, checked: bool):
+    def make(self, piece: str) -> bytes:
+        """``piece`` holds Latin-1 characters only."""
+        symbols = piece.replace(" ", self._latin[32]) if piece.isascii() and "\n" not in piece else piece.translate(self._latin)
+        return array("I", [t.id for t in self._merge(symbols)]).tobytes()
+
+
+class _Ids(Recent):
+    """Chunk -> token ids as little-endian uint32 bytes.
+
+    A chunk of Latin-1 letters, digits and marks is cut into pre-tokens here and only its new
+    pre-tokens go to the library's merges; any other chunk is encoded by the library as a whole.
+    """
+
+    def __init__(self, tokenizer, lead: str, checked: bool, pieces: _PieceIds | None, pattern: str, lower: bool):
+        import re
+
+        import regex
         super().__init__()
         self._encode, self._lead, self._checked = tokenizer.encode, lead, checked
+        self._pieces, self._lower = pieces, lower
+        self._plain, self._cut = re.compile(r"[!-~\u00a1-\u00ff\n]*").fullmatch, regex.compile(pattern).findall
 
-    def __missing__(self, chunk: str) -> bytes:
+    def make(self, chunk: str) -> bytes:
         if self._checked and (not chunk or chunk[0].isspace()):
             raise _Unsafe
-        out = array("I", self._encode(self._lead + chunk, add_special_tokens=False).ids).tobytes()
-        if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[chunk] = out
-        return out
+        text, pieces = self._lead + chunk, self._pieces
+        if pieces is not None and chunk:
+            word, stop = (chunk[:-1], chunk[-1]) if chunk[-1] in ".,;:!?" else (chunk, "")
+            if word.isalpha() and (word.isascii() or max(word) <= "\u00ff"):       # the pattern's commonest case
+                word = self._lead + (word.lower() if self._lower else word)
+                return pieces[word] + pieces[stop] if stop else pieces[word]
+        if pieces is not None and self._plain(chunk):
+            return b"".join(map(self._pieces.__getitem__, self._cut(text.lower() if self._lower else text)))
+        return array("I", self._encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class TokenIds:
-    """Whole-text token ids of a ``tokenizers`` file, with a bounded cache of chunks.
+    """Whole-text token ids of a ``tokenizers`` file, with bounded caches of chunks and pre-tokens.
 
     A text is cut at blanks. For a byte-level vocabulary a blank followed by anything but
     white space always starts a new pre-token, so a chunk with its blank can be encoded on its
@@ -138,9 +213,14 @@ class TokenIds:
     def __init__(self, path: str, spaced: bool):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
+        self.base = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._first = _Ids(self._tokenizer, "", False)
-        self._rest = _Ids(self._tokenizer, " ", True) if spaced else self._first
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pattern, lower, known = _pre_tokens(spec)
+        pieces = _PieceIds(self._tokenizer) if known else None
+        self._first = _Ids(self._tokenizer, "", False, pieces, pattern, lower)
+        self._rest = _Ids(self._tokenizer, " ", True, pieces, pattern, lower) if spaced else self._first
 
     def whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

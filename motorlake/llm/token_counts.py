@@ -9,20 +9,9 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from motorlake.llm.common import CACHED_CHARS
+from motorlake.llm.common import CACHED_CHARS, PRE_TOKENS, byte_symbols
 
 COUNT_CACHE = 1_000_000
-#: Fixed value: the pre-token pattern of byte-level vocabularies.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def byte_symbols() -> list[str]:
-    """The printable stand-in of each byte in a byte-level vocabulary: printable Latin-1
-    characters stand for themselves, the other bytes get code points from 256 on, in order."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    extra = iter(range(256, 512))
-    kept = set(own)
-    return [chr(b) if b in kept else chr(next(extra)) for b in range(256)]
 
 
 class MergeCounter(dict):
