@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motorlake.llm.common import NEAR, SHINGLE_WORDS, mix64, saved, shingle_hashes, word_batches
 
-REGISTERS, BANDS = 64, 16     # 4 registers a band: a pair at 0.8 shares a band with probability 0.9998
-HUBS = 32                     # members of a bucket compared with all of it in one later round
+REGISTERS, BAND_WIDTH, BANDS = 512, 8, 40     # a pair at 0.8 shares a band with probability 0.999, one at 0.5 with 0.15
+PLANES = 4                                    # bits kept of a register to estimate similarities
+HUBS = 64                     # members of a bucket compared with all of it in one later round
 
 
 def prob_minhash(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, n_texts: int,
@@ -32,8 +34,8 @@ def prob_minhash(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, n_
     with np.errstate(over="ignore"):
         while len(element):
             state = mix64(state + np.uint64(0x9E3779B97F4A7C15))
-            at = at - np.log(((state >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0 ** -53) / weight
-            slot = owner * registers + (state & np.uint64(registers - 1)).astype(np.int64)
+            at = at - np.log(((state >> np.uint64(24)).astype(np.float64) + 1.0) * 2.0 ** -40) / weight
+            slot = owner * registers + (((state & np.uint64(0xFFFFFF)) * np.uint64(registers)) >> np.uint64(24)).astype(np.int64)
             np.minimum.at(first, slot, at)
             won = first[slot] == at
             winner[slot[won]] = element[won]
@@ -57,25 +59,36 @@ def weighted_sets(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, n
     return np.concatenate(parts), 1.0 + np.log(np.concatenate(counts)), np.repeat(np.arange(len(words)), sizes)
 
 
-def sketches(docs: DataFrame, k: int = SHINGLE_WORDS, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
-    """(doc_id, digest, bands): the digest names the text's word sequence (NULL without a word)."""
+def band_members(registers: int, width: int, bands: int) -> np.ndarray:
+    """The registers of each band: neighbours first, then, for more bands, registers a stride apart."""
+    near = np.arange(registers // width * width).reshape(-1, width)
+    return np.concatenate([near, near.ravel().reshape(width, -1).T])[:bands]
+
+
+def sketches(docs: DataFrame, k: int = SHINGLE_WORDS, registers: int = REGISTERS, width: int = BAND_WIDTH, bands: int = BANDS) -> DataFrame:
+    """(doc_id, digest, n, bits, bands): the digest names the text's word sequence (NULL without a
+    word), n is its number of distinct shingles, bits has PLANES bits of each register's winner, plane by plane."""
+    member = band_members(registers, width, bands)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odd = np.arange(1, 2 * (registers // bands), 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        odd = (np.arange(width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        salt = np.arange(len(member), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
             for ids, words in word_batches(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 element, weight, owner = weighted_sets(words, k)
-                sig = prob_minhash(element, weight, owner[:], len(words), registers) if len(element) else np.zeros((len(words), registers), np.uint64)
                 with np.errstate(over="ignore"):
-                    key = (mix64(sig.reshape(len(words), bands, -1)) * odd).sum(axis=2, dtype=np.uint64)
-                    key = mix64(key + np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+                    sig = mix64(prob_minhash(element, weight, owner, len(words), registers))
+                    key = mix64((sig[:, member] * odd).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
+                planes = [np.packbits((sig >> np.uint64(i) & np.uint64(1)).astype(np.uint8), axis=1).view(">i8") for i in range(PLANES)]
+                bits = np.concatenate(planes, axis=1).astype(np.int64)
                 digest = [hashlib.blake2b(w, digest_size=16).digest() if w else None for w in words]
+                lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, b.schema.field(0).type), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, bands), pa.int32()), pa.array(key.ravel()))],
-                    names=["doc_id", "digest", "bands"])
+                    [pa.array(ids, b.schema.field(0).type), pa.array(digest, pa.binary()), pa.array(np.bincount(owner, minlength=len(words)), pa.int64()),
+                     lists(bits), lists(key)], names=["doc_id", "digest", "n", "bits", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, n bigint, bits array<bigint>, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
@@ -102,7 +115,6 @@ def components(edges: DataFrame) -> DataFrame:
         return e.groupBy("u").agg(F.min("v").alias("m"))
 
     now = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = None
     while True:
         both = now.union(now.select("v", "u"))
         m = saved(low(both).select("u", F.least("m", "u").alias("m")), "least")
@@ -111,10 +123,9 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(m, "u")
         now = saved(joined.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .union(joined.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == mark:
+        # done when all are stars: no centre hangs on another node, and no node on two centres
+        if now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and now.groupBy("u").count().filter("count > 1").isEmpty():
             return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        mark = tuple(found)
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
@@ -124,12 +135,30 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, near: float) -> DataFrame:
     return both.filter(F.col("n") >= near * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
 
 
+def may_be_near(a: str, b: str, near: float, registers: int) -> Column:
+    """Whether two sketches can belong to texts at ``near`` or more.
+
+    Their numbers of shingles must allow it, and no more registers may differ in their bits than
+    at ``near`` plus 3.3 standard deviations (a pair at ``near`` is passed over with probability 5e-4).
+    """
+    share = (1 - near) * (1 - 0.5 ** PLANES)
+    most = int(registers * share + 3.3 * math.sqrt(registers * share * (1 - share)))
+    longs, other = registers // 64, F.lit(0)
+    for i in range(longs):
+        differ = F.lit(0).cast("bigint")
+        for j in range(i, PLANES * longs, longs):
+            differ = differ.bitwiseOR(F.get(F.col(f"{a}.bits"), F.lit(j)).bitwiseXOR(F.get(F.col(f"{b}.bits"), F.lit(j))))
+        other = other + F.bit_count(differ)
+    sizes = F.least(f"{a}.n", f"{b}.n") >= near * F.greatest(f"{a}.n", f"{b}.n")
+    return sizes & (other <= most)
+
+
 def near_duplicate_classes(docs: DataFrame, near: float = NEAR, k: int = SHINGLE_WORDS, registers: int = REGISTERS,
-                           bands: int = BANDS, hubs: int = HUBS) -> DataFrame:
+                           width: int = BAND_WIDTH, bands: int = BANDS, hubs: int = HUBS) -> DataFrame:
     """(doc_id, class_id), one row a document; class_id is the least doc_id of its class.
 
     Words are ``\\w+`` runs in lower case. Texts with the same words are one node. Nodes that share
-    a band are candidates; two are linked where the exact Jaccard of their k-word shingle sets
+    a band are candidates where their sketches allow it (``may_be_near``); two are linked where the exact Jaccard of their k-word shingle sets
     is ``near`` or more, and classes are the connected components of the links. A text of
     fewer than k words only equals the same words; a NULL, empty or wordless text is a class
     by itself. Rows that repeat a text, with the same or another id, share its class; a NULL
@@ -137,22 +166,24 @@ def near_duplicate_classes(docs: DataFrame, near: float = NEAR, k: int = SHINGLE
 
     No bucket is expanded into pairs. First every member is compared with its bucket's
     centre, the member whose buckets are largest. Buckets that still hold several classes go on:
-    in each round up to ``hubs`` further members outside the bucket's largest class are compared
-    with the members of other classes, until all of them have been, so no link is lost
-    whatever a bucket's size.
+    in each round up to ``hubs`` further members outside the bucket's largest class (four times as
+    many each round) are compared with the members of other classes, until all of them have
+    been, so no link is lost whatever a bucket's size.
     """
-    sketch = saved(sketches(docs, k, registers, bands), "sketches")
+    sketch = saved(sketches(docs, k, registers, width, bands), "sketches")
     nodes = saved(sketch.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    own = sketch.select("doc_id", "digest", "bands").join(nodes, (sketch["digest"] == nodes["digest"]) & sketch["doc_id"].eqNullSafe(nodes["doc_id"]), "left_semi")
-    filed = saved(own.select("digest", F.explode("bands").alias("band")).distinct(), "filed")
+    own = sketch.join(nodes, (sketch["digest"] == nodes["digest"]) & sketch["doc_id"].eqNullSafe(nodes["doc_id"]), "left_semi")
+    filed = saved(own.select("digest", F.explode(F.array_distinct("bands")).alias("band")).distinct(), "filed")
 
     buckets = saved(filed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     member = saved(filed.join(buckets, "band"), "members")
     if member.isEmpty():
         return sketch.select("doc_id", F.col("doc_id").alias("class_id"))
     score = saved(member.groupBy("digest").agg(F.sum("n").alias("score")), "scores")
-    member = saved(member.join(score, "digest").select("band", "digest", "score"), "members")
-    centre = saved(member.groupBy("band").agg(F.max(F.struct("score", "digest")).alias("top")).select("band", F.col("top.digest").alias("centre")), "centres")
+    mark = own.select("digest", F.struct("n", "bits").alias("sketch")).join(score, "digest").dropDuplicates(["digest"])
+    member = saved(member.join(saved(mark, "marks"), "digest").select("band", "digest", "score", "sketch"), "members")
+    centre = saved(member.groupBy("band").agg(F.max(F.struct("score", "digest", "sketch")).alias("top"))
+                   .select("band", F.col("top.digest").alias("centre"), F.col("top.sketch").alias("hub_sketch")), "centres")
 
     wanted = score.select("digest").join(nodes, "digest").select(F.col("doc_id").alias("wanted_id"), "digest")
     sets = saved(shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))), "shingles")
@@ -160,31 +191,33 @@ def near_duplicate_classes(docs: DataFrame, near: float = NEAR, k: int = SHINGLE
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    tested = saved(ordered(member.join(centre, "band").filter("digest <> centre").select(F.col("digest").alias("a"), F.col("centre").alias("b"))), "pairs")
+    near_enough = may_be_near("sketch", "hub_sketch", near, registers)
+    tested = saved(ordered(member.join(centre, "band").filter(F.expr("digest <> centre") & near_enough).select(F.col("digest").alias("a"), F.col("centre").alias("b"))), "pairs")
     links = saved(similar_pairs(tested, sets, near), "links")
     labels = components(links)
     done = centre.select("band", F.col("centre").alias("digest"))
     while True:
         at = member.join(labels, member["digest"] == labels["node"], "left").select(
-            "band", "digest", "score", F.coalesce("label", "digest").alias("label"))
-        sizes = saved(at.groupBy("band", "label").agg(F.count("*").alias("n")), "bucket-classes")
+            "band", "digest", "score", "sketch", F.coalesce("label", "digest").alias("label"))
+        sizes = at.groupBy("band", "label").agg(F.count("*").alias("n"))
         mixed = saved(sizes.groupBy("band").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label")).alias("top"))
                       .filter("classes > 1").select("band", F.col("top.label").alias("largest")), "mixed")
         live = saved(at.join(mixed, "band"), "live")
         rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("score"), "digest"))
-        hub = saved(live.filter("label <> largest").join(done, ["band", "digest"], "left_anti")
-                    .withColumn("rank", rank).filter(F.col("rank") <= hubs).select("band", "digest", F.col("label").alias("hub_label")), "hubs")
-        if hub.isEmpty():
-            break
-        done = saved(done.union(hub.select("band", "digest")), "done")
-        pairs = ordered(live.select("band", F.col("digest").alias("a"), "label").join(hub.withColumnRenamed("digest", "b"), "band")
-                        .filter("label <> hub_label").select("a", "b"))
+        first = saved(live.filter("label <> largest").join(done, ["band", "digest"], "left_anti")
+                      .withColumn("rank", rank).filter(F.col("rank") <= hubs + 1), "hubs")
+        hub = first.filter(F.col("rank") <= hubs).select("band", "digest", F.col("label").alias("hub_label"), F.col("sketch").alias("hub_sketch"))
+        pairs = ordered(live.select("band", F.col("digest").alias("a"), "label", "sketch").join(hub.withColumnRenamed("digest", "b"), "band")
+                        .filter(F.expr("label <> hub_label") & near_enough).select("a", "b"))
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
         found = saved(similar_pairs(pairs, sets, near), "links")
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links)
+        if first.filter(F.col("rank") > hubs).isEmpty():
+            break       # every member outside a bucket's largest class has been a hub: all of its mixed pairs are tested
+        tested, done = tested.union(pairs), done.union(hub.select("band", "digest"))
+        hubs *= 4       # few buckets go on; those that do get through in a few rounds
 
     named = saved(nodes.join(labels, nodes["digest"] == labels["node"], "left").select("digest", "doc_id", F.coalesce("label", "digest").alias("label")), "named")
     least = saved(named.groupBy("label").agg(F.min("doc_id").alias("class_id")), "class-ids")
