@@ -20,7 +20,8 @@ TRAIN_DOCS = 6000          # at most so many training documents in all, an equal
 MAX_GRAMS = 20_000         # character n-grams kept for a language, the most frequent
 SWITCH = 12.0              # log-odds that a change of language inside a text costs
 WORD_LIMIT = 6.0           # most log-odds that one word gives one language over another
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
+BATCH_CHARS = 1_000_000    # texts whose new words are scored together
 
 #: First code points of script ranges (Unicode blocks, letters only are looked up).
 SCRIPTS = [
@@ -43,6 +44,8 @@ def script_of(ch: str) -> str:
 
 def script_runs(word: str) -> list[tuple[str, str]]:
     """Split a run of letters where the script changes: [(script, letters)]."""
+    if word.isascii() or max(word) < "\u0370":
+        return [("latin", word)]
     out: list[list[str]] = []
     for ch in word:
         s = script_of(ch)
@@ -53,10 +56,19 @@ def script_runs(word: str) -> list[tuple[str, str]]:
     return [(s, w) for s, w in out]
 
 
+def chunks_of(text: str) -> list[str]:
+    """The text between white space, longer stretches cut into pieces of CACHED_CHARS: scripts
+    without blanks are labelled piece by piece, and what is cached stays small."""
+    chunks = text.split()
+    if max(map(len, chunks), default=0) > CACHED_CHARS:
+        chunks = [c[i:i + CACHED_CHARS] for c in chunks for i in range(0, len(c), CACHED_CHARS)]
+    return chunks
+
+
 def grams(word: str) -> list[str]:
-    """Character 1- to 4-grams of a word between its two ends."""
+    """Character trigrams of a word between its two ends."""
     w = f"^{word}$"
-    return [w[i:i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)] + list(word)
+    return [w[i:i + 3] for i in range(len(w) - 2)]
 
 
 @dataclass
@@ -66,18 +78,6 @@ class LanguageModel:
     index: dict[str, int]              # n-gram -> row of logp
     logp: np.ndarray                   # (n-grams + 1, languages); the last row for unseen ones
 
-    def scores(self, script: str, letters: str) -> np.ndarray:
-        """Log-odds of a run of letters for each language, within WORD_LIMIT of the best one."""
-        among = self.scripts.get(script)
-        if among is None:
-            return np.zeros(len(self.languages))
-        if among.sum() == 1:
-            return np.where(among, 0.0, -WORD_LIMIT)
-        rows = [self.index.get(g, len(self.logp) - 1) for g in grams(letters[:CACHED_CHARS])]
-        s = self.logp[rows].sum(axis=0) / 3.0       # n-grams of three lengths overlap
-        s = np.where(among, s, -np.inf)
-        return np.maximum(s - s.max(), -WORD_LIMIT)
-
 
 def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> LanguageModel:
     """Learn n-gram frequencies and scripts of each language.
@@ -101,10 +101,10 @@ def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> LanguageModel:
         words: dict[str, list[str]] = {}
         for b in batches:
             for lang, text in zip(b["lang"], b["text"]):
-                for run in _LETTERS.findall(text.lower()):
+                for run in (r for c in chunks_of(text.lower()) for r in _LETTERS.findall(c)):
                     if run not in words:
                         parts = script_runs(run)
-                        words[run] = [f"script {s}" for s, w in parts for _ in w] + [g for _, w in parts for g in grams(w[:CACHED_CHARS])]
+                        words[run] = [f"script {s}" for s, w in parts for _ in w] + [g for _, w in parts for g in grams(w)]
                         if len(words) > CACHE_WORDS:
                             words.clear()
                     for g in words.get(run, ()):
@@ -138,8 +138,8 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
     If no run of words gains more than ``switch`` by leaving the best single label, that label is
     the best path and nothing is walked.
     """
-    if not len(scores):
-        return np.zeros(0, dtype=np.int64)
+    if not scores.size:
+        return np.zeros(len(scores), dtype=np.int64)
     best = int(scores.sum(axis=0).argmax())
     over = np.delete(scores, best, axis=1)
     if over.shape[1] == 0:
@@ -147,61 +147,88 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
     gain = np.concatenate([[0.0], np.cumsum(over.max(axis=1) - scores[:, best])])
     if (gain - np.minimum.accumulate(gain)).max() <= switch:
         return np.full(len(scores), best)
-    back = np.empty(scores.shape, dtype=np.int16)
-    own = np.arange(scores.shape[1])
-    now = scores[0].copy()
-    for i in range(1, len(scores)):
-        top = int(now.argmax())
-        stay = now >= now[top] - switch
-        back[i] = np.where(stay, own, top)
-        now = np.where(stay, now, now[top] - switch) + scores[i]
-    path = np.empty(len(scores), dtype=np.int64)
-    path[-1] = now.argmax()
-    for i in range(len(scores) - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
-    return path
+    # plain lists: a step over a handful of languages is too small for numpy
+    steps = scores.tolist()
+    now, back = steps[0], []
+    for row in steps[1:]:
+        best_now = max(now)
+        least = best_now - switch
+        back.append((now.index(best_now), [v >= least for v in now]))
+        now = [(v if v >= least else least) + x for v, x in zip(now, row)]
+    at = now.index(max(now))
+    path = [at]
+    for top, stay in reversed(back):
+        if not stay[at]:
+            at = top
+        path.append(at)
+    return np.array(path[::-1], dtype=np.int64)
 
 
 class _Words(dict):
-    """Chunk between blanks -> row number of its summed scores; scores and letters grow alongside."""
+    """Chunk -> row of ``table``: the chunk's log-odds for each language and its number of letters.
+
+    New chunks are scored together. The cache is emptied when it is full, between texts.
+    """
 
     def __init__(self, model: LanguageModel):
         super().__init__()
         self.model = model
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.table = np.zeros((1024, len(self.model.languages) + 1), dtype=np.float64)
-        self.used = 0
-
-    def __missing__(self, chunk: str) -> int:
-        row = np.zeros(self.table.shape[1])
-        for run in _LETTERS.findall(chunk.lower()):
-            for script, letters in script_runs(run):
-                row[:-1] += self.model.scores(script, letters)
-                row[-1] += len(letters)
-        row[:-1] -= row[:-1].max()
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = row
-        self.used += 1
-        self[chunk] = self.used - 1
-        return self.used - 1
-
-    def rows(self, text: str) -> np.ndarray:
-        if self.used > CACHE_WORDS:
-            self.reset()
-        chunks = text.split()
-        at = np.fromiter(map(self.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        out = self.table[at]
-        return out[out[:, -1] > 0]
-
-
-def spans(words: _Words, text: str, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray]:
-    """(label, letters) of each word with a letter, in reading order."""
-    rows = words.rows(text)
-    return viterbi(rows[:, :-1], switch), rows[:, -1]
+        self.table = np.zeros((0, len(model.languages) + 1))
+        self._scripts = {s: i for i, s in enumerate(model.scripts)}
+        self._among = np.array([*model.scripts.values(), np.zeros(len(model.languages), dtype=bool)])
+
+    def _add(self, chunks: list[str]) -> None:
+        """Score new chunks: the sum over their words, each within WORD_LIMIT of its best language."""
+        get, unseen, no_script = self.model.index.get, len(self.model.logp) - 1, len(self._scripts)
+        rows, sizes, owner, script, letters = [], [], [], [], []
+        for i, chunk in enumerate(chunks):
+            for run in _LETTERS.findall(chunk.lower()):
+                for name, part in script_runs(run):
+                    w = f"^{part}$"
+                    rows += [get(w[j:j + 3], unseen) for j in range(len(part))]
+                    sizes.append(len(part))
+                    owner.append(i)
+                    script.append(self._scripts.get(name, no_script))
+                    letters.append(len(part))
+        out = np.zeros((len(chunks), self.table.shape[1]))
+        if rows:
+            scores = np.add.reduceat(self.model.logp[rows], np.cumsum(sizes) - sizes, axis=0)
+            among = self._among[script]
+            known = among.any(axis=1)                    # letters of no language's script say nothing
+            scores = np.where(among, scores, -np.inf)
+            scores[known] = np.maximum(scores[known] - scores[known].max(axis=1, keepdims=True), -WORD_LIMIT)
+            scores[~known] = 0.0
+            np.add.at(out[:, :-1], owner, scores)
+            out[:, -1] = np.bincount(owner, weights=letters, minlength=len(chunks))
+            out[:, :-1] -= out[:, :-1].max(axis=1, keepdims=True)
+        for i, chunk in enumerate(chunks, len(self.table)):
+            self[chunk] = i
+        self.table = np.concatenate([self.table, out])
+
+    def rows(self, texts: list[str]) -> list[np.ndarray]:
+        """Of each text the rows of its chunks with a letter, in reading order."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self.table = self.table[:0]
+        cut = [chunks_of(t) for t in texts]
+        new = set().union(*cut).difference(self.keys())
+        if new:
+            self._add(list(new))
+        found = [self.table[np.fromiter(map(self.__getitem__, c), dtype=np.int64, count=len(c))] for c in cut]
+        return [f[f[:, -1] > 0] for f in found]
+
+
+def labelled(words: _Words, texts: list[str | None], switch: float = SWITCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(label, letters) of each word with a letter, text by text; texts are scored BATCH_CHARS at a time."""
+    kept: list[str] = []
+    size = 0
+    for i, text in enumerate(texts):
+        kept.append(text or "")
+        size += len(kept[-1])
+        if size >= BATCH_CHARS or i == len(texts) - 1:
+            for rows in words.rows(kept):
+                yield viterbi(rows[:, :-1], switch), rows[:, -1]
+            kept, size = [], 0
 
 
 _MODELS: dict[int, _Words] = {}
@@ -228,9 +255,8 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
         words = _MODELS[key]
         for b in batches:
             langs, scores, n_spans = [], [], []
-            for text in b.column(names.index("text")).to_pylist():
-                label, letters = spans(words, text, switch) if text and m.languages else (np.zeros(0, np.int64), np.zeros(0))
-                if not len(label):
+            for label, letters in labelled(words, b.column(names.index("text")).to_pylist(), switch):
+                if not len(label) or not m.languages:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     n_spans.append(0)
@@ -256,9 +282,8 @@ def label_spans(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -
         words = _Words(m)
         for b in batches:
             out = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                label, letters = spans(words, text, switch) if text and m.languages else (np.zeros(0, np.int64), np.zeros(0))
-                cut = np.concatenate([[0], np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]]) if len(label) else [0]
+            for doc, (label, letters) in zip(b.column(0).to_pylist(), labelled(words, b.column(1).to_pylist(), switch)):
+                cut = np.concatenate([[0], np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]]) if len(label) and m.languages else [0]
                 out += [(doc, i, m.languages[label[s]], int(s), int(e - s), int(letters[s:e].sum())) for i, (s, e) in enumerate(zip(cut[:-1], cut[1:]))]
             cols = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()),

@@ -229,6 +229,8 @@ def test_language_accuracy_and_edge_cases(spark):
                                 "doc_id long, text string").withColumn("lang_pred", F.lit("clash"))
     out = sorted(((r.doc_id or 0, r.lang_pred, r.score) for r in language_id.identify(odd, model).collect()))
     assert [x[1:] for x in out if x[0] in (1, 2, 3)] == [("und", 0.0)] * 3 and out[0][1] == "en" and out[0][2] == 1.0
+    late = "x" * 500 + "".join(w for w in texts["de"]) * 3         # no blank: labelled by all of it, not by its start
+    assert language_id.identify(spark.createDataFrame([(1, late)], "doc_id long, text string"), model).first().lang_pred == "de"
     spans = [(r.lang, r.n_words) for r in language_id.label_spans(odd, model).filter("doc_id = 4").orderBy("span").collect() if r.n_words > 20]
     assert [s for s, _ in spans] == ["de", "es"] and all(abs(n - 80) <= 3 for _, n in spans)
 
