@@ -42,36 +42,40 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np
     nonterminal each and replaces their occurrences; where two occurrences overlap, the more
     frequent pair wins. Ends when no pair is frequent. ``ends`` marks each document's last id.
     """
-    symbols, last = ids.astype(np.uint32), ends.copy()
+    symbols, last = ids.astype(np.uint32), ends
     rules: list[np.ndarray] = []
     n_rules = 0
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        inside = ~last[:-1]
-        found, counts = np.unique(pair[inside], return_counts=True)
+        left, right, inside = symbols[:-1], symbols[1:], ~last[:-1]
+        top = base + n_rules
+        # pairs of small symbols are sorted as 32-bit numbers, which is much faster
+        half = np.uint32(16) if top <= 1 << 16 else np.uint64(32)
+        found, counts = np.unique(((left.astype(half.dtype) << half) | right)[inside], return_counts=True)
         often = np.flatnonzero(counts >= LEAST_COUNT)
         if not len(often):
             break
         often = often[np.lexsort((found[often], -counts[often]))][:ROUND_RULES]
-        chosen = found[often]                       # most frequent first, ties by the pair
-        order = np.argsort(chosen)
-        slot = np.searchsorted(chosen[order], pair)
-        slot[slot == len(order)] = 0
-        hit = (chosen[order][slot] == pair) & inside
-        weight = np.zeros(len(pair) + 2, dtype=np.int64)
-        weight[1:-1][hit] = len(order) - order[slot[hit]]
+        chosen = np.stack([found[often] >> half, found[often] & ((1 << int(half)) - 1)], 1).astype(np.int64)
+        # a table over the chosen left and right symbols holds each pair's priority, 0 for none
+        lefts, rights = np.unique(chosen[:, 0]), np.unique(chosen[:, 1])
+        row, column = np.zeros(top, dtype=np.int32), np.zeros(top, dtype=np.int32)
+        row[lefts], column[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
+        priority = np.zeros((len(lefts) + 1) * (len(rights) + 1), dtype=np.int16)
+        priority[row[chosen[:, 0]] + column[chosen[:, 1]]] = np.arange(len(chosen), 0, -1)
+        weight = np.zeros(len(symbols) + 1, dtype=np.int16)
+        weight[1:-1] = priority[row[left] + column[right]] * inside
         take = np.flatnonzero((weight[1:-1] > weight[:-2]) & (weight[1:-1] >= weight[2:]))
         if not len(take):
             break
-        rank = order[slot[take]]
-        used, number = np.unique(rank, return_inverse=True)
-        rules.append(np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        rank = len(chosen) - weight[1:-1][take].astype(np.int64)
+        made = np.bincount(rank, minlength=len(chosen)) > 0
+        rules.append(chosen[made].astype(np.uint32))
         symbols, last = symbols.copy(), last.copy()
-        symbols[take] = base + n_rules + number
+        symbols[take] = top + (np.cumsum(made) - 1)[rank]
         last[take] = last[take + 1]
-        n_rules += len(used)
+        n_rules += int(made.sum())
         keep = np.ones(len(symbols), dtype=bool)
         keep[take + 1] = False
         symbols, last = symbols[keep], last[keep]
@@ -184,13 +188,13 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, spac
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, part, shard = encoder(vocabulary, spaced), TaskContext.get().partitionId(), 0
-        base = ids._tokenizer.get_vocab_size(with_added_tokens=True)
+        base = max(ids.base, end_id + 1)
         kept, names, size = [], [], 0
 
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(kept)], pa.int64()),
-                 pa.array([size], pa.int64()), pa.array([names], pa.list_(kind)), pa.array([pack_shard(kept, max(base, end_id + 1))], pa.binary())],
+                 pa.array([size], pa.int64()), pa.array([names], pa.list_(kind)), pa.array([pack_shard(kept, base)], pa.binary())],
                 names=["part", "shard", "n_docs", "n_tokens", "doc_ids", "payload"])
 
         for b in batches:
