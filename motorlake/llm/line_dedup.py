@@ -1,19 +1,22 @@
-"""Line dedup by pairwise alignment: shared line hashes find overlapping documents, patience
-diff aligns them, and aligned common blocks go from the later document."""
+"""Line dedup by pairwise alignment: hashes of shared runs of lines find overlapping documents,
+patience diff and exact common runs align them, and common blocks go from the later document."""
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import saved
+from motorlake.llm.common import mix64, saved
 
-ANCHOR_WORDS = 5       # lines of fewer words find no partner; they are aligned like any other
-BLOCK_WORDS = 10       # an aligned block of fewer words stays
+ANCHOR_WORDS = 5       # a shared line of so many words finds a partner alone, shorter ones in runs
+BLOCK_WORDS = 10       # a common block of fewer words stays
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -66,6 +69,27 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def least_runs(lines: list[int], words: list[int], least_words: int) -> set[tuple[int, int]]:
+    """(start, end) of the shortest runs of ``least_words`` words from each line on and up to each line.
+
+    ``lines`` are ascending line numbers; a run does not go over a missing one. A line is in a common
+    run of two documents that has ``least_words`` or more if and only if it is in one of these that both have.
+    """
+    out: set[tuple[int, int]] = set()
+    opened = start = total = 0
+    for e, w in enumerate(words):
+        if e and lines[e] != lines[e - 1] + 1:
+            opened, start, total = e, e, 0
+        total += w
+        while opened <= e and total >= least_words:
+            out.add((opened, e + 1))
+            total -= words[opened]
+            opened += 1
+        if opened > start:
+            out.add((opened - 1, e + 1))
+    return out
+
+
 def repeated_lines(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int]]:
     """Lines of the later document ``b`` in aligned blocks of ``least_words`` words or more.
 
@@ -96,37 +120,87 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.regexp_replace(line, r"\s+", " ")))
 
 
-def shared_line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, hash, words): every line with a word, numbered among such lines; text of lines is not kept."""
+def line_words(line: Column) -> Column:
+    return F.size(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "))
+
+
+def line_sequences(docs: DataFrame) -> DataFrame:
+    """(doc_id, line, hash, words), one row a document: arrays over its lines with a word, numbered among such lines.
+
+    Where rows repeat a doc_id, other texts follow with numbers 2^32 apart, so no run goes from one to the next.
+    """
     worded = F.filter(_line_array(F.col("text")), lambda x: x.rlike(r"\S"))
-    lines = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(worded).alias("line", "s"))
-    return lines.select("doc_id", "line", line_hash(F.col("s")).alias("hash"),
-                        F.size(F.split(F.trim(F.regexp_replace("s", r"\s+", " ")), " ")).alias("words")).distinct()
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", worded.alias("s")) \
+        .select("doc_id", F.struct(F.transform("s", line_hash).alias("hash"), F.transform("s", line_words).alias("words")).alias("text")) \
+        .groupBy("doc_id").agg(F.collect_set("text").alias("texts"))
+    numbers = F.transform("texts", lambda t, v: F.transform(t["hash"], lambda _, i: v.cast("bigint") * 2 ** 32 + i))
+    return texts.select("doc_id", F.flatten(numbers).alias("line"), F.flatten(F.col("texts.hash")).alias("hash"), F.flatten(F.col("texts.words")).alias("words"))
+
+
+def run_table(sequences: DataFrame, anchor_words: int, block_words: int) -> DataFrame:
+    """(doc_id, run, at, n, anchor): runs of lines as hashes, once each place.
+
+    They are those of ``least_runs`` and the lines of ``anchor_words``. Runs that find partners are marked: these
+    lines, and runs of lines of which none is a block by itself.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            owner, at, end, anchor, first = [], [], [], [], 0
+            for d, (lines, words) in enumerate(zip(b.column("line").to_pylist(), b.column("words").to_pylist())):
+                found = least_runs(lines, words, block_words) | {(i, i + 1) for i, w in enumerate(words) if w >= anchor_words}
+                anchor += [j == i + 1 or max(words[i:j]) < block_words for i, j in found]
+                owner += [d] * len(found)
+                at += [first + i for i, _ in found]
+                end += [first + j for _, j in found]
+                first += len(lines)
+            hashes = b.column("hash").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            start, n, doc = np.array(at, np.int64), np.array(end, np.int64) - np.array(at, np.int64), np.array(owner, np.int64)
+            run = np.zeros(len(start), np.uint64)
+            with np.errstate(over="ignore"):
+                for i in range(int(n.max()) if len(n) else 0):
+                    more = n > i
+                    run[more] = mix64(run[more] * np.uint64(0x9E3779B97F4A7C15) + hashes[start[more] + i])
+            begin = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(b.column("line")).to_numpy(zero_copy_only=False))])[:-1].astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(pa.array(doc)), pa.array(run.view(np.int64)), pa.array((start - begin[doc]).astype(np.int32)), pa.array(n.astype(np.int32)),
+                 pa.array(anchor, pa.bool_())], names=["doc_id", "run", "at", "n", "anchor"])
+
+    kind = sequences.schema["doc_id"].dataType.simpleString()
+    return sequences.mapInArrow(cut, f"doc_id {kind}, run bigint, at int, n int, anchor boolean")
 
 
 def deletions(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, gone): keys of the lines to delete from each document, see ``deduplicate_lines``."""
-    lines = saved(shared_line_table(docs), "lines")
-    holders = saved(lines.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max("words").alias("words"))
-                    .filter("first < last").select("hash", "first", (F.col("words") >= anchor_words).alias("anchor")), "shared-hashes")
-    shared = saved(lines.join(holders, "hash"), "shared-lines")
-    pairs = saved(shared.filter("anchor AND first < doc_id").select("doc_id", "first").distinct(), "overlaps")
-    sequences = saved(shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "hash", "words"))).alias("lines")), "line-sequences")
-
-    later = sequences.select("doc_id", F.col("lines").alias("later"))
-    earlier = sequences.select(F.col("doc_id").alias("first"), F.col("lines").alias("earlier"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    sequences = saved(line_sequences(docs), "lines")
+    runs = saved(run_table(sequences, anchor_words, block_words), "runs")
+    holders = saved(runs.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("run", "first"), "shared-runs")
+    shared = runs.join(holders, "run").groupBy("doc_id").agg(
+        F.collect_set(F.struct("at", "n")).alias("spans"), F.collect_set(F.when(F.expr("anchor AND first < doc_id"), F.col("first"))).alias("partners"))
+
+    def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, partners, spans, *lists in zip(b["doc_id"], b["partners"], b["spans"], b["line"], b["hash"], b["words"]):
+                at = sorted({i for s in spans for i in range(s["at"], s["at"] + s["n"])})
+                rows.append((doc, partners, *(x[at] for x in lists)))
+            yield pd.DataFrame(rows, columns=["doc_id", "partners", "line", "hash", "words"])
+
+    lists = "line array<bigint>, hash array<bigint>, words array<int>"
+    kept = saved(sequences.join(saved(shared, "overlaps"), "doc_id").select("doc_id", "partners", "spans", "line", "hash", "words")
+                 .mapInPandas(trim, f"doc_id {kind}, partners array<{kind}>, {lists}"), "line-sequences")
+    later = kept.select("doc_id", F.explode("partners").alias("first"), F.struct("line", "hash", "words").alias("later"))
+    earlier = kept.select(F.col("doc_id").alias("first"), F.struct("line", "hash", "words").alias("earlier"))
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for doc, a, c in zip(b["doc_id"], b["earlier"], b["later"]):
-                a, c = ([(x["line"], x["hash"], x["words"]) for x in s] for s in (a, c))
-                rows += [(doc, line, h) for line, h in repeated_lines(a, c, block_words)]
+                a, c = (list(zip(s["line"].tolist(), s["hash"].tolist(), s["words"].tolist())) for s in (a, c))
+                rows += [(doc, line & 0xFFFFFFFF, h) for line, h in repeated_lines(a, c, block_words)]
             yield pd.DataFrame(rows, columns=["doc_id", "line", "hash"])
 
-    found = pairs.join(later, "doc_id").join(earlier, "first").select("doc_id", "earlier", "later") \
-        .mapInPandas(align, f"doc_id {kind}, line int, hash bigint")
+    found = later.join(earlier, "first").select("doc_id", "earlier", "later").mapInPandas(align, f"doc_id {kind}, line int, hash bigint")
     return saved(found.groupBy("doc_id").agg(F.collect_set(F.xxhash64("line", "hash")).alias("gone")), "deletions")
 
 
@@ -134,13 +208,15 @@ def deduplicate_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, block_w
     """``docs`` with the aligned common blocks cut from the later documents, plus ``n_lines`` (lines
     with a word) and ``n_removed``.
 
-    Lines are ``\\n``-split and compared with their white space normalised. Every line of
-    ``anchor_words`` or more words that several documents hold pairs each later holder with the
-    first one (least doc_id), so a line that is everywhere costs one pair a document as a
-    rare line does, and none is capped or skipped. A pair is aligned by patience diff over the lines
-    that any other document shares (no other line can match); aligned runs of lines that
-    follow each other in both documents and have ``block_words`` or more words are deleted from the
-    later one. The first holder keeps its text. Lines without a word go only where a text changes
+    Lines are ``\\n``-split and compared with their white space normalised. What is left of a
+    document has no run of ``block_words`` or more words that any document of a lower doc_id has too.
+    Every line of ``anchor_words``, and every shortest run of ``block_words`` of lines that are no block
+    alone, pairs each later holder with its first one (least doc_id), so a run that is everywhere costs
+    one pair a document as a rare one does, and none is capped or skipped. A pair is aligned by patience
+    diff over the lines in shared runs (no other can be in a block), and blocks that stand in another
+    order or several times are then looked up; a block goes whole. A line next to a deleted block, itself
+    less than a block, goes only if one of the document's partners has both together.
+    The first holder keeps its text. Lines without a word go only where a text changes
     and stand at its start or end or next to a deleted line's gap: a changed text is its kept lines, joined.
 
     NULL and empty texts pass unchanged with no lines. Rows without doc_id pass unchanged and are
