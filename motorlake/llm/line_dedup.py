@@ -91,25 +91,33 @@ def least_runs(lines: list[int], words: list[int], least_words: int) -> set[tupl
 
 
 def repeated_lines(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int]]:
-    """Lines of the later document ``b`` in aligned blocks of ``least_words`` words or more.
+    """Lines of the later document ``b`` in common blocks of ``least_words`` words or more.
 
-    Lines are (line number, hash, words); a block is a run of aligned lines that follow each other in both.
+    Lines are (line number, hash, words); a block is a run of equal lines that follow each other in both.
+    Patience diff finds those that stand in one order; where lines are left, all runs that ``a`` has
+    anywhere are looked up, so repeated and moved blocks are found too.
     """
     aligned = patience([x[1] for x in a], [x[1] for x in b])
-    out: list[tuple[int, int]] = []
+    out: set[tuple[int, int]] = set()
     block: list[tuple[int, int]] = []
     words, before = 0, (-2, -2)
     for i, j in [*aligned, (-1, -1)]:
         here = (a[i][0], b[j][0]) if i >= 0 else (-9, -9)
         if (here[0] - before[0], here[1] - before[1]) != (1, 1):
             if words >= least_words:
-                out += block
+                out.update(block)
             block, words = [], 0
         if i >= 0:
             block.append((b[j][0], b[j][1]))
             words += b[j][2]
         before = here
-    return out
+    if len(out) < len(b):
+        have, own = ([x[1] for x in s] for s in (a, b))
+        runs = {tuple(have[i:j]) for i, j in least_runs([x[0] for x in a], [x[2] for x in a], least_words)}
+        for i, j in least_runs([x[0] for x in b], [x[2] for x in b], least_words):
+            if tuple(own[i:j]) in runs:
+                out.update(x[:2] for x in b[i:j])
+    return sorted(out)
 
 
 def _line_array(text: Column) -> Column:

@@ -54,3 +54,18 @@ def says(*names, words=6):
 def test_block_whose_lines_have_other_first_holders(spark):
     rows = [(1, says("p", "x")), (2, says("y", "q")), (3, says("z", "p", "q")), (4, says("p", "q", "v"))]
     assert check(spark, rows)[4] == {0, 1}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_all_earlier_documents_count(spark, seed):
+    rng = random.Random(seed)
+    pool = [says(f"l{n}_", words=rng.choice([1, 2, 4, 6, 9, 12])) for n in range(14)]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < .8 else f"own{i} {n}" for n in range(rng.randint(0, 14)))) for i in range(60)]
+    assert sum(map(len, check(spark, rows).values())) > 60
+
+
+def test_repeated_and_moved_blocks(spark):
+    p, q, r = (says(*[f"{x}{n}_" for n in range(3)]) for x in "pqr")
+    assert check(spark, [(1, f"{q}\n{p}"), (2, f"{p}\n{p}\n{r}")])[2] == set(range(6))
+    assert check(spark, [(1, f"{q}\n{p}"), (2, f"{p}\n{p}")])[2] == set(range(6))
+    assert check(spark, [(1, f"{p}\n{q}\n{r}"), (2, f"{q}\n{r}\nown\n{p}")])[2] == {0, 1, 2, 3, 4, 5, 7, 8, 9}
