@@ -17,6 +17,8 @@ from motorlake.llm.common import mix64, saved
 
 ANCHOR_WORDS = 5       # a shared line of so many words finds a partner alone, shorter ones in runs
 BLOCK_WORDS = 10       # a common block of fewer words stays
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"   # scripts without blanks between words
+WORD_POINTS = 2        # code points of these that count as a word
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -129,7 +131,14 @@ def line_hash(line: Column) -> Column:
 
 
 def line_words(line: Column) -> Column:
-    return F.size(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "))
+    """Words between blanks; in scripts that set none, every ``WORD_POINTS`` code points are a word, the last one may have fewer."""
+    def spaced(x: Column) -> Column:
+        return F.size(F.split(F.trim(F.regexp_replace(x, r"\s+", " ")), " "))
+
+    rest = F.trim(F.regexp_replace(F.regexp_replace(line, UNSPACED, " "), r"\s+", " "))
+    points = F.length(line) - F.length(F.regexp_replace(line, UNSPACED, ""))
+    both = F.ceil(points / WORD_POINTS).cast("int") + F.when(rest.rlike(r"\w"), spaced(rest)).otherwise(0)
+    return F.when(F.octet_length(line) == F.length(line), spaced(line)).when(line.rlike(UNSPACED), both).otherwise(spaced(line))
 
 
 def line_sequences(docs: DataFrame) -> DataFrame:
@@ -217,7 +226,7 @@ def deduplicate_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, block_w
     with a word) and ``n_removed``.
 
     Lines are ``\\n``-split and compared with their white space normalised. What is left of a
-    document has no run of ``block_words`` or more words that any document of a lower doc_id has too.
+    document has no run of ``block_words`` or more words (see ``line_words``) that any document of a lower doc_id has too.
     Every line of ``anchor_words``, and every shortest run of ``block_words`` of lines that are no block
     alone, pairs each later holder with its first one (least doc_id), so a run that is everywhere costs
     one pair a document as a rare one does, and none is capped or skipped. A pair is aligned by patience

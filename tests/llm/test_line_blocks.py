@@ -69,3 +69,14 @@ def test_repeated_and_moved_blocks(spark):
     assert check(spark, [(1, f"{q}\n{p}"), (2, f"{p}\n{p}\n{r}")])[2] == set(range(6))
     assert check(spark, [(1, f"{q}\n{p}"), (2, f"{p}\n{p}")])[2] == set(range(6))
     assert check(spark, [(1, f"{p}\n{q}\n{r}"), (2, f"{q}\n{r}\nown\n{p}")])[2] == {0, 1, 2, 3, 4, 5, 7, 8, 9}
+
+
+def test_short_lines_and_unspaced_scripts(spark):
+    verse = says(*[f"v{n}_" for n in range(15)], words=4)
+    chinese, thai = "我们今天在这里讨论语言模型的训练数据质量问题", "ภาษาไทยไม่มีช่องว่างระหว่างคำในประโยคเดียว"
+    rows = [(1, "one\n" + verse), (2, verse + "\ntwo"), (3, chinese + "\n" + thai + "\n三"), (4, "四\n" + thai + "\n" + chinese), (5, "三\n日本語")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.text, r.n_removed) for r in line_dedup.deduplicate_lines(docs).collect()} == {
+        1: (rows[0][1], 0), 2: ("two", 15), 3: (rows[2][1], 0), 4: ("四", 2), 5: (rows[4][1], 0)}
+    texts = spark.createDataFrame([("a b  c",), ("é ü",), (chinese,), ("日本語",), ("use 日本語 here",), ("日本。",)], "s string")
+    assert [r[0] for r in texts.select(line_dedup.line_words(texts["s"])).collect()] == [3, 2, 11, 2, 4, 1]
