@@ -45,18 +45,15 @@ def prob_minhash(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, n_
     return winner.reshape(n_texts, registers)
 
 
-def weighted_sets(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct shingles, weights 1 + ln(occurrences), owning text) of a batch of texts."""
+def distinct_sets(words: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct shingles, weights, owning text) of a batch of texts. All weights are 1: the probability
+    Jaccard that sketches estimate is then the set Jaccard that links are defined by, however often a shingle occurs."""
     hashes, offsets = shingle_hashes(words, k)
-    parts, counts, sizes = [], [], []
-    for s, e in zip(offsets[:-1], offsets[1:]):
-        u, c = np.unique(hashes[s:e], return_counts=True)
-        parts.append(u)
-        counts.append(c)
-        sizes.append(len(u))
+    parts = [np.unique(hashes[s:e]) for s, e in zip(offsets[:-1], offsets[1:])]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
-    return np.concatenate(parts), 1.0 + np.log(np.concatenate(counts)), np.repeat(np.arange(len(words)), sizes)
+    elements = np.concatenate(parts)
+    return elements, np.ones(len(elements)), np.repeat(np.arange(len(words)), [len(u) for u in parts])
 
 
 def band_members(registers: int, width: int, bands: int) -> np.ndarray:
@@ -75,7 +72,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE_WORDS, registers: int = REGISTERS
         salt = np.arange(len(member), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
             for ids, words in word_batches(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                element, weight, owner = weighted_sets(words, k)
+                element, weight, owner = distinct_sets(words, k)
                 with np.errstate(over="ignore"):
                     sig = mix64(prob_minhash(element, weight, owner, len(words), registers))
                     key = mix64((sig[:, member] * odd).sum(axis=2, dtype=np.uint64) + salt).view(np.int64)
