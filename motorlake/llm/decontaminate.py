@@ -5,7 +5,8 @@ shingles into classes (u/2, u], and for each class a document is seen as windows
 shingles, u apart, so an item's passage lies whole in a window whose size suits it and
 the Jaccard of window and item stays around a quarter or more, however long the
 document. Windows that share a MinHash value with an item make (document, item) a
-candidate; exact containment over the whole document decides.
+candidate; exact containment over the whole document decides. Items of few distinct shingles have
+no classes: every shingle of a document is looked up among theirs, so none is missed.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from motorlake.llm.common import NEAR, SHINGLE_WORDS, shingle_hashes, word_batches, word_hasher
 
 HASHES = 48                                    # a window at Jaccard 0.19 is missed with probability 4e-5
+FEW = 8                                        # items of at most so many distinct shingles are looked up by all of them
 BLOCK_ITEMS, BLOCK_CHARS = 4096, 4_000_000     # items searched for in one pass, the bound on what is broadcast
 
 
@@ -36,19 +38,30 @@ class ItemIndex:
         self.ids = [items[i][0] for i in long]
         hashes, offsets = shingle_hashes([words[i] for i in long], k)
         self.sets = [np.unique(hashes[s:e]) for s, e in zip(offsets[:-1], offsets[1:])]
-        size = np.diff(offsets)
-        unit = np.maximum(8, 2 ** np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+        size = np.array([len(x) for x in self.sets], dtype=np.int64)
+        unit = 2 ** np.ceil(np.log2(np.maximum(np.diff(offsets), 1))).astype(np.int64)
+        direct = (size <= FEW) | (2 * size <= unit)      # the latter repeat so much that they would be a small part of their window
+        few = np.flatnonzero(direct)
+        flat = np.concatenate([np.zeros(0, np.uint64), *(self.sets[i] for i in few)])
+        order = np.argsort(flat)
+        self.few, self.few_items = flat[order], np.repeat(few, size[few])[order]
         self.classes = []
-        for u in np.unique(unit):
-            own = np.flatnonzero(unit == u)
+        for u in np.unique(unit[~direct]):
+            own = np.flatnonzero((unit == u) & ~direct)
             with np.errstate(over="ignore"):
                 values = np.stack([np.array([((self.sets[i] ^ x) * o).min() for i in own]) for x, o in zip(self.xor, self.odd)])
             order = np.argsort(values, axis=1)
             self.classes.append((int(u), np.take_along_axis(values, order, 1), own[order]))
 
     def candidates(self, hashes: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item) where a window and the item share a MinHash value."""
+        """(text, item) where a window and the item share a MinHash value, or the text any shingle of an item of few."""
         found: set[tuple[int, int]] = set()
+        if len(self.few):
+            lo = np.searchsorted(self.few, hashes)
+            at = np.flatnonzero(self.few[np.minimum(lo, len(self.few) - 1)] == hashes)
+            hi, owner = np.searchsorted(self.few, hashes[at], "right"), np.searchsorted(offsets, at, "right") - 1
+            for t, s, e in zip(owner.tolist(), lo[at].tolist(), hi.tolist()):
+                found.update((t, int(i)) for i in self.few_items[s:e])
         n = np.diff(offsets)
         for u, values, items in self.classes:
             blocks = -(-n // u)
