@@ -57,9 +57,10 @@ def stage_events(events: DataFrame, staging: str) -> list[int | None]:
     """One partitioned write of all events by chunk: ``DAYS_PER_CHUNK`` days from the data's own first
     day, events without a time in a chunk of their own (None). Returns the chunks in time order."""
     first = events.agg(F.to_date(F.min("ts")).alias("d")).first()["d"]
-    chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / DAYS_PER_CHUNK).cast("int")
+    chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(first).cast("date")) / DAYS_PER_CHUNK).cast("int")
     events.withColumn("_chunk", chunk).write.mode("overwrite").partitionBy("_chunk").parquet(staging)
-    found = events.sparkSession.read.parquet(staging).select(F.col("_chunk").cast("int")).distinct().collect() if first else []
+    staged = StructType([*events.schema, StructField("_chunk", IntegerType(), True)])
+    found = events.sparkSession.read.schema(staged).parquet(staging).select("_chunk").distinct().collect()
     return sorted((r["_chunk"] for r in found), key=lambda c: (c is None, c or 0))
 
 
