@@ -67,6 +67,16 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.conversation_repair import repair_conversations
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.ngram_resampling import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pack": op2_pack,
@@ -78,6 +88,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL: dict[str, str] = {}
