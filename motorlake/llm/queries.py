@@ -67,6 +67,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from motorlake.llm.projected_neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.conversation_repair import repair_conversations
     return repair_conversations(table(spark, sf_dir, "conversations"))
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_neighbours": op11_neighbours,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_resample": op13_resample,
 }
