@@ -14,8 +14,14 @@ PHONE_MASK = "******"          # before the last four digits
 
 
 def scrub(text: Column, emails: Column) -> Column:
-    """The text with each of its e-mails hashed and each phone number masked but for its last four digits."""
-    hashed = F.aggregate(emails, text, lambda t, e: F.replace(t, e, F.sha2(e, 256)))
+    """The text with each of its e-mails hashed and each phone number masked but for its last four digits.
+
+    The text is cut at its e-mails (``emails``: all of them in order) and put together again with their
+    hashes between the pieces, so an address that is part of another one, or comes twice, never touches
+    the other's place."""
+    pieces = F.split(text, EMAIL_PATTERN, -1)
+    after = F.transform(emails, lambda e, i: F.concat(F.sha2(e, 256), F.get(pieces, i + 1)))
+    hashed = F.concat(F.get(pieces, F.lit(0)), F.array_join(after, ""))
     return F.regexp_replace(hashed, PHONE_PATTERN, PHONE_MASK + "$1$2")
 
 

@@ -18,12 +18,16 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    fields = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
-    fields += [F.col(c) for c in rest]
-    best = F.min(F.struct(*fields)).alias("__best")
+    best = F.min(ranked(rest, order)).alias("__best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("__best")[c].alias(c) for c in rest])
 
 
+def ranked(rest: Sequence[str], order: Sequence[Column | str] = ()) -> Column:
+    """The struct whose least value is the survivor: ``order``, then the remaining columns."""
+    fields = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
+    return F.struct(*fields, *[F.col(c) for c in rest])
+
+
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The reference's ``dropDuplicates``: arbitrary survivor (kept for parity checks)."""
     return df.dropDuplicates(list(keys))

@@ -138,7 +138,23 @@ def production_efficiency_rollup(production: DataFrame) -> DataFrame:
 
 def service_dealer_summary(service_w: DataFrame) -> DataFrame:
     """Per-dealer visit summary with the fan-out weights of ``service_enriched``."""
-    return service_w.groupBy("dealer_id").agg(*_service_measures()).select(
+    return _summarised(service_w.groupBy("dealer_id").agg(*_service_measures()))
+
+
+SERVICE_SUMS = ["_visits", "_cost_c", "_cost_n", "_fb_sum", "_fb_n", "_backed"]
+
+
+def service_states(service_w: DataFrame, *by: str) -> DataFrame:
+    """The sums behind the summary, per dealer and ``by``: states of parts of the visits add up."""
+    return service_w.groupBy("dealer_id", *by).agg(*_service_measures())
+
+
+def service_summary_of_states(states: DataFrame) -> DataFrame:
+    return _summarised(states.groupBy("dealer_id").agg(*[F.sum(c).alias(c) for c in SERVICE_SUMS]))
+
+
+def _summarised(sums: DataFrame) -> DataFrame:
+    return sums.select(
         "dealer_id",
         _avg_rating("_fb_sum", "_fb_n").alias("avg_service_feedback"),
         F.col("_visits").alias("total_service_visits"),
@@ -167,6 +183,11 @@ def _avg_rating(s, n) -> Column:
 # --------------------------------------------------------------------------- L3
 
 def warranty_claims(warranty: DataFrame, service_w: DataFrame, keys: list[str] = WARRANTY_KEYS) -> DataFrame:
+    return warranty_claims_monthly(warranty, keys).join(service_dealer_summary(service_w), "dealer_id", "left")
+
+
+def warranty_claims_monthly(warranty: DataFrame, keys: list[str] = WARRANTY_KEYS) -> DataFrame:
+    """The claim measures alone: each month's rows depend on that month's claims only."""
     grouped, finish = _monthly(warranty, "claim_date", "claim", keys)
     agg = grouped.agg(
         F.count("claim_id").alias("total_claims"),
@@ -177,7 +198,7 @@ def warranty_claims(warranty: DataFrame, service_w: DataFrame, keys: list[str] =
         F.max("claim_amount").alias("max_claim_amount"),
         F.count_distinct("vin").alias("unique_vehicles_claimed"),
     )
-    out = finish(agg).select(
+    return finish(agg).select(
         *keys, "total_claims", "approved_claims", "rejected_claims",
         from_cents("_amt_c").alias("total_claim_amount"),
         avg_cents_2dp("_amt_c", "_amt_n").alias("avg_claim_amount"),
@@ -186,7 +207,6 @@ def warranty_claims(warranty: DataFrame, service_w: DataFrame, keys: list[str] =
         pct_2dp("rejected_claims", "total_claims").alias("rejection_rate_pct"),
         (F.col("total_claims") - F.col("approved_claims") - F.col("rejected_claims")).alias("pending_claims"),
     )
-    return out.join(service_dealer_summary(service_w), "dealer_id", "left")
 
 
 def warranty_claims_rollup(warranty: DataFrame, service_w: DataFrame) -> DataFrame:

@@ -70,37 +70,43 @@ def _months(as_of: str, days: int) -> list[str]:
     return out
 
 
-def build_quality(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Expectation counts of the fact feeds, the rows that violate one with their reasons, and
-    the CSV rows that could not be read."""
-    rules = quality.fact_rules()
-    facts = {n: bronze[n] for n in rules}
-    paths = {"expectations": f"{root}/quality/expectations"}
-    quality.expectation_report(facts).withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths["expectations"])
-    for name, df in facts.items():
-        paths[f"quarantine_{name}"] = f"{root}/quality/quarantine_{name}"
-        quality.quarantine(df, rules[name]).write.mode("overwrite").parquet(paths[f"quarantine_{name}"])
-    return paths
-
-
-def build_report(spark: SparkSession, s: dict[str, DataFrame], gold: dict[str, str], root: str, as_of: str, run_ts: str) -> dict[str, str]:
-    """Report tables and the run's audit rows, from the gold tables this run wrote."""
-    paths = {}
+def build_quality(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> tuple[dict[str, quality.Checked], dict[str, str]]:
+    """Writes each fact feed once, split into kept and quarantined rows with their reasons; the expectation
+    counts come from these writes, and silver reads the kept rows from them."""
+    rules, checked, counts = quality.fact_rules(), {}, []
+    for name in rules:
+        checked[name] = quality.Checked(bronze[name], name, f"{root}/quality/checked/{name}")
+        counts += checked[name].write(rules[name])
+    paths = {"expectations": f"{root}/quality/expectations", **{f"checked_{n}": c.path for n, c in checked.items()}}
+    report = spark.createDataFrame(counts, quality.EXPECTATIONS)
+    report.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths["expectations"])
+    return checked, paths
+
+
+def build_report(spark: SparkSession, s: dict[str, DataFrame], gold: dict[str, str], root: str, as_of: str, run_ts: str,
+                 read=None) -> dict[str, str]:
+    """Report tables and the run's audit rows, from the gold tables this run wrote (``read``: how they are read)."""
+    paths, read = {}, read or (lambda session, path: session.read.parquet(path))
     if "daily_anomaly_summary" in gold:
-        summary = spark.read.parquet(gold["daily_anomaly_summary"])
+        summary = read(spark, gold["daily_anomaly_summary"])
         paths["anomaly_lines"] = f"{root}/report/anomaly_lines"
         report.anomaly_lines(summary).write.mode("overwrite").parquet(paths["anomaly_lines"])
         paths["audit"] = f"{root}/report/audit"
         append_table(report.run_audit(summary, as_of, run_ts), paths["audit"])
     if "dealer_scorecard" in gold:
         paths["dealer_lines"] = f"{root}/report/dealer_lines"
-        report.dealer_lines(spark.read.parquet(gold["dealer_scorecard"])).write.mode("overwrite").parquet(paths["dealer_lines"])
+        report.dealer_lines(read(spark, gold["dealer_scorecard"])).write.mode("overwrite").parquet(paths["dealer_lines"])
     return paths
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of: str,
-                 partition_by_month: bool = True) -> dict[str, DataFrame]:
+                 partition_by_month: bool = True, checked: dict[str, quality.Checked] | None = None) -> dict[str, DataFrame]:
+    """``checked``: the fact feeds as ``build_quality`` has written them, to read their kept rows from there."""
     b = {k: v.drop("_ingest_ts") for k, v in bronze.items()}
+    raw_claims = b["warranty"]
+    if checked:
+        raw_claims = checked["warranty"].rows()
+        b |= {k: c.kept().drop("_ingest_ts") for k, c in checked.items()}
     out: dict[str, DataFrame] = {}
     for dim, (feed, _, _) in DIMENSIONS.items():
         hist = merge_dimension(spark, bronze[feed], dim, f"{root}/silver", as_of)
@@ -109,7 +115,7 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, a
     parts = _write(silver.clean_parts(b["parts"]), f"{root}/silver/parts")
     dealer_parts = _write(silver.clean_dealer_parts(b["dealer_parts"]), f"{root}/silver/dealer_parts")
     # multiplicities are written, so that the joins with them can split a hot key
-    per_vin = _write(silver.claims_per_vin(b["warranty"]), f"{root}/silver/claims_per_vin")
+    per_vin = _write(silver.claims_per_vin(raw_claims), f"{root}/silver/claims_per_vin")
     per_part = _write(silver.dealers_per_part(dealer_parts), f"{root}/silver/dealers_per_part")
     sales = silver.sales_enriched(silver.clean_sales(b["sales"]), out["customer_cur"], out["dealer_cur"],
                                   out["vehicle_cur"])
@@ -155,7 +161,7 @@ def build_gold(s: dict[str, DataFrame], root: str, as_of: str, tables=None) -> d
         window[fact] = df.filter(F.col("_month").isin(_months(as_of, 31))) if "_month" in df.columns else df
     recent = {**s, **window}
     paths = {}
-    for name in tables or GOLD:
+    for name in GOLD if tables is None else tables:
         paths[name] = f"{root}/gold/{name}"
         made = GOLD[name](recent if name in DAILY_GOLD else s, as_of)
         made.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths[name])
@@ -169,7 +175,7 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, as_of: str, dim_a
     limits the gold layer (default: all). Runs on one ``root`` follow each other: bronze reads new
     files only and the dimension histories go on from their last committed version."""
     bronze = ingest_bronze(spark, landing, root)
-    checks = build_quality(spark, bronze, root)
-    s = build_silver(spark, bronze, root, dim_as_of, partition_by_month)
+    checked, checks = build_quality(spark, bronze, root)
+    s = build_silver(spark, bronze, root, dim_as_of, partition_by_month, checked)
     gold = build_gold(s, root, as_of, gold_tables)
     return {**gold, **checks, **build_report(spark, s, gold, root, as_of, dim_as_of)}

@@ -288,16 +288,21 @@ def _expectation_report(spark, d):
 
 @register("expectation_observed")
 def _expectation_observed(spark, d):
-    t = T(spark, d)
-    rules = quality.fact_rules()
-    rows = []
-    for table, df in _fact_feeds(t).items():
-        observed, obs = quality.observe_expectations(df, table, rules[table])
-        observed.write.format("noop").mode("overwrite").save()
-        m = obs.get
-        for rule in rules[table]:
-            rows.append((table, rule, int(m["total"]), int(m[rule]), int(m["total"]) - int(m[rule])))
-    return spark.createDataFrame(rows, "table string, rule string, total long, passed long, failed long")
+    """The counters of the writes that split the five fact feeds into kept and quarantined rows."""
+    from ..session import run_dir
+    root, rules, rows = run_dir(spark, "checked"), quality.fact_rules(), []
+    for table, df in _fact_feeds(T(spark, d)).items():
+        rows += quality.Checked(df, table, f"{root}/{table}").write(rules[table])
+    return spark.createDataFrame(rows, quality.EXPECTATIONS)
+
+
+@register("quarantine_written")
+def _quarantine_written(spark, d):
+    """The quarantined production rows, read from the write that checked the feed."""
+    from ..session import run_dir
+    checked = quality.Checked(T(spark, d).feed("production"), "production", run_dir(spark, "checked"))
+    checked.write(quality.fact_rules()["production"])
+    return checked.quarantined()
 
 
 @register("quarantine_sales")
@@ -308,18 +313,14 @@ def _quarantine_sales(spark, d):
 @register("orphan_report")
 def _orphan_report(spark, d):
     t = T(spark, d)
-    return quality.orphan_report([
-        (t.sales, "sales", t.customer_cur, "customer", "customer_id"),
-        (t.sales, "sales", t.dealer_cur, "dealer", "dealer_id"),
-        (t.sales, "sales", t.vehicle_cur, "vehicle", "vin"),
-        (t.production, "production", t.vehicle_cur, "vehicle", "vin"),
-        (t.service, "service", t.dealer_cur, "dealer", "dealer_id"),
-        (t.service, "service", t.vehicle_cur, "vehicle", "vin"),
-        (t.warranty, "warranty", t.dealer_cur, "dealer", "dealer_id"),
-        (t.warranty, "warranty", t.vehicle_cur, "vehicle", "vin"),
-        (t.warranty, "warranty", t.parts, "parts", "part_id"),
-        (t.inventory, "inventory", t.parts, "parts", "part_id"),
-    ])
+    return quality.orphan_report(
+        {"sales": (t.sales, {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}),
+         "production": (t.production, {"vehicle": "vin"}),
+         "service": (t.service, {"dealer": "dealer_id", "vehicle": "vin"}),
+         "warranty": (t.warranty, {"dealer": "dealer_id", "vehicle": "vin", "parts": "part_id"}),
+         "inventory": (t.inventory, {"parts": "part_id"})},
+        {"customer": (t.customer_cur, "customer_id"), "dealer": (t.dealer_cur, "dealer_id"), "vehicle": (t.vehicle_cur, "vin"),
+         "parts": (t.parts, "part_id")})
 
 
 # ----------------------------------------------------------------------------- K: SCD2
@@ -788,3 +789,40 @@ def _pipeline_sales_performance(spark, d):
 @register("pipeline_dealer_scorecard")
 def _pipeline_dealer_scorecard(spark, d):
     return _pipeline_gold(spark, d, "dealer_scorecard")
+
+
+def land_in_three(spark, d, landing: str):
+    """Lands the ten feeds in three deliveries, one each time the generator goes on: history with the first
+    snapshots, 1997 with the second ones, and at last 1998 with sales of March 1995 that come late and others sent again."""
+    from ..sources import fixtures
+    from ..sources.feeds import FEED_COLUMNS
+    from ..streaming.ingest import write_csv
+    dates = {"sales": "sale_date", "production": "production_date", "service": "service_date", "warranty": "claim_date"}
+    dims = {"customer": fixtures.customer_feed, "dealer": fixtures.dealer_feed, "vehicle_master": fixtures.vehicle_feed}
+    late = (F.substring("sale_date", 1, 7) == "1995-03") & F.col("vin").endswith("3")
+    again = (F.substring("sale_date", 1, 7) == "1996-02") & F.col("vin").endswith("5")
+    for n, (start, end) in enumerate([("0000", "1997"), ("1997", "1998"), ("1998", "9999")]):
+        for name in FEED_COLUMNS:
+            if name in dates:
+                day = F.col(dates[name])
+                rows = fixtures.feed(spark, d, name)
+                mine = (day >= start) & (day < end)
+                if name == "sales":
+                    mine = mine & ~late if n == 0 else mine if n == 1 else mine | late | again
+                write_csv(rows.filter(mine | day.isNull() if n == 0 else mine), f"{landing}/{name}/batch_{n:03d}")
+            elif name in dims and n < 2:
+                write_csv(dims[name](spark, d, n), f"{landing}/{name}/batch_{n:03d}")
+            elif n == 0:
+                write_csv(fixtures.feed(spark, d, name), f"{landing}/{name}/batch_{n:03d}")
+        yield n
+
+
+@register("pipeline_incremental")
+def _pipeline_incremental(spark, d):
+    """The scorecard after three incremental runs, each over what landed before it."""
+    from ..session import run_dir
+    from .incremental import read_gold, run_incremental
+    root = run_dir(spark, "incremental")
+    for n in land_in_three(spark, d, f"{root}/landing"):
+        gold = run_incremental(spark, f"{root}/landing", f"{root}/work", AS_OF, SNAPSHOT_TIMES[n], gold_tables=["dealer_scorecard"])
+    return read_gold(spark, gold["dealer_scorecard"])

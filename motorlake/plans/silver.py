@@ -10,6 +10,9 @@ those of the fan-out, without emitting every pair within a key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,12 +93,21 @@ def current(snapshot: DataFrame, key: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- facts
 
-def clean_sales(feed: DataFrame) -> DataFrame:
-    amount = _num("sale_amount")
-    df = feed.filter(F.col("vin").isNotNull() & (amount > 0) & valid_vin("vin"))
-    df = dedup_first(df, ["vin", "sale_date"], [
-        cents(amount), "dealer_id", "customer_id", cents(_num("discount")), cents(_num("tax_amount")),
-        "channel", "payment_mode"])
+@dataclass(frozen=True)
+class Fact:
+    """How a fact feed becomes silver: the rows that are accepted, the survivor of each business key (the
+    least by ``order``) and the typed columns. ``date`` is the day a row belongs to, None for a snapshot."""
+    keys: list[str]
+    date: str | None
+    accept: Callable[[DataFrame], DataFrame]
+    order: Callable[[], list]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def clean(self, feed: DataFrame) -> DataFrame:
+        return self.finish(dedup_first(self.accept(feed), self.keys, self.order()))
+
+
+def _finish_sales(df: DataFrame) -> DataFrame:
     sale = F.round(_num("sale_amount"), 2)
     disc = F.round(F.coalesce(_num("discount"), F.lit(0.0)), 2)
     tax = F.round(F.coalesce(_num("tax_amount"), F.lit(0.0)), 2)
@@ -112,11 +124,7 @@ def clean_sales(feed: DataFrame) -> DataFrame:
     })
 
 
-def clean_production(feed: DataFrame) -> DataFrame:
-    minutes = _num("production_time_minutes", "int")
-    df = feed.filter(F.col("vin").isNotNull() & (minutes > 0))
-    df = dedup_first(df, ["production_id"], [
-        "vin", "production_date", minutes, "status", "shift", "assembly_line", "plant_id"])
+def _finish_production(df: DataFrame) -> DataFrame:
     df = df.withColumns({
         "production_date": safe_date("production_date"),
         "production_time_minutes": _num("production_time_minutes", "int"),
@@ -128,12 +136,7 @@ def clean_production(feed: DataFrame) -> DataFrame:
     return df.withColumns({"is_completed": flag("status", "COMPLETED"), "is_delayed": flag("status", "DELAYED")})
 
 
-def clean_service(feed: DataFrame) -> DataFrame:
-    cost = _num("service_cost")
-    df = feed.filter(F.col("vin").isNotNull() & (cost >= 0))
-    df = dedup_first(df, ["service_id"], [
-        "vin", "dealer_id", "service_date", "service_type", cents(cost), _num("mileage", "int"),
-        _num("customer_feedback_rating", "int")])
+def _finish_service(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "service_date": safe_date("service_date"),
         "service_type": code("service_type"),
@@ -143,10 +146,7 @@ def clean_service(feed: DataFrame) -> DataFrame:
     })
 
 
-def clean_inventory(feed: DataFrame) -> DataFrame:
-    df = require(feed, ["part_id"])
-    df = dedup_first(df, ["inventory_id"], [
-        "part_id", "warehouse_id", _num("stock_quantity", "int"), _num("reorder_level", "int")])
+def _finish_inventory(df: DataFrame) -> DataFrame:
     df = df.withColumns({
         "stock_quantity": F.coalesce(_num("stock_quantity", "int"), F.lit(0)),
         "reorder_level": F.coalesce(_num("reorder_level", "int"), F.lit(0)),
@@ -156,11 +156,7 @@ def clean_inventory(feed: DataFrame) -> DataFrame:
                          F.when(F.col("stock_quantity") < F.col("reorder_level"), 1).otherwise(0))
 
 
-def clean_warranty(feed: DataFrame) -> DataFrame:
-    amount = _num("claim_amount")
-    df = feed.filter(F.col("vin").isNotNull() & (amount >= 0))
-    df = dedup_first(df, ["claim_id"], [
-        "vin", "dealer_id", "part_id", "claim_date", "claim_status", cents(amount)])
+def _finish_warranty(df: DataFrame) -> DataFrame:
     df = df.withColumns({
         "claim_date": safe_date("claim_date"),
         "claim_status": code("claim_status"),
@@ -170,6 +166,53 @@ def clean_warranty(feed: DataFrame) -> DataFrame:
                            "is_rejected": flag("claim_status", "REJECTED")})
 
 
+FACTS = {
+    "sales": Fact(
+        ["vin", "sale_date"], "sale_date",
+        lambda f: f.filter(F.col("vin").isNotNull() & (_num("sale_amount") > 0) & valid_vin("vin")),
+        lambda: [cents(_num("sale_amount")), "dealer_id", "customer_id", cents(_num("discount")), cents(_num("tax_amount")),
+                 "channel", "payment_mode"], _finish_sales),
+    "production": Fact(
+        ["production_id"], "production_date",
+        lambda f: f.filter(F.col("vin").isNotNull() & (_num("production_time_minutes", "int") > 0)),
+        lambda: ["vin", "production_date", _num("production_time_minutes", "int"), "status", "shift", "assembly_line", "plant_id"],
+        _finish_production),
+    "service": Fact(
+        ["service_id"], "service_date",
+        lambda f: f.filter(F.col("vin").isNotNull() & (_num("service_cost") >= 0)),
+        lambda: ["vin", "dealer_id", "service_date", "service_type", cents(_num("service_cost")), _num("mileage", "int"),
+                 _num("customer_feedback_rating", "int")], _finish_service),
+    "inventory": Fact(
+        ["inventory_id"], None,
+        lambda f: require(f, ["part_id"]),
+        lambda: ["part_id", "warehouse_id", _num("stock_quantity", "int"), _num("reorder_level", "int")], _finish_inventory),
+    "warranty": Fact(
+        ["claim_id"], "claim_date",
+        lambda f: f.filter(F.col("vin").isNotNull() & (_num("claim_amount") >= 0)),
+        lambda: ["vin", "dealer_id", "part_id", "claim_date", "claim_status", cents(_num("claim_amount"))], _finish_warranty),
+}
+
+
+def clean_sales(feed: DataFrame) -> DataFrame:
+    return FACTS["sales"].clean(feed)
+
+
+def clean_production(feed: DataFrame) -> DataFrame:
+    return FACTS["production"].clean(feed)
+
+
+def clean_service(feed: DataFrame) -> DataFrame:
+    return FACTS["service"].clean(feed)
+
+
+def clean_inventory(feed: DataFrame) -> DataFrame:
+    return FACTS["inventory"].clean(feed)
+
+
+def clean_warranty(feed: DataFrame) -> DataFrame:
+    return FACTS["warranty"].clean(feed)
+
+
 def clean_parts(feed: DataFrame) -> DataFrame:
     return feed.select(
         "part_id",

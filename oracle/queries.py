@@ -81,8 +81,8 @@ q("documents_pii_scrub", f"""SELECT doc_id,
   CAST(len(regexp_extract_all(text, '{EMAIL}')) AS BIGINT) AS n_emails,
   CAST(len(regexp_extract_all({_no_email}, '{PHONE}')) AS BIGINT) AS n_phones,
   array_to_string(list_transform(regexp_extract_all(text, '{EMAIL}'), lambda e: sha256(e)), ',') AS email_hashes,
-  regexp_replace(CASE WHEN len({_emails}) = 0 THEN text ELSE list_reduce(list_prepend(text, {_emails}),
-    lambda t, e: replace(t, e, sha256(e))) END, '{PHONE}', '******\\1\\2', 'g') AS scrubbed_text
+  regexp_replace(array_to_string(list_transform(list_zip(regexp_split_to_array(text, '{EMAIL}'), list_append(list_transform({_emails}, lambda e: sha256(e)), '')),
+    lambda z: z[1] || z[2]), ''), '{PHONE}', '******\\1\\2', 'g') AS scrubbed_text
   FROM documents""")
 
 for _t in ["sales", "production", "service", "inventory", "warranty"]:
@@ -599,6 +599,11 @@ q("quarantine_sales", f"""SELECT * FROM (SELECT *, concat_ws(',',
     CASE WHEN NOT coalesce(TRY_CAST(sale_amount AS DOUBLE) > 0, false) THEN 'valid_sale_amount' END,
     CASE WHEN NOT coalesce({B.VALID_VIN}, false) THEN 'valid_vin' END) AS reasons FROM f_sales) WHERE reasons <> ''""")
 
+q("quarantine_written", """SELECT * FROM (SELECT *, concat_ws(',',
+    CASE WHEN NOT coalesce(vin IS NOT NULL, false) THEN 'vin_not_null' END,
+    CASE WHEN NOT coalesce(TRY_CAST(production_time_minutes AS INTEGER) > 0, false) THEN 'positive_production_time' END) AS reasons
+  FROM f_production) WHERE reasons <> ''""")
+
 _ORPHANS = [("sales", "sales", "customer_cur", "customer", "customer_id"),
             ("sales", "sales", "dealer_cur", "dealer", "dealer_id"),
             ("sales", "sales", "vehicle_cur", "vehicle", "vin"),
@@ -675,6 +680,7 @@ q("overwrite_roundtrip", "SELECT * FROM sales")
 
 Q["pipeline_sales_performance"] = Q["sales_performance"]
 Q["pipeline_dealer_scorecard"] = Q["dealer_scorecard"]
+Q["pipeline_incremental"] = Q["dealer_scorecard"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,7 +33,8 @@ def test_three_runs_on_one_root(spark):
     assert spark.read.parquet(f"{root}/work/bronze/sales").count() == fixtures.sales_feed(spark, SMALL).count()
     # the run's own tables
     assert spark.read.parquet(out["expectations"]).filter("failed > 0").count() > 0
-    assert spark.read.parquet(out["quarantine_sales"]).filter("reasons = ''").count() == 0
+    assert spark.read.parquet(out["checked_sales"]).filter("kept != (reasons = '')").count() == 0
+    assert spark.read.parquet(out["checked_sales"]).count() == fixtures.sales_feed(spark, SMALL).count()
     assert spark.read.parquet(out["audit"]).select("run_ts").distinct().count() == 3
     assert "_processed_ts" in spark.read.parquet(out["sales_performance"]).columns
     # daily tables read the months of their window only
