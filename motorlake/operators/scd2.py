@@ -158,3 +158,35 @@ def asof_join(facts: DataFrame, history: DataFrame, key: str, fact_time: str,
     cond = ((F.col(key) == F.col("_hk")) & (F.col("scd_start_date") <= t)
             & (F.col("scd_end_date").isNull() | (t < F.col("scd_end_date"))))
     return facts.join(h, cond, "left").drop("_hk", "scd_start_date", "scd_end_date")
+
+
+def asof_merge(facts: DataFrame, history: DataFrame, key: str, fact_time: str, columns: Sequence[str], span: str = "month") -> DataFrame:
+    """As ``asof_join``, by a merge: facts and versions of a key in time order, the last version carried forward.
+
+    A key's time is cut into spans, so a key with many facts is many groups; each (key, span) that has facts
+    is handed the last version before it. A fact costs one row, however many versions its key has. Facts
+    without key or time get NULLs, as does a time after a version that closed without a successor.
+    """
+    kind, at = history.schema[key].dataType.simpleString(), F.col(fact_time).cast("timestamp_ntz")
+    version = F.struct(F.col("scd_end_date").alias("_end"), *[F.col(c).alias(c) for c in columns])
+    none = F.lit(None).cast(history.select(version.alias("_v")).schema["_v"].dataType)
+    whole = F.struct(*[F.col(c) for c in facts.columns])
+    empty = F.lit(None).cast(facts.select(whole.alias("_f")).schema["_f"].dataType)
+    cut = lambda t: F.date_trunc(span, t).cast("timestamp_ntz")
+    usable = F.col(key).isNotNull() & at.isNotNull()
+    asked = facts.filter(usable).select(F.col(key).cast(kind).alias("_k"), cut(at).alias("_span"), at.alias("_t"), F.lit(2).alias("_kind"),
+                                        whole.alias("_f"), none.alias("_v"))
+    start = F.col("scd_start_date")
+    versions = history.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), cut(start).alias("_span"), start.alias("_t"), F.lit(1).alias("_kind"),
+                                                             empty.alias("_f"), version.alias("_v"))
+    # what each span is handed: spans and versions of a key in order, before any fact
+    marks = asked.select("_k", "_span").distinct().select("_k", "_span", F.col("_span").alias("_t"), F.lit(0).alias("_kind"), none.alias("_v"))
+    in_order = Window.partitionBy("_k").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    handed = marks.unionByName(versions.drop("_f")).withColumn("_v", F.last("_v", ignorenulls=True).over(in_order)).filter("_kind = 0")
+    rows = asked.unionByName(versions).unionByName(handed.withColumn("_f", empty))
+    within = Window.partitionBy("_k", "_span").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.withColumn("_v", F.last("_v", ignorenulls=True).over(within)).filter("_kind = 2")
+    valid = F.col("_v._end").isNull() | (F.col("_t") < F.col("_v._end"))
+    out = met.select("_f.*", *[F.when(valid, F.col("_v")[c]).alias(c) for c in columns])
+    left = facts.filter(~usable).select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in columns])
+    return out.unionByName(left)

@@ -194,6 +194,26 @@ def _distinct_counts(spark, d):
         F.count_distinct("customer_id").alias("customers"), F.count_distinct("model_code").alias("models"))
 
 
+@register("distinct_counts_bitmap")
+def _distinct_counts_bitmap(spark, d):
+    """The distinct counts from daily bitmap states of two runs; the second run's new values extend the dictionaries."""
+    from ..operators import distinct
+    from ..session import run_dir
+    columns = {"vin": "vins", "dealer_id": "dealers", "customer_id": "customers", "model_code": "models"}
+    root, known = run_dir(spark, "bitmaps"), {}
+    sales = T(spark, d).sales_enriched.select(F.col("sale_date").alias("day"), *columns)
+    sales.write.parquet(f"{root}/sales")
+    sales = spark.read.schema(sales.schema).parquet(f"{root}/sales")
+    later = F.coalesce(F.col("day") >= "1995-06-01", F.lit(False))
+    for run, rows in enumerate([sales.filter(~later), sales.filter(later)]):
+        known = {c: distinct.extend_dictionary(rows.select(F.col(c).alias("value")), known.get(c)) for c in columns}
+        distinct.encode(rows, list(columns), known).write.parquet(f"{root}/encoded/run={run}")
+        encoded = spark.read.parquet(f"{root}/encoded/run={run}")
+        distinct.states(encoded, ["day"], list(columns)).write.parquet(f"{root}/states/run={run}")
+    states = spark.read.parquet(f"{root}/states").withColumn("sale_month_label", cleanse.month_label("day"))
+    return distinct.counts(states, ["sale_month_label"], columns)
+
+
 @register("rate_metrics")
 def _rate_metrics(spark, d):
     from ..functions.exact import pct_2dp
@@ -370,6 +390,14 @@ def _sales_asof_dealer(spark, d):
         "rating", "dealer_rating_asof")
 
 
+@register("sales_asof_merge")
+def _sales_asof_merge(spark, d):
+    """The as-of lookup by merging facts and versions in time order."""
+    facts = T(spark, d).sales.select("vin", "sale_date", "dealer_id", "net_revenue")
+    return scd2.asof_merge(facts, scd2_history(spark, d, "dealer"), "dealer_id", "sale_date", ["dealer_name", "rating"]).withColumnRenamed(
+        "rating", "dealer_rating_asof")
+
+
 @register("scd2_from_log")
 def _scd2_from_log(spark, d):
     t = T(spark, d)
@@ -721,6 +749,66 @@ def _ingest_feed_by_name(spark, d):
     return out.select("part_id", "dealer_id", "available_stock", "last_restock_date", F.coalesce(F.col("bin") == F.concat(F.lit("bin "), "part_id"), F.lit(True)).alias("bin_ok"))
 
 
+@register("ingest_schema_log")
+def _ingest_schema_log(spark, d):
+    """The columns that dealer stock files came with, epoch by epoch: reordered, without one, with a new one."""
+    from ..session import run_dir
+    from ..streaming.ingest import ingest_feed, schema_log, write_csv
+    feed, root = T(spark, d).feed("dealer_parts"), run_dir(spark, "schemas")
+    k = F.substring("part_id", 2, 20).cast("long") % 3
+    for n, columns in enumerate([["part_id", "dealer_id", "available_stock", "last_restock_date"], ["dealer_id", "part_id", "available_stock"],
+                                 ["part_id", "dealer_id", "available_stock", "last_restock_date", "bin"]]):
+        write_csv(feed.filter(k == n).withColumn("bin", F.col("part_id")).select(*columns), f"{root}/landing/{n}")
+        ingest_feed(spark, f"{root}/landing/*", f"{root}/out", f"{root}/ckpt", "dealer_parts")
+    return schema_log(spark, f"{root}/out")
+
+
+@register("stream_monthly_sales")
+def _stream_monthly_sales(spark, d):
+    """Monthly sales from a stream in three deliveries: rows that come later and win their key take the
+    place of their predecessor. The query stops and goes on from its checkpoint between deliveries."""
+    from ..session import run_dir
+    from ..sources.feeds import ingest_stream
+    from ..streaming.ingest import monthly_sales, monthly_sales_apply, write_csv
+    feed, root = T(spark, d).feed("sales"), run_dir(spark, "monthlysales")
+    k = F.substring("customer_id", 2, 20).cast("long") % 3
+    for n in range(3):
+        write_csv(feed.filter(k == n), f"{root}/landing/part_{n}")
+        stream = ingest_stream(spark, f"{root}/landing/*", "sales")
+        q = stream.writeStream.foreachBatch(monthly_sales_apply(spark, root)).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return monthly_sales(spark, root)
+
+
+@register("stream_master_changes")
+def _stream_master_changes(spark, d):
+    """Events and customer rows in one query with two watermarks; a twentieth of each comes after a restart, where
+    what both delays have passed is late."""
+    from ..session import run_dir
+    from ..streaming.ingest import csv_reader_options, events_and_changes, read_events_stream, run_to_parquet, write_csv
+    t, root = T(spark, d), run_dir(spark, "master")
+    events = t.raw("events")
+    first = events.agg(F.min("ts").alias("first"))
+    key = F.substring("customer_id", 2, 20).cast("long")
+    master = t.customer_cur.crossJoin(first).select(
+        F.col("customer_id").alias("master_id"), "_row_hash", (F.col("first") + F.make_dt_interval(F.pmod(key, F.lit(20)))).alias("changed_at"))
+    late = {"events": F.col("event_id") % 20 == 0, "master": F.substring("master_id", 2, 20).cast("long") % 19 == 0}
+    schema = master.schema
+
+    def run() -> None:
+        changes = csv_reader_options(spark.readStream.schema(schema)).csv(f"{root}/master/*")
+        both = events_and_changes(spark, read_events_stream(spark, f"{root}/events"), changes)
+        run_to_parquet(both, f"{root}/out", f"{root}/ckpt")
+
+    write_csv(events.filter(~late["events"]), f"{root}/events/0")
+    write_csv(master.filter(~late["master"]), f"{root}/master/0")
+    run()
+    write_csv(events, f"{root}/events/1")
+    write_csv(master, f"{root}/master/1")
+    run()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("pipeline_scd2_rerun")
 def _pipeline_scd2_rerun(spark, d):
     """Dealer history after three whole runs on one root folder, a new snapshot landing before each."""

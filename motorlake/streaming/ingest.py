@@ -155,11 +155,14 @@ def ingest_feed(spark: SparkSession, landing: str, out: str, checkpoint: str, fe
     The file source only tracks the files; each batch's files are read by ``feeds.read_feed``, so their
     columns may be reordered, missing or new. Every epoch writes its own folder (a replay rewrites
     it), malformed rows included (see ``rejected_rows``). Returns the well-formed rows with the
-    columns of all epochs.
+    columns of all epochs. The columns of every file are logged next to ``out`` (see ``schema_log``).
     """
     def apply(batch: DataFrame, epoch: int) -> None:
         files = [r["path"] for r in batch.select("path").collect()]     # the files of one trigger
-        feeds.read_feed_rows(spark, files, feed, multi_line).write.mode("overwrite").parquet(f"{out}/epoch={epoch:06d}")
+        columns = feeds.header_columns(spark, files)
+        log = spark.createDataFrame([(f, list(c)) for f, c in columns.items()], "file string, columns array<string>")
+        log.coalesce(1).write.mode("overwrite").parquet(f"{schema_log_path(out)}/epoch={epoch:06d}")
+        feeds.read_feed_rows(spark, files, feed, multi_line, columns).write.mode("overwrite").parquet(f"{out}/epoch={epoch:06d}")
 
     files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("maxFilesPerTrigger", FILES_PER_EPOCH).load(landing).select("path")
     q = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -171,3 +174,90 @@ def ingest_feed(spark: SparkSession, landing: str, out: str, checkpoint: str, fe
 def rejected_rows(spark: SparkSession, out: str) -> DataFrame:
     """(_file, _malformed): the rows that ``ingest_feed`` could not read."""
     return spark.read.option("mergeSchema", "true").parquet(out).filter("_malformed IS NOT NULL").select("_file", "_malformed")
+
+
+def schema_log_path(out: str) -> str:
+    return f"{out.rstrip('/')}_schemas"
+
+
+def _path_key(c: str):
+    """One spelling of a file's path: listings and rows differ in the slashes after the scheme."""
+    return F.regexp_replace(c, "^([A-Za-z0-9+.-]+:)/+", "$1/")
+
+
+def schema_log(spark: SparkSession, out: str) -> DataFrame:
+    """(epoch, columns, new_columns, rows): each set of columns a feed's files came with, in each epoch.
+
+    ``new_columns`` are those that no earlier epoch had. Written by ``ingest_feed`` for every epoch, rewritten
+    when an epoch is replayed."""
+    log = spark.read.parquet(schema_log_path(out)).select("epoch", F.array_join("columns", ",").alias("columns"), "columns", _path_key("file").alias("_key")).toDF(
+        "epoch", "header", "columns", "_key")
+    read = spark.read.option("mergeSchema", "true").parquet(out).groupBy("epoch", _path_key("_file").alias("_key")).agg(F.count("*").alias("_n"))
+    per = log.join(read, ["epoch", "_key"], "left").groupBy("epoch", "header").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.first("columns").alias("columns"))
+    first = per.select("epoch", F.explode("columns").alias("c")).groupBy("c").agg(F.min("epoch").alias("_first"))
+    new = per.select("epoch", "header", F.explode("columns").alias("c")).join(first, "c").filter(F.col("epoch") == F.col("_first"))
+    new = new.groupBy("epoch", "header").agg(F.array_join(F.array_sort(F.collect_set("c")), ",").alias("new_columns"))
+    return per.join(new, ["epoch", "header"], "left").select("epoch", F.col("header").alias("columns"), F.coalesce("new_columns", F.lit("")).alias("new_columns"), "rows")
+
+
+# ---------------------------------------------------------------- retraction and two watermarks
+
+def monthly_sales_apply(spark: SparkSession, root: str):
+    """A ``foreachBatch`` function that keeps monthly sales right when a re-delivered row replaces its predecessor.
+
+    An epoch logs the survivors it changes, by month, and the signed changes of the monthly sums: minus the old
+    survivor, plus the new one. The old survivor is the least row of the epochs before, in the months of the
+    batch only, so a replayed epoch writes the same again."""
+    from ..operators.dedup import ranked
+    from ..plans.silver import FACTS
+    spec, cols = FACTS["sales"], feeds.FEED_COLUMNS["sales"]
+    rest = [c for c in cols if c not in spec.keys]
+    month = F.coalesce(F.substring("sale_date", 1, 7), F.lit("none"))
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        done = spec.finish(rows)
+        return done.select(F.date_format("sale_date", "yyyy-MM").alias("month"), F.lit(sign).alias("units"),
+                           (sign * cents("sale_amount")).alias("gross_c"), (sign * cents("net_revenue")).alias("net_c"))
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        new = dedup_first(spec.accept(batch.select(*cols)), spec.keys, spec.order()).withColumn("_month", month)
+        new.write.mode("overwrite").parquet(f"{root}/new/epoch={epoch:06d}")
+        new = spark.read.schema(new.schema).parquet(f"{root}/new/epoch={epoch:06d}")
+        months = [r["_month"] for r in new.select("_month").distinct().collect()]
+        log = spark.read.schema(StructType([*new.schema, StructField("epoch", IntegerType())])).parquet(f"{root}/survivors") if epoch else None
+        old = new.limit(0) if log is None else log.filter((F.col("epoch") < epoch) & F.col("_month").isin(months)).drop("epoch")
+        both = new.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+        row = ranked(rest, spec.order())
+        best = both.groupBy(*spec.keys, "_month").agg(F.min(F.when(F.col("_new"), row)).alias("_n"), F.min(F.when(~F.col("_new"), row)).alias("_o"))
+        best = best.filter(F.col("_n").isNotNull() & (F.col("_o").isNull() | (F.col("_n") < F.col("_o"))))
+        best.write.mode("overwrite").parquet(f"{root}/changes/epoch={epoch:06d}")
+        best = spark.read.schema(best.schema).parquet(f"{root}/changes/epoch={epoch:06d}")
+        side = lambda c, of: of.select(*spec.keys, "_month", *[F.col(c)[x].alias(x) for x in rest])
+        won, lost = side("_n", best), side("_o", best.filter("_o IS NOT NULL"))
+        won.select(*new.columns).write.mode("overwrite").partitionBy("_month").parquet(f"{root}/survivors/epoch={epoch:06d}")
+        changes = signed(won, 1).unionByName(signed(lost, -1))
+        sums = changes.groupBy("month").agg(*[F.sum(c).alias(c) for c in ("units", "gross_c", "net_c")])
+        sums.write.mode("overwrite").parquet(f"{root}/sums/epoch={epoch:06d}")
+
+    return apply
+
+
+def monthly_sales(spark: SparkSession, root: str) -> DataFrame:
+    """(month, units, gross_revenue, net_revenue): the changes of all epochs added up."""
+    sums = spark.read.parquet(f"{root}/sums").groupBy("month").agg(*[F.sum(c).alias(c) for c in ("units", "gross_c", "net_c")])
+    return sums.filter("units > 0").select("month", "units", from_cents("gross_c").alias("gross_revenue"), from_cents("net_c").alias("net_revenue"))
+
+
+WATERMARK_POLICY = "min"               # a query with two watermarks follows the slower stream
+
+
+def events_and_changes(spark: SparkSession, events: DataFrame, changes: DataFrame) -> DataFrame:
+    """Events (three days late at most) and master rows (seven days) in one query, each once.
+
+    ``events``: event_id, ts; ``changes``: master_id, changed_at, _row_hash. Under ``WATERMARK_POLICY`` both streams drop
+    what is not later than the lesser watermark, so neither loses a row that its own delay allows."""
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", WATERMARK_POLICY)
+    one = dedup_events(events).select(F.lit("event").alias("kind"), F.col("event_id").cast("string").alias("id"), "ts")
+    master = changes.withColumn("event_time", F.col("changed_at").cast("timestamp"))
+    two = master_changes(master, "master_id", "event_time").select(F.lit("master").alias("kind"), F.col("master_id").alias("id"), F.col("changed_at").alias("ts"))
+    return one.unionByName(two)

@@ -653,11 +653,14 @@ q("scd2_from_log", _history("dealer", with_ingest=False))
 q("dealer_current", f"SELECT * FROM ({_history('dealer')}) WHERE is_current")
 q("scd2_changed_rows", f"""SELECT * FROM ({_snapshot('dealer', 1)}) s WHERE NOT EXISTS (
   SELECT 1 FROM ({_snapshot('dealer', 0)}) h WHERE h.dealer_id = s.dealer_id AND h._row_hash = s._row_hash)""")
+Q["distinct_counts_bitmap"] = Q["distinct_counts"]
 q("sales_asof_dealer", f"""SELECT s.vin, s.sale_date, s.dealer_id, s.net_revenue, h.dealer_name,
   h.rating AS dealer_rating_asof FROM sales s LEFT JOIN ({_history('dealer')}) h
   ON s.dealer_id = h.dealer_id AND h.scd_start_date <= CAST(s.sale_date AS TIMESTAMP)
   AND (h.scd_end_date IS NULL OR CAST(s.sale_date AS TIMESTAMP) < h.scd_end_date)""")
 
+Q["sales_asof_merge"] = Q["sales_asof_dealer"]
+
 
 # ============================================================================ A / I: tables and streams
 
@@ -671,6 +674,18 @@ q("stream_daily_kpi", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) A
   {from_cents(_sum_c('value'))} AS total_value FROM events
   WHERE CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
   GROUP BY 1, 2""")
+_master = """SELECT customer_id AS id, (SELECT min(ts) FROM events) + to_days(CAST(substr(customer_id, 2) AS INTEGER) % 20) AS ts,
+  CAST(substr(customer_id, 2) AS BIGINT) % 19 = 0 AS late FROM customer_cur"""
+_mark = f"""(SELECT least((SELECT date_trunc('milliseconds', max(ts)) FROM events WHERE event_id % 20 <> 0) - INTERVAL 3 DAY,
+  (SELECT date_trunc('milliseconds', max(ts)) FROM ({_master}) WHERE NOT late) - INTERVAL 7 DAY))"""
+q("stream_master_changes", f"""SELECT 'event' AS kind, CAST(event_id AS VARCHAR) AS id, ts FROM events WHERE event_id % 20 <> 0 OR ts > {_mark}
+  UNION ALL SELECT 'master', id, ts FROM ({_master}) WHERE NOT late OR ts > {_mark}""")
+q("stream_monthly_sales", f"""SELECT {B.month_label('sale_date')} AS month, count(*) AS units, {from_cents(_sum_c('sale_amount'))} AS gross_revenue,
+  {from_cents(_sum_c('net_revenue'))} AS net_revenue FROM sales GROUP BY 1""")
+q("ingest_schema_log", """SELECT CAST(n AS INTEGER) AS epoch, ['part_id,dealer_id,available_stock,last_restock_date', 'dealer_id,part_id,available_stock',
+    'part_id,dealer_id,available_stock,last_restock_date,bin'][n + 1] AS columns,
+  ['available_stock,dealer_id,last_restock_date,part_id', '', 'bin'][n + 1] AS new_columns, count(*) AS rows
+  FROM (SELECT CAST(substr(part_id, 2) AS BIGINT) % 3 AS n FROM f_dealer_parts) GROUP BY n""")
 q("stream_row_hash", "SELECT customer_id, _row_hash FROM customer_cur")
 q("stream_scd2", _history("dealer"))
 q("pipeline_scd2_rerun", _history("dealer"))
