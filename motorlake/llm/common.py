@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
+from collections.abc import Callable
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,21 +241,41 @@ class TokenIds:
             return self.whole(text)
 
 
-_ENCODERS: dict = {}
+class _StageCache:
+    """What a worker process keeps while it works for one Spark stage: workers are reused, so without an
+    end at the stage's the caches of all stages of a pipeline would add up."""
+
+    def __init__(self):
+        self.stage, self.held = None, {}
+
+    def get(self, key, make: Callable):
+        context = TaskContext.get()
+        stage = context.stageId() if context else None
+        if stage != self.stage:
+            self.stage, self.held = stage, {}
+        if key not in self.held:
+            self.held[key] = make()
+        return self.held[key]
+
+
+STAGE_CACHE = _StageCache()
 
 
 def encoder(path: str, spaced: bool) -> TokenIds:
-    """One encoder per worker process and file."""
-    key = (path, spaced)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TokenIds(path, spaced)
-    return _ENCODERS[key]
+    """One encoder per worker process, stage and file."""
+    return STAGE_CACHE.get((path, spaced), lambda: TokenIds(path, spaced))
 
 
 def word_hasher() -> WordHashes:
-    if "words" not in _ENCODERS:
-        _ENCODERS["words"] = WordHashes()
-    return _ENCODERS["words"]
+    return STAGE_CACHE.get("words", WordHashes)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name (case does not tell columns apart)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def word_batches(ids: list, texts: list, most_words: int = 400_000):

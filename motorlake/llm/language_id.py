@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,17 +10,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import CACHED_CHARS, held_out, saved
+from motorlake.llm.common import STAGE_CACHE, held_out, saved
 
 UNDETERMINED = "und"
 TRAIN_DOCS = 6000          # at most so many training documents in all, an equal share of each language
 MAX_GRAMS = 20_000         # character n-grams kept for a language, the most frequent
 SWITCH = 12.0              # log-odds that a change of language inside a text costs
 WORD_LIMIT = 6.0           # most log-odds that one word gives one language over another
-CACHE_WORDS = 800_000
+PIECE_CHARS = 64           # a longer stretch without blanks is labelled in pieces of so many characters
+CACHE_WORDS = 400_000
 BATCH_CHARS = 1_000_000    # texts whose new words are scored together
 
 #: First code points of script ranges (Unicode blocks, letters only are looked up).
@@ -35,7 +37,7 @@ SCRIPTS = [
     (0x10000, "other"), (0x20000, "han"),
 ]
 _STARTS = [s for s, _ in SCRIPTS]
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def script_of(ch: str) -> str:
@@ -57,11 +59,11 @@ def script_runs(word: str) -> list[tuple[str, str]]:
 
 
 def chunks_of(text: str) -> list[str]:
-    """The text between white space, longer stretches cut into pieces of CACHED_CHARS: scripts
-    without blanks are labelled piece by piece, and what is cached stays small."""
+    """The text between white space, longer stretches cut into pieces of PIECE_CHARS: scripts
+    without blanks are labelled piece by piece."""
     chunks = text.split()
-    if max(map(len, chunks), default=0) > CACHED_CHARS:
-        chunks = [c[i:i + CACHED_CHARS] for c in chunks for i in range(0, len(c), CACHED_CHARS)]
+    if max(map(len, chunks), default=0) > PIECE_CHARS:
+        chunks = [c[i:i + PIECE_CHARS] for c in chunks for i in range(0, len(c), PIECE_CHARS)]
     return chunks
 
 
@@ -165,7 +167,8 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
 
 
 class _Words(dict):
-    """Chunk -> row of ``table``: the chunk's log-odds for each language and its number of letters.
+    """Chunk -> row of ``table``: the chunk's log-odds for each language, its number of letters, and how many of
+    them are of a script that some language is written in.
 
     New chunks are scored together. The cache is emptied when it is full, between texts.
     """
@@ -173,7 +176,7 @@ class _Words(dict):
     def __init__(self, model: LanguageModel):
         super().__init__()
         self.model = model
-        self.table = np.zeros((0, len(model.languages) + 1))
+        self.table = np.zeros((0, len(model.languages) + 2))
         self._scripts = {s: i for i, s in enumerate(model.scripts)}
         self._among = np.array([*model.scripts.values(), np.zeros(len(model.languages), dtype=bool)])
 
@@ -198,9 +201,10 @@ class _Words(dict):
             scores = np.where(among, scores, -np.inf)
             scores[known] = np.maximum(scores[known] - scores[known].max(axis=1, keepdims=True), -WORD_LIMIT)
             scores[~known] = 0.0
-            np.add.at(out[:, :-1], owner, scores)
-            out[:, -1] = np.bincount(owner, weights=letters, minlength=len(chunks))
-            out[:, :-1] -= out[:, :-1].max(axis=1, keepdims=True)
+            np.add.at(out[:, :-2], owner, scores)
+            out[:, -2] = np.bincount(owner, weights=letters, minlength=len(chunks))
+            out[:, -1] = np.bincount(owner, weights=np.where(known, letters, 0), minlength=len(chunks))
+            out[:, :-2] -= out[:, :-2].max(axis=1, keepdims=True)
         for i, chunk in enumerate(chunks, len(self.table)):
             self[chunk] = i
         self.table = np.concatenate([self.table, out])
@@ -215,11 +219,12 @@ class _Words(dict):
         if new:
             self._add(list(new))
         found = [self.table[np.fromiter(map(self.__getitem__, c), dtype=np.int64, count=len(c))] for c in cut]
-        return [f[f[:, -1] > 0] for f in found]
+        return [f[f[:, -2] > 0] for f in found]
 
 
-def labelled(words: _Words, texts: list[str | None], switch: float = SWITCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(label, letters) of each word with a letter, text by text; texts are scored BATCH_CHARS at a time."""
+def labelled(words: _Words, texts: list[str | None], switch: float = SWITCH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(label, letters, letters of a known script) of each word with a letter, text by text; texts are scored
+    BATCH_CHARS at a time."""
     kept: list[str] = []
     size = 0
     for i, text in enumerate(texts):
@@ -227,41 +232,37 @@ def labelled(words: _Words, texts: list[str | None], switch: float = SWITCH) ->
         size += len(kept[-1])
         if size >= BATCH_CHARS or i == len(texts) - 1:
             for rows in words.rows(kept):
-                yield viterbi(rows[:, :-1], switch), rows[:, -1]
+                yield viterbi(rows[:, :-2], switch), rows[:, -2], rows[:, -1]
             kept, size = [], 0
 
 
-_MODELS: dict[int, _Words] = {}
-
-
 def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> DataFrame:
     """``docs`` plus lang_pred, score and n_spans, found from every whole text.
 
     ``lang_pred`` is the language with most letters among the Viterbi spans, ``score`` its share of the
-    letters, ``n_spans`` how many spans there are. NULL texts and texts without a letter (or a
+    letters (letters of scripts that no language is written in count for none, so a text of such letters
+    alone scores 0), ``n_spans`` how many spans there are. NULL texts and texts without a letter (or a
     model that learned nothing) are ``und`` with score 0. Ties go to the language first in order.
     Only the text enters a prediction; each row gives one row; a clashing column of the three is replaced.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    key = id(broadcast)
+    key = uuid.uuid4().hex
     own = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "n_spans")]
-    names = [f.name for f in own]
+    at = [f.name for f in own].index("text")
+    names = [f"c{i}" for i in range(len(own))]      # a name with a dot does not pass mapInArrow
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = broadcast.value
-        if key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[key] = _Words(m)
-        words = _MODELS[key]
+        words = STAGE_CACHE.get(key, lambda: _Words(m))
         for b in batches:
             langs, scores, n_spans = [], [], []
-            for label, letters in labelled(words, b.column(names.index("text")).to_pylist(), switch):
+            for label, letters, known in labelled(words, b.column(at).to_pylist(), switch):
                 if not len(label) or not m.languages:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     n_spans.append(0)
                     continue
-                share = np.bincount(label, weights=letters, minlength=len(m.languages))
+                share = np.bincount(label, weights=known, minlength=len(m.languages))
                 top = int(share.argmax())
                 langs.append(m.languages[top])
                 scores.append(float(share[top] / letters.sum()))
@@ -269,8 +270,9 @@ def identify(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> D
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(n_spans, pa.int32())],
                                              names=[*names, "lang_pred", "score", "n_spans"])
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own) + "lang_pred string, score double, n_spans int"
-    return docs.select(*names).mapInArrow(run, schema)
+    schema = "".join(f"{n} {f.dataType.simpleString()}, " for n, f in zip(names, own)) + "lang_pred string, score double, n_spans int"
+    rows = docs.select(*[F.col(f"`{f.name}`").alias(n) for n, f in zip(names, own)])
+    return rows.mapInArrow(run, schema).toDF(*[f.name for f in own], "lang_pred", "score", "n_spans")
 
 
 def label_spans(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -> DataFrame:
@@ -282,7 +284,7 @@ def label_spans(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -
         words = _Words(m)
         for b in batches:
             out = []
-            for doc, (label, letters) in zip(b.column(0).to_pylist(), labelled(words, b.column(1).to_pylist(), switch)):
+            for doc, (label, letters, _) in zip(b.column(0).to_pylist(), labelled(words, b.column(1).to_pylist(), switch)):
                 cut = np.concatenate([[0], np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]]) if len(label) and m.languages else [0]
                 out += [(doc, i, m.languages[label[s]], int(s), int(e - s), int(letters[s:e].sum())) for i, (s, e) in enumerate(zip(cut[:-1], cut[1:]))]
             cols = list(zip(*out)) or [[]] * 6

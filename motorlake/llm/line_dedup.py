@@ -13,7 +13,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import mix64, saved
+from motorlake.llm.common import free_name, mix64, saved
 
 ANCHOR_WORDS = 5       # a shared line of so many words finds a partner alone, shorter ones in runs
 BLOCK_WORDS = 10       # a common block of fewer words stays
@@ -241,13 +241,15 @@ def deduplicate_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, block_w
     with other texts lose the lines found in them. All columns are kept; a clashing
     ``n_lines`` or ``n_removed`` is replaced.
     """
-    gone = deletions(docs, anchor_words, block_words).withColumnRenamed("doc_id", "__id").withColumnRenamed("gone", "__gone")
-    joined = docs.join(gone, docs["doc_id"] == F.col("__id"), "left")
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    doc, gone, lines, left = (free_name(docs, c) for c in ("deleted_of", "deleted", "all_lines", "kept_lines"))
+    deleted = deletions(docs, anchor_words, block_words).withColumnsRenamed({"doc_id": doc, "gone": gone})
+    joined = docs.join(deleted, docs["doc_id"] == F.col(doc), "left")
     worded = F.filter(_line_array(F.col("text")), lambda x: x.rlike(r"\S"))
-    kept = F.filter(worded, lambda x, i: ~F.array_contains("__gone", F.xxhash64(i, line_hash(x))))
-    out = joined.withColumn("__lines", F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(worded)) \
-        .withColumn("__kept", F.when(F.col("__gone").isNull() | F.col("text").isNull(), F.col("__lines")).otherwise(kept)) \
-        .withColumn("n_lines", F.size("__lines").cast("bigint")) \
-        .withColumn("n_removed", (F.size("__lines") - F.size("__kept")).cast("bigint")) \
-        .withColumn("text", F.when(F.col("n_removed") > 0, F.array_join("__kept", "\n")).otherwise(F.col("text")))
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    kept = F.filter(worded, lambda x, i: ~F.array_contains(gone, F.xxhash64(i, line_hash(x))))
+    out = joined.withColumn(lines, F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(worded)) \
+        .withColumn(left, F.when(F.col(gone).isNull() | F.col("text").isNull(), F.col(lines)).otherwise(kept)) \
+        .withColumn("n_lines", F.size(lines).cast("bigint")) \
+        .withColumn("n_removed", (F.size(lines) - F.size(left)).cast("bigint")) \
+        .withColumn("text", F.when(F.col("n_removed") > 0, F.array_join(left, "\n")).otherwise(F.col("text")))
+    return out.select(*[F.col(f"`{c}`") for c in own], "n_lines", "n_removed")

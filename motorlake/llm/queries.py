@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,9 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from motorlake.llm.surrogates import replace_personal_data
-    key = spark.conf.get("spark.motorlake.surrogateKey", "set a secret key on the session")
-    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode())
+    # without a key of the session the run draws its own, which nobody can enumerate afterwards
+    key = spark.conf.get("spark.motorlake.surrogateKey", None)
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode() if key else secrets.token_bytes(32))
 
 
 def op4_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import saved
+from motorlake.llm.common import free_name, saved
 
 #: Forms of address by gender (m, f, n unknown); a name follows.
 TITLES = {
@@ -46,6 +46,10 @@ FAMILY_END = {"latin": {"m": ["man", "sen", "ter"], "f": ["man", "sen", "ter"],
               "cyrillic": {"m": ["ров", "нин"], "f": ["рова", "нина"], "n": ["енко", "ич"]},
               "greek": {"m": ["δης", "κος"], "f": ["δου", "κου"], "n": ["ίδη", "άκη"]}}
 
+#: Country calling codes of one and of two digits; all others have three.
+CALLING_CODES = {1: ["1", "7"], 2: ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                                    "81 82 84 86 90 91 92 93 94 95 98").split()}
+GROW = 4                  # draws of the mention's own size before a surrogate grows
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_a-zа-яα-ω][^\W\d_]+)?"
 _ALNUM = r"A-Za-z0-9"
 _NUMBERS = re.compile(
@@ -80,6 +84,17 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def calling_code(digits: str) -> int:
+    """How many digits the country code at the start has."""
+    return next((n for n, codes in CALLING_CODES.items() if digits[:n] in codes), 3)
+
+
+def same_script(ch: str) -> list[str]:
+    """The letters of ``ch``'s kind in its block of 128 code points."""
+    start, kind = ord(ch) & ~127, unicodedata.category(ch)
+    return [c for c in map(chr, range(start, start + 128)) if unicodedata.category(c) == kind]
+
+
 def canonical(kind: str, text: str) -> str:
     if kind in ("phone", "card", "ssn"):
         return ("+" if text.startswith("+") else "") + re.sub(r"\D", "", text)
@@ -140,7 +155,8 @@ class _Stream:
     """Numbers drawn from HMAC-SHA256 in counter mode."""
 
     def __init__(self, key: bytes, kind: str, value: str, attempt: int):
-        self._key, self._seed = key, f"{kind}\0{value}\0{attempt}\0".encode()
+        part, *rest = kind.split(":")          # a name's gender only chooses its ending
+        self._key, self._seed = key, f"{':'.join([part, *rest[1:]])}\0{value}\0{attempt}\0".encode()
         self._block, self._n = b"", 0
 
     def below(self, n: int) -> int:
@@ -161,17 +177,27 @@ class _Stream:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """The canonical surrogate of a canonical value."""
-    s = _Stream(key, kind, value, attempt)
+    """The canonical surrogate of a canonical value.
+
+    After every ``GROW`` attempts it is a character longer (addresses of hosts: from a wider range, at last of
+    version 6), so the draws never run out however many values of one size a corpus has.
+    """
+    s, more = _Stream(key, kind, value, attempt), attempt // GROW
     if kind == "ip":
         a = value.split(".")
+        if more >= 3:
+            return "fd" + "".join("0123456789abcdef"[s.below(16)] for _ in range(2)) + "".join(":" + f"{s.below(65536):x}" for _ in range(7))
         keep = 2 if value.startswith("192.168.") else 1 if a[0] in ("10", "127") else 0
+        if more and keep:
+            a, keep = ["10", *a[1:]], 1 if more == 1 else 0
         return ".".join(x if i < keep else str(1 + s.below(223 if i == 0 else 254)) for i, x in enumerate(a))
     if kind == "phone":
-        keep = 2 if value.startswith("+") else 0           # the country code's first digit
-        return value[:keep] + "".join(s.same_class(c) for c in value[keep:])
+        keep = 1 + calling_code(value[1:]) if value.startswith("+") else 0
+        return value[:keep] + "".join(s.same_class(c) for c in value[keep:] + "0" * more)
+    if kind == "ssn":
+        return "".join(s.same_class(c) for c in value + "0" * more)
     if kind == "card":
-        body = value[0] + "".join(s.same_class(c) for c in value[1:-1])
+        body = value[0] + "".join(s.same_class(c) for c in value[1:-1] + "0" * more)
         valid = next(str(d) for d in range(10) if luhn(body + str(d)))
         if luhn(value):
             return body + valid
@@ -182,32 +208,34 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         fixed = 2 if labels[-2] == "example" else 1        # reserved example domains stay, others keep their top level
         # labels of a domain depend on the domain only, so one organisation stays one
         d = _Stream(key, "domain", ".".join(labels[:-fixed]), 0)
-        return "".join(map(s.same_class, local)) + "@" + ".".join(["".join(map(d.same_class, x)) for x in labels[:-fixed]] + labels[-fixed:])
+        return "".join(map(s.same_class, local + "a" * more)) + "@" + ".".join(["".join(map(d.same_class, x)) for x in labels[:-fixed]] + labels[-fixed:])
     if kind == "secret":
-        return "".join("0123456789abcdef"[s.below(16)] for _ in value)
+        return "".join("0123456789abcdef"[s.below(16)] for _ in range(len(value) + more))
     if kind == "key":
         head = re.match(r"AKIA|ghp_|sk-|xoxb-", value)[0]
-        return head + "".join(map(s.same_class, value[len(head):]))
+        return head + "".join(map(s.same_class, value[len(head):] + "A" * more))
     if kind.startswith(("given:", "family:")):
         part, gender, script = kind.split(":")
         if script in SYLLABLES:
             ends = (GIVEN_END if part == "given" else FAMILY_END)[script][gender]
-            n = 2 + s.below(2) + attempt // 4              # longer names once the short ones are taken
+            n = 2 + s.below(2) + more                      # longer names once the short ones are taken
             return "".join(SYLLABLES[script][s.below(len(SYLLABLES[script]))] for _ in range(n)) + ends[s.below(len(ends))]
-        return "".join(chr(0x4E00 + s.below(0x1000)) if "一" <= c <= "鿿" else c for c in value) + "一" * (attempt + 1)
-    return "".join(map(s.same_class, value))
+        letters = [c for c in value if c.isalpha()]
+        drawn = [(same := same_script(c))[s.below(len(same))] if c.isalpha() else c for c in value + letters[-1] * more]
+        return "".join(drawn)
+    return "".join(map(s.same_class, value + "a" * more))
 
 
 def render(kind: str, mention: str, new: str) -> str:
     """Write a canonical surrogate the way the mention is written: separators, case, leading zeros."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(new.lstrip("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if kind in ("ip", "key"):
         return new
     if len(mention) > 1 and mention.upper() == mention and mention.lower() != mention:
         return new.upper()
-    if kind.startswith(("given:", "family:")):
+    if kind.startswith(("given:", "family:")) and mention[:1] != mention[:1].lower():
         return "-".join(x[:1].upper() + x[1:] for x in new.split("-"))
     if kind == "email" and mention[:1].isupper():
         return new[:1].upper() + new[1:]
@@ -248,18 +276,44 @@ def assign_attempts(entities: DataFrame, key: bytes) -> DataFrame:
         attempt += 1
 
 
+def entity_genders(found: DataFrame) -> DataFrame:
+    """(kind, value, mixed) of the distinct entities of ``found`` (kind, value): a name has one gender in the whole
+    corpus, that of most texts that show one (n on a tie); ``mixed`` where some text alone would say another."""
+    split = F.split("kind", ":")
+    name = F.col("kind").rlike("^(given|family):")
+    gender = F.when(name, split[1])
+    plain = F.when(name, F.concat_ws(":", split[0], split[2])).otherwise(F.col("kind"))
+    count = lambda g: F.count_if(F.coalesce(F.col("gender") == g, F.lit(False)))
+    sums = found.select(plain.alias("plain"), "value", gender.alias("gender")).groupBy("plain", "value").agg(
+        count("m").alias("m"), count("f").alias("f"), count("n").alias("n"))
+    decided = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("n")
+    parts = F.split("plain", ":")
+    kind = F.when(F.size(parts) == 2, F.concat_ws(":", parts[0], decided, parts[1])).otherwise(F.col("plain"))
+    mixed = (F.col("m") > 0).cast("int") + (F.col("f") > 0).cast("int") + (F.col("n") > 0).cast("int") > 1
+    return sums.select(kind.alias("kind"), "value", mixed.alias("mixed"), "plain")
+
+
+def plain_kind(kind: str) -> str:
+    """A kind without its gender."""
+    part, *rest = kind.split(":")
+    return ":".join([part, *rest[1:]])
+
+
 def replace_personal_data(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with every mention replaced, plus ``n_entities`` (mentions replaced).
 
     Replacement keeps kind, script, gender, letter case, separators, country code, card check digit
-    (valid stays valid), reserved domains and private address ranges. Equal entities get equal
-    surrogates in all documents, different ones different surrogates, and no surrogate of a
-    first draw or a later one equals a real value of its kind. Only the entities that needed
-    a second draw are joined back to their documents; all others are redrawn from the key where they stand.
+    (valid stays valid), reserved domains and private address ranges, as long as a format has surrogates left
+    (see ``surrogate``). Equal entities get equal surrogates in all documents, whatever title they bear, different
+    ones different surrogates, and no surrogate of a first draw or a later one equals a real value of its kind.
+    Only entities that needed a second draw, or whose gender one text alone does not tell, are joined
+    back to their documents; all others are redrawn from the key where they stand.
 
     NULL and empty texts pass unchanged with 0 entities; rows may repeat, ids may be NULL. All columns
-    are kept; a clashing ``n_entities`` is replaced.
+    are kept; a clashing ``n_entities`` is replaced. An empty key is an error.
     """
+    if not key:
+        raise ValueError("surrogates need a secret key")
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,25 +324,35 @@ def replace_personal_data(docs: DataFrame, key: bytes) -> DataFrame:
                                              names=["doc_id", "kind", "value"])
 
     found = saved(docs.select("doc_id", "text").mapInArrow(find, f"doc_id {kind_of_id}, kind string, value string"), "mentions")
-    entities = saved(found.select("kind", "value").distinct(), "entities")
-    later = assign_attempts(entities, key).filter("attempt > 0").select("kind", "value", "attempt")
-    again = saved(found.join(saved(later, "later-draws"), ["kind", "value"])
-                  .groupBy("doc_id").agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("__again")), "again").withColumnRenamed("doc_id", "__id")
-    joined = docs.join(again, docs["doc_id"].eqNullSafe(F.col("__id")), "left").drop("__id")
+    entities = saved(entity_genders(found), "entities")
+    drawn = assign_attempts(entities.select("kind", "value"), key).select("kind", "value", "attempt")
+    told = saved(drawn.join(entities, ["kind", "value"]).filter("attempt > 0 OR mixed").select("plain", "value", "attempt", "kind"), "later-draws")
+    split = F.split("kind", ":")
+    plain = F.when(F.size(split) == 3, F.concat_ws(":", split[0], split[2])).otherwise(F.col("kind"))
+    again, doc = free_name(docs, "entities_told"), free_name(docs, "told_of")
+    back = saved(found.select("doc_id", plain.alias("plain"), "value").distinct().join(told, ["plain", "value"])
+                 .groupBy("doc_id").agg(F.collect_set(F.struct("plain", "value", "attempt", "kind")).alias(again)), "again").withColumnRenamed("doc_id", doc)
+    joined = docs.join(back, docs["doc_id"].eqNullSafe(F.col(doc)), "left")
     own = [c for c in docs.columns if c != "n_entities"]
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = own.index("text")
         for b in batches:
             texts, counts = [], []
-            for text, again in zip(b.column("text").to_pylist(), b.column("__again").to_pylist()):
-                attempts = {(x["kind"], x["value"]): x["attempt"] for x in again or ()}
+            for text, others in zip(b.column(at).to_pylist(), b.column(len(own)).to_pylist()):
+                known = {(x["plain"], x["value"]): (x["kind"], x["attempt"]) for x in others or ()}
                 out, end, hits = [], 0, mentions(text)
                 for s, e, kind, value in hits:
-                    out += [text[end:s], render(kind, text[s:e], surrogate(key, kind, value, attempts.get((kind, value), 0)))]
+                    kind, attempt = known.get((plain_kind(kind), value), (kind, 0))
+                    out += [text[end:s], render(kind, text[s:e], surrogate(key, kind, value, attempt))]
                     end = e
                 texts.append("".join([*out, text[end:]]) if hits else text)
                 counts.append(len(hits))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in own] + [pa.array(counts, pa.int64())], names=[*own, "n_entities"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in own) + ", n_entities bigint"
-    return joined.select(*own, "__again").mapInArrow(rewrite, schema)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(own))] + [pa.array(counts, pa.int64())],
+                                             names=[*names, "n"])
+
+    # columns go through Arrow under plain names: a name with a dot does not
+    names = [f"c{i}" for i in range(len(own))]
+    schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, own)) + ", n bigint"
+    rows = joined.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(names, own)], F.col(again).alias("told"))
+    return rows.mapInArrow(rewrite, schema).toDF(*own, "n_entities")

@@ -9,7 +9,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from motorlake.llm.common import CACHED_CHARS, PRE_TOKENS, byte_symbols
+from motorlake.llm.common import CACHED_CHARS, PRE_TOKENS, STAGE_CACHE, byte_symbols
 
 COUNT_CACHE = 1_000_000
 
@@ -100,9 +100,6 @@ class MergeCounter(dict):
         return len(self._split.findall(text)) + sum(map(self._between, self._split.split(text)))
 
 
-_COUNTERS: dict[str, MergeCounter] = {}
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text.
@@ -113,9 +110,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     clashing names do no harm; repeated rows and ids each give their own row.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _COUNTERS:
-            _COUNTERS[vocabulary] = MergeCounter(vocabulary)
-        of = _COUNTERS[vocabulary].of
+        of = STAGE_CACHE.get(("counts", vocabulary), lambda: MergeCounter(vocabulary)).of
         for b in batches:
             texts = b.column(1).to_pylist()
             tokens = [of(t) for t in texts]

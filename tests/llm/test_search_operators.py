@@ -243,3 +243,24 @@ def test_empty_tables(spark):
     assert decontaminate.contaminated(none, items).count() == 0
     assert decontaminate.contaminated(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"), items).count() == 0
     assert language_id.identify(none, language_id.train(none)).count() == 0
+
+
+def test_letters_and_scripts_of_no_language(spark):
+    """Numerals are no letters; letters of scripts that no learned language uses count for none."""
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.01"))
+    model = language_id.train(docs, 400)
+    odd = spark.createDataFrame([(1, "½ ² Ⅷ ①"), (2, "Καλημέρα κόσμε"), (3, "สวัสดี"), (4, "the of and " * 5 + "κόσμε" * 10)], "doc_id long, text string")
+    odd = odd.withColumn("a.b", F.lit(1))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(odd, model).collect()}
+    assert got[1] == ("und", 0.0)
+    assert got[2][0] in model.languages and got[2][1] == 0.0 and got[3][1] == 0.0
+    assert got[4][0] == "en" and 0.4 < got[4][1] < 0.45
+
+
+def test_line_dedup_keeps_clashing_columns(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(1, text, "a", "b", "c"), (2, text + "\nown line here", "a", "b", "c")],
+                                 "doc_id long, text string, deleted string, __id string, `kept.lines` string")
+    got = line_dedup.deduplicate_lines(docs)
+    assert got.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert {r.doc_id: (r.text, r.deleted) for r in got.collect()} == {1: (text, "a"), 2: ("own line here", "a")}

@@ -79,3 +79,99 @@ def test_no_original_is_left_in_the_table(spark):
 
 def test_empty_table(spark):
     assert S.replace_personal_data(spark.createDataFrame([], "doc_id long, text string"), KEY).count() == 0
+
+
+def rewritten(spark, texts, extra=""):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r.text for r in S.replace_personal_data(docs, KEY).orderBy("doc_id").collect()]
+
+
+def test_exhausted_formats_end(spark):
+    """Formats with fewer surrogates than values: draws grow instead of going on for ever."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["_@example.com", *[f"{c}@example.com" for c in letters], *[f"host 192.168.{i}.{j} up" for i in range(256) for j in range(0, 256)]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = [r.text for r in S.replace_personal_data(docs, KEY).collect()]
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+    assert all("@example.com" in t or t.startswith("host ") for t in got)
+
+
+def test_scripts_keep_their_letters(spark):
+    names = ["محمد", "გიორგი", "דוד", "민준", "さくら", "王伟"]
+    got = rewritten(spark, [f"Dr. {n} came, {n} left" for n in names])
+    for name, text in zip(names, got):
+        new = re.fullmatch(r"Dr\. (\S+) came, (\S+) left", text)
+        assert new and new[1] == new[2] and name not in text
+        assert {ord(c) & ~127 for c in new[1]} <= {ord(c) & ~127 for c in name}
+
+
+def test_one_person_under_several_titles(spark):
+    texts = ["Mr. Alexis Smith spoke", "Dr. Alexis Smith spoke", "Prof. Alexis Smith spoke", "my name is Alexis Smith"]
+    got = rewritten(spark, texts)
+    assert len({" ".join(re.search(r"(?:Mr\.|Dr\.|Prof\.|is) (\w+) (\w+)", t).groups()) for t in got}) == 1
+    assert any(got[0].split()[1].endswith(e) for e in S.GIVEN_END["latin"]["m"])
+
+
+@pytest.mark.parametrize("number, code", [("+49 30 1234567", "+49 "), ("+33 1 2345 6789", "+33 "), ("+1 621 555 4974", "+1 "), ("+353 86 123 4567", "+353 ")])
+def test_country_codes_stay(spark, number, code):
+    new = S.render("phone", number, S.surrogate(KEY, "phone", S.canonical("phone", number), 0))
+    assert new.startswith(code) and new != number and len(new) == len(number)
+
+
+def plain(texts):
+    """An independent plain version: entities, their gender, then draws in rounds."""
+    per_text = [S.mentions(t) for t in texts]
+    genders = {}
+    for found in per_text:
+        for kind, value in {m[2:] for m in found}:
+            part = kind.split(":")
+            if len(part) == 3:
+                genders.setdefault((part[0], part[2], value), []).append(part[1])
+
+    def whole(kind, value):
+        part = kind.split(":")
+        if len(part) < 3:
+            return kind
+        seen = genders[part[0], part[2], value]
+        m, f = seen.count("m"), seen.count("f")
+        return f"{part[0]}:{'m' if m > f else 'f' if f > m else 'n'}:{part[2]}"
+
+    def pool(kind):
+        part = kind.split(":")
+        return (part[0], part[-1]) if len(part) == 3 else kind
+
+    entities = {(whole(k, v), v) for found in per_text for _, _, k, v in found}
+    taken = {(pool(k), v) for k, v in entities}
+    given, attempt, left = {}, 0, entities
+    while left:
+        draws = {}
+        for k, v in left:
+            new = S.surrogate(KEY, k, v, attempt)
+            draws.setdefault((pool(k), new if k == "key" else S.canonical("name", new)), []).append((v + "\0" + k, k, v))
+        won = {d: min(who) for d, who in draws.items() if d not in taken}
+        given |= {(k, v): attempt for _, k, v in won.values()}
+        taken |= set(won)
+        left = {e for e in left if e not in given}
+        attempt += 1
+    out = []
+    for text, found in zip(texts, per_text):
+        new, end = "", 0
+        for s, e, k, v in found:
+            k = whole(k, v)
+            new, end = new + text[end:s] + S.render(k, text[s:e], S.surrogate(KEY, k, v, given[k, v])), e
+        out.append(new + text[end:] if found else text)
+    return out
+
+
+def test_equals_a_plain_version(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").orderBy("doc_id").collect()]
+    texts += TEXTS + ["Mr. Alexis Smith", "Mrs. Alexis Jones", "Dr. Alexis Brown", *[f"{c}@example.com" for c in "abcdefghijklmnopqrst"]]
+    assert rewritten(spark, texts) == plain(texts)
+
+
+def test_clashing_columns_and_empty_key(spark):
+    docs = spark.createDataFrame([(1, "Dr. Maria Keller", "x", "y", "z")], "doc_id long, text string, entities_told string, told_of string, `a.b` string")
+    got = S.replace_personal_data(docs, KEY)
+    assert got.columns == [*docs.columns, "n_entities"] and got.first().n_entities == 2
+    with pytest.raises(ValueError):
+        S.replace_personal_data(docs, b"")
