@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
+import sys
 from array import array
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +61,7 @@ class WordHashes(dict):
         out = b"".join(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest()
                        for w in self._words(chunk.lower()))
         if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= CACHE_ENTRIES // 2:
                 self.clear()
             self[chunk] = out
         return out
@@ -241,6 +245,16 @@ class TokenIds:
             return self.whole(text)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker's next stage starts small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+        if trim:
+            trim(0)
+
+
 class _StageCache:
     """What a worker process keeps while it works for one Spark stage: workers are reused, so without an
     end at the stage's the caches of all stages of a pipeline would add up."""
@@ -253,6 +267,7 @@ class _StageCache:
         stage = context.stageId() if context else None
         if stage != self.stage:
             self.stage, self.held = stage, {}
+            release_memory()
         if key not in self.held:
             self.held[key] = make()
         return self.held[key]
@@ -278,14 +293,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def word_batches(ids: list, texts: list, most_words: int = 400_000):
-    """Split a batch into runs of at most ``most_words`` words (one text at least):
-    yields (ids, word hashes of each text)."""
+def word_batches(ids: list, texts: list, most_words: int = 400_000, most_texts: int = 2_000):
+    """Split a batch into runs of at most ``most_words`` words and ``most_texts`` texts (one text at
+    least): yields (ids, word hashes of each text)."""
     hasher = word_hasher()
     kept, words, n = [], [], 0
     for i, text in zip(ids, texts):
         h = hasher.of(text)
-        if kept and n + len(h) // 8 > most_words:
+        if kept and (n + len(h) // 8 > most_words or len(kept) >= most_texts):
             yield kept, words
             kept, words, n = [], [], 0
         kept.append(i)
