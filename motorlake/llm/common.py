@@ -22,7 +22,7 @@ SHINGLE_WORDS = 5
 NEAR = 0.8
 HELD_OUT_FOLD = 2
 FOLDS = 4
-CACHE_ENTRIES = 600_000   # entries of a worker's chunk cache, cleared when full
+CACHE_ENTRIES = 400_000   # entries of a generation of a worker's chunk cache
 CACHED_CHARS = 64         # longer chunks are worked out each time, so memory stays bounded
 
 
