@@ -31,55 +31,72 @@ from motorlake.llm.common import encoder, run_dir
 MAGIC, VERSION = b"RPID", 1
 SHARD_TOKENS = 1 << 20    # a shard closes with the document that reaches this many tokens
 ROUND_RULES = 2048        # rules of one round, the most frequent pairs first
-ROUNDS = 7
 LEAST_COUNT = 8           # a pair that occurs less often makes no rule
 
 
+def peaks(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the ascending places to replace, by the priority of the pair that starts at each.
+
+    A place gives way to a neighbour of higher priority. Neighbours of equal priority are a run
+    of one symbol: every other place of it is taken, from the left.
+    """
+    beside = np.diff(place) == 1
+    before, after = np.zeros_like(weight), np.zeros_like(weight)
+    before[1:], after[:-1] = weight[:-1] * beside, weight[1:] * beside
+    index = np.arange(len(place))
+    run_start = np.maximum.accumulate(np.where(before == weight, 0, index))
+    return np.flatnonzero((weight >= before) & (weight >= after) & ((index - run_start) % 2 == 0))
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: (rules, symbols, is_last).
 
-    Each round counts all adjacent pairs within documents, gives the most frequent ones a
+    Each round counts adjacent pairs within documents, gives the most frequent ones a
     nonterminal each and replaces their occurrences; where two occurrences overlap, the more
-    frequent pair wins. Ends when no pair is frequent. ``ends`` marks each document's last id.
+    frequent pair wins, and a pair left with too few places waits for the next round. Goes on
+    until no pair occurs LEAST_COUNT times. ``ends`` marks each document's last id.
+
+    A pair only becomes rarer, unless it holds a new symbol. So a round counts the places that
+    hold a symbol of the round before, or the symbols of pairs that were frequent then.
     """
-    symbols, last = ids.astype(np.uint32), ends
+    symbols, last = ids.astype(np.intp), ends
     rules: list[np.ndarray] = []
-    n_rules = 0
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        left, right, inside = symbols[:-1], symbols[1:], ~last[:-1]
+    n_rules, newest = 0, 0
+    leads, follows = np.ones(base, dtype=bool), np.ones(base, dtype=bool)      # symbols of pairs that were frequent
+    while len(symbols) > 1:
         top = base + n_rules
+        fresh = symbols >= newest
+        place = np.flatnonzero((leads.take(symbols[:-1]) & follows.take(symbols[1:]) | fresh[:-1] | fresh[1:]) & ~last[:-1])
+        left, right = symbols.take(place), symbols.take(place + 1)
         # pairs of small symbols are sorted as 32-bit numbers, which is much faster
         half = np.uint32(16) if top <= 1 << 16 else np.uint64(32)
-        found, counts = np.unique(((left.astype(half.dtype) << half) | right)[inside], return_counts=True)
+        found, counts = np.unique((left.astype(half.dtype) << half) | right.astype(half.dtype), return_counts=True)
         often = np.flatnonzero(counts >= LEAST_COUNT)
         if not len(often):
             break
-        often = often[np.lexsort((found[often], -counts[often]))][:ROUND_RULES]
-        chosen = np.stack([found[often] >> half, found[often] & ((1 << int(half)) - 1)], 1).astype(np.int64)
+        often = often[np.lexsort((found[often], -counts[often]))]
+        pairs = np.stack([found[often] >> half, found[often] & ((1 << int(half)) - 1)], 1).astype(np.int64)
+        chosen = pairs[:ROUND_RULES]
         # a table over the chosen left and right symbols holds each pair's priority, 0 for none
         lefts, rights = np.unique(chosen[:, 0]), np.unique(chosen[:, 1])
         row, column = np.zeros(top, dtype=np.int32), np.zeros(top, dtype=np.int32)
         row[lefts], column[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
         priority = np.zeros((len(lefts) + 1) * (len(rights) + 1), dtype=np.int16)
         priority[row[chosen[:, 0]] + column[chosen[:, 1]]] = np.arange(len(chosen), 0, -1)
-        weight = np.zeros(len(symbols) + 1, dtype=np.int16)
-        weight[1:-1] = priority[row[left] + column[right]] * inside
-        take = np.flatnonzero((weight[1:-1] > weight[:-2]) & (weight[1:-1] >= weight[2:]))
-        if not len(take):
-            break
-        rank = len(chosen) - weight[1:-1][take].astype(np.int64)
-        made = np.bincount(rank, minlength=len(chosen)) > 0
+        weight = priority.take(row.take(left) + column.take(right))
+        hit = np.flatnonzero(weight)
+        place, weight = place.take(hit), weight.take(hit)
+        taken = peaks(place, weight)
+        take, rank = place[taken], len(chosen) - weight[taken].astype(np.int64)
+        made = np.bincount(rank, minlength=len(chosen)) >= LEAST_COUNT // 2    # holds for the first pair: a round always shortens
+        take, rank = take[made[rank]], rank[made[rank]]
         rules.append(chosen[made].astype(np.uint32))
-        symbols, last = symbols.copy(), last.copy()
         symbols[take] = top + (np.cumsum(made) - 1)[rank]
-        last[take] = last[take + 1]
-        n_rules += int(made.sum())
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[take + 1] = False
-        symbols, last = symbols[keep], last[keep]
-    return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols, last
+        n_rules, newest = n_rules + int(made.sum()), top
+        leads, follows = np.zeros(base + n_rules, dtype=bool), np.zeros(base + n_rules, dtype=bool)
+        leads[pairs[:, 0]], follows[pairs[:, 1]] = True, True
+        symbols, last = np.delete(symbols, take + 1), np.delete(last, take)     # the pair's end is its right symbol's
+    return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols.astype(np.uint32), last
 
 
 def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:

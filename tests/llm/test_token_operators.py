@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -125,3 +126,26 @@ def test_hot_length_is_spread(spark):
         F.repeat(F.lit("word "), (F.col("id") % 40).cast("int"))).alias("text")).repartition(7)
     got = packing.pack_documents(docs, BYTES, 32, 2)
     assert got.count() == got.select("sequence_id", "offset").distinct().count()
+
+
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    phrases = [rng.integers(0, 500, rng.integers(2, 60)) for _ in range(30)]
+    ids = np.concatenate([phrases[i] for i in rng.integers(0, 30, 4000)] + [np.full(777, 9)]).astype(np.uint32)
+    ends = rng.random(len(ids)) < 0.01
+    ends[-1] = True
+    rules, symbols, last = grammar_ids.repair(ids, ends, 500)
+    pairs = Counter(zip(symbols[:-1][~last[:-1]].tolist(), symbols[1:][~last[:-1]].tolist()))
+    assert max(pairs.values()) < grammar_ids.LEAST_COUNT
+    whole = [[i] for i in range(500)]
+    for a, b in rules.tolist():
+        whole.append(whole[a] + whole[b])
+    assert [i for s in symbols.tolist() for i in whole[s]] == ids.tolist()
+    assert np.cumsum([len(whole[s]) for s in symbols.tolist()])[last].tolist() == (np.flatnonzero(ends) + 1).tolist()
+
+
+def test_a_run_of_one_id_shrinks_to_its_logarithm():
+    ends = np.zeros(100_000, dtype=bool)
+    ends[-1] = True
+    rules, symbols, _ = grammar_ids.repair(np.full(100_000, 7, dtype=np.uint32), ends, 100)
+    assert len(rules) < 20 and len(symbols) < 20
