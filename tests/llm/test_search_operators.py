@@ -1,5 +1,6 @@
 """Operators 4, 6, 8 and 10 against brute force on small tables."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -19,6 +20,19 @@ def shingles(text, k=5):
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
 
 
+def weighted(text, k=5):
+    w = re.findall(r"\w+", (text or "").lower())
+    grams = [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] or ([tuple(w)] if w else [])
+    return {g: 1 + math.log(c) for g, c in Counter(grams).items()}
+
+
+def probability_jaccard(x, y):
+    """By the definition, element by element."""
+    union = sorted(x.keys() | y.keys())
+    xs, ys = (np.array([side.get(e, 0.0) for e in union]) for side in (x, y))
+    return sum(1 / np.maximum(xs / x[d], ys / y[d]).sum() for d in x.keys() & y.keys())
+
+
 def words(rng, n):
     return [f"w{rng.randint(0, 3000)}" for _ in range(n)]
 
@@ -40,7 +54,7 @@ def corpus(spark):
 
 
 def brute_classes(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
+    sets = [(i, weighted(t)) for i, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -51,7 +65,7 @@ def brute_classes(rows):
     for a in range(len(rows)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and len(x & y) >= 0.8 * len(x | y):
+            if x == y and x or not x.keys().isdisjoint(y.keys()) and probability_jaccard(x, y) >= 0.8 - 1e-9:
                 parent[root(a)] = root(b)
     least = {}
     for n, (i, _) in enumerate(sets):
