@@ -150,11 +150,14 @@ class Recent(dict):
     def make(self, key: str):
         raise NotImplementedError
 
+    def keeps(self, key: str) -> bool:
+        return len(key) <= CACHED_CHARS
+
     def __missing__(self, key: str):
         out = self._older.get(key)
         if out is None:
             out = self.make(key)
-        if len(key) <= CACHED_CHARS:
+        if self.keeps(key):
             if len(self) >= self._entries:
                 self._older = dict(self)
                 self.clear()
@@ -192,17 +195,23 @@ class _Ids(Recent):
         self._pieces, self._lower = pieces, lower
         self._plain, self._cut = re.compile(r"[!-~\u00a1-\u00ff\n]*").fullmatch, regex.compile(pattern).findall
 
+    def keeps(self, chunk: str) -> bool:
+        return len(chunk) <= CACHED_CHARS and "\n" not in chunk       # words around a line's end seldom meet again
+
     def make(self, chunk: str) -> bytes:
         if self._checked and (not chunk or chunk[0].isspace()):
             raise _Unsafe
         text, pieces = self._lead + chunk, self._pieces
         if pieces is not None and chunk:
-            word, stop = (chunk[:-1], chunk[-1]) if chunk[-1] in ".,;:!?" else (chunk, "")
-            if word.isalpha() and (word.isascii() or max(word) <= "\u00ff"):       # the pattern's commonest case
-                word = self._lead + (word.lower() if self._lower else word)
-                return pieces[word] + pieces[stop] if stop else pieces[word]
+            # the pattern's commonest case: a word, or a word and a mark; its ids are kept here only
+            if chunk[-1] in ".,;:!?":
+                word = chunk[:-1]
+                if word.isalpha() and (word.isascii() or max(word) <= "\u00ff"):
+                    return self[word] + pieces[chunk[-1]]
+            elif chunk.isalpha() and (chunk.isascii() or max(chunk) <= "\u00ff"):
+                return pieces.make(text.lower() if self._lower else text)
         if pieces is not None and self._plain(chunk):
-            return b"".join(map(self._pieces.__getitem__, self._cut(text.lower() if self._lower else text)))
+            return b"".join(map(pieces.__getitem__, self._cut(text.lower() if self._lower else text)))
         return array("I", self._encode(text, add_special_tokens=False).ids).tobytes()
 
 
