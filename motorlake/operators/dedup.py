@@ -8,24 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (), by: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the smallest by ``order`` (ASC, NULLS FIRST), ties broken by
     every remaining column, so the survivor never depends on partitioning.
 
     Planned as an aggregate, ``min(struct(order..., rest...))``: partial
     aggregation collapses duplicates before the shuffle, so a hot key costs one
     row per map task, not one task holding all its rows.
+
+    ``by``: some of ``keys``. The rows are dealt by these once, as they are, and stay so: a join on ``by``
+    that follows moves them no second time. All rows of one value of ``by`` then meet in one task, so it is for
+    columns whose values repeat a bounded number of times.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     best = F.min(ranked(rest, order)).alias("__best")
+    df = df.repartition(*by) if by else df
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("__best")[c].alias(c) for c in rest])
 
 
 def ranked(rest: Sequence[str], order: Sequence[Column | str] = ()) -> Column:
-    """The struct whose least value is the survivor: ``order``, then the remaining columns."""
-    fields = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
-    return F.struct(*fields, *[F.col(c) for c in rest])
+    """The struct whose least value is the survivor: ``order``, then the remaining columns. A column that
+    ``order`` names stands in the struct once, at its place there."""
+    named = {o for o in order if isinstance(o, str) and o in rest}
+    fields = []
+    for i, o in enumerate(order):
+        c = F.col(o) if isinstance(o, str) else o
+        fields.append(c if isinstance(o, str) and o in named else c.alias(f"__o{i}"))
+    return F.struct(*fields, *[F.col(c) for c in rest if c not in named])
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -89,6 +89,18 @@ class Tables:
     def sales_enriched(self) -> DataFrame:
         return silver.sales_enriched(self.sales, self.customer_cur, self.dealer_cur, self.vehicle_cur)
 
+    @cached_property
+    def measured_sales(self) -> DataFrame:
+        """Sales without their own region and city, which no KPI table uses. These come last in the order that
+        picks a survivor, so all other columns are the same as in ``sales``, and fewer bytes are moved."""
+        return self.sales if self.store else silver.clean_sales(self.feed("sales").drop("region", "city"))
+
+    @cached_property
+    def measured_sales_enriched(self) -> DataFrame:
+        if self.store:
+            return self.sales_enriched
+        return silver.sales_enriched(self.measured_sales, self.customer_cur, self.dealer_cur, self.vehicle_cur)
+
     @cached_property
     def production(self) -> DataFrame:
         return silver.clean_production(self.feed("production"))

@@ -334,7 +334,7 @@ def _quarantine_sales(spark, d):
 def _orphan_report(spark, d):
     t = T(spark, d)
     return quality.orphan_report(
-        {"sales": (t.sales, {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}),
+        {"sales": (t.measured_sales, {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}),
          "production": (t.production, {"vehicle": "vin"}),
          "service": (t.service, {"dealer": "dealer_id", "vehicle": "vin"}),
          "warranty": (t.warranty, {"dealer": "dealer_id", "vehicle": "vin", "parts": "part_id"}),
@@ -385,7 +385,7 @@ def _dealer_current(spark, d):
 def _sales_asof_dealer(spark, d):
     t = T(spark, d)
     hist = scd2_history(spark, d, "dealer")
-    facts = t.sales.select("vin", "sale_date", "dealer_id", "net_revenue")
+    facts = t.measured_sales.select("vin", "sale_date", "dealer_id", "net_revenue")
     return scd2.asof_join(facts, hist, "dealer_id", "sale_date", ["dealer_name", "rating"]).withColumnRenamed(
         "rating", "dealer_rating_asof")
 
@@ -393,7 +393,7 @@ def _sales_asof_dealer(spark, d):
 @register("sales_asof_merge")
 def _sales_asof_merge(spark, d):
     """The as-of lookup by merging facts and versions in time order."""
-    facts = T(spark, d).sales.select("vin", "sale_date", "dealer_id", "net_revenue")
+    facts = T(spark, d).measured_sales.select("vin", "sale_date", "dealer_id", "net_revenue")
     return scd2.asof_merge(facts, scd2_history(spark, d, "dealer"), "dealer_id", "sale_date", ["dealer_name", "rating"]).withColumnRenamed(
         "rating", "dealer_rating_asof")
 
@@ -412,12 +412,12 @@ def _scd2_from_log(spark, d):
 
 @register("sales_performance")
 def _sales_performance(spark, d):
-    return kpi.sales_performance(T(spark, d).sales_enriched)
+    return kpi.sales_performance(T(spark, d).measured_sales_enriched)
 
 
 @register("sales_performance_rollup")
 def _sales_performance_rollup(spark, d):
-    return kpi.sales_performance_rollup(T(spark, d).sales_enriched)
+    return kpi.sales_performance_rollup(T(spark, d).measured_sales_enriched)
 
 
 @register("production_efficiency")
@@ -444,12 +444,12 @@ def _warranty_claims_rollup(spark, d):
 
 def scorecard(t: Tables, month_of: str | None = None) -> DataFrame:
     """The scorecard of all months, or of one month: the facts are then filtered by its dates first."""
-    sales, service, claims = t.sales_enriched, t.service_enriched, t.claims
+    sales, service, claims = silver.sales_with_vehicle(t.measured_sales, t.vehicle_cur), t.service_enriched, t.claims
     if month_of:
         first = F.trunc(F.lit(month_of).cast("date"), "month")
         within = lambda df, c: df.filter((F.col(c) >= first) & (F.col(c) < F.add_months(first, 1)))
         sales, service, claims = within(sales, "sale_date"), within(service, "service_date"), within(claims, "claim_date")
-    return kpi.dealer_scorecard(sales, service, claims, t.inventory_enriched, t.dealer_parts)
+    return kpi.dealer_scorecard(sales, service, claims, t.inventory_enriched, t.dealer_parts, t.dealer_cur)
 
 
 @register("dealer_scorecard")

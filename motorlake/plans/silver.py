@@ -10,7 +10,7 @@ those of the fan-out, without emitting every pair within a key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -96,27 +96,28 @@ def current(snapshot: DataFrame, key: str) -> DataFrame:
 @dataclass(frozen=True)
 class Fact:
     """How a fact feed becomes silver: the rows that are accepted, the survivor of each business key (the
-    least by ``order``) and the typed columns. ``date`` is the day a row belongs to, None for a snapshot."""
+    least by ``order``) and the typed columns. ``date`` is the day a row belongs to, None for a snapshot. ``by``: see ``dedup_first``."""
     keys: list[str]
     date: str | None
     accept: Callable[[DataFrame], DataFrame]
     order: Callable[[], list]
     finish: Callable[[DataFrame], DataFrame]
+    by: Sequence[str] = ()
 
     def clean(self, feed: DataFrame) -> DataFrame:
-        return self.finish(dedup_first(self.accept(feed), self.keys, self.order()))
+        return self.finish(dedup_first(self.accept(feed), self.keys, self.order(), self.by))
 
 
 def _finish_sales(df: DataFrame) -> DataFrame:
     sale = F.round(_num("sale_amount"), 2)
     disc = F.round(F.coalesce(_num("discount"), F.lit(0.0)), 2)
     tax = F.round(F.coalesce(_num("tax_amount"), F.lit(0.0)), 2)
+    place = {"region": code("region"), "city": title("city")}
     return df.withColumns({
         "sale_date": safe_date("sale_date"),
-        "region": code("region"),
+        **{c: made for c, made in place.items() if c in df.columns},
         "channel": code("channel"),
         "payment_mode": code("payment_mode"),
-        "city": title("city"),
         "sale_amount": sale,
         "discount": disc,
         "tax_amount": tax,
@@ -171,7 +172,7 @@ FACTS = {
         ["vin", "sale_date"], "sale_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("sale_amount") > 0) & valid_vin("vin")),
         lambda: [cents(_num("sale_amount")), "dealer_id", "customer_id", cents(_num("discount")), cents(_num("tax_amount")),
-                 "channel", "payment_mode"], _finish_sales),
+                 "channel", "payment_mode"], _finish_sales, ["vin"]),
     "production": Fact(
         ["production_id"], "production_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("production_time_minutes", "int") > 0)),
@@ -236,6 +237,12 @@ def clean_dealer_parts(feed: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- enrichment
 
+def sales_with_vehicle(sales: DataFrame, vehicle_cur: DataFrame) -> DataFrame:
+    vehicle = vehicle_cur.select("vin", "model_code", "model_name", "fuel_type", "transmission", "variant",
+                                 "ex_showroom_price")
+    return sales.join(vehicle, "vin", "left")
+
+
 def sales_enriched(sales: DataFrame, customer_cur: DataFrame, dealer_cur: DataFrame,
                    vehicle_cur: DataFrame) -> DataFrame:
     cust = customer_cur.select(
@@ -246,11 +253,12 @@ def sales_enriched(sales: DataFrame, customer_cur: DataFrame, dealer_cur: DataFr
         "dealer_id", "dealer_name", "dealer_type", F.col("region").alias("dealer_region"),
         F.col("city").alias("dealer_city"), F.col("state").alias("dealer_state"),
         F.col("rating").alias("dealer_rating"))
-    vehicle = vehicle_cur.select("vin", "model_code", "model_name", "fuel_type", "transmission", "variant",
-                                 "ex_showroom_price")
-    return (sales.join(cust, "customer_id", "left")
-                 .join(dealer, "dealer_id", "left")
-                 .join(vehicle, "vin", "left"))
+    # the vehicle first: clean_sales leaves its rows dealt by vin. The columns keep their order
+    with_vehicle = sales_with_vehicle(sales, vehicle_cur)
+    joined = with_vehicle.join(cust, "customer_id", "left").join(dealer, "dealer_id", "left")
+    rest = [c for c in sales.columns if c not in ("vin", "dealer_id", "customer_id")]
+    return joined.select("vin", "dealer_id", "customer_id", *rest, *cust.columns[1:], *dealer.columns[1:],
+                         *with_vehicle.columns[len(sales.columns):])
 
 
 def production_enriched(production: DataFrame, vehicle_cur: DataFrame) -> DataFrame:

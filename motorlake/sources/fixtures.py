@@ -92,9 +92,10 @@ def sales_feed(spark, sf_dir) -> DataFrame:
     price_c = cents("l_extendedprice")
     disc_c = idiv(price_c * cents("l_discount"), F.lit(100))
     tax_c = idiv(price_c * cents("l_tax"), F.lit(100))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    # orders meet their customers first, so that lines are moved once
+    sold = (o.join(c.join(nations(spark, sf_dir), c.c_nationkey == F.col("n_nationkey")), o.o_custkey == c.c_custkey)
+             .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "n_name", "r_name"))
+    return (li.join(sold, li.l_orderkey == sold.o_orderkey)
               .select(
                   vin_of("l_partkey").alias("vin"),
                   date_text(F.col("o_orderdate")).alias("sale_date"),
