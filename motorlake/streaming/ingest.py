@@ -46,8 +46,9 @@ def csv_reader_options(reader):
     return reader
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    w = df.write.mode("overwrite")
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """``compression``: "gzip" takes about a third of the room, but a file is then read by one task."""
+    w = df.write.mode("overwrite").option("compression", compression)
     for k, v in CSV_OPTIONS.items():
         w = w.option(k, v)
     w.csv(path)
@@ -219,17 +220,31 @@ def monthly_sales_apply(spark: SparkSession, root: str):
         return done.select(F.date_format("sale_date", "yyyy-MM").alias("month"), F.lit(sign).alias("units"),
                            (sign * cents("sale_amount")).alias("gross_c"), (sign * cents("net_revenue")).alias("net_c"))
 
+    def written(rows: DataFrame, name: str, epoch: int) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch:06d}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}/epoch={epoch:06d}")
+
+    def same_key(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        """Join on the business key, NULLs equal; a left join adds the other columns of ``other``."""
+        added = [c for c in other.columns if c not in spec.keys]
+        renamed = other.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(spec.keys)], *added)
+        return rows.join(renamed, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(spec.keys)], how).drop(
+            *[f"_k{i}" for i in range(len(spec.keys))])
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        new = dedup_first(spec.accept(batch.select(*cols)), spec.keys, spec.order()).withColumn("_month", month)
+        new = dedup_first(spec.accept(batch.select(*cols)), spec.keys, spec.order(), spec.by).withColumn("_month", month)
         new.write.mode("overwrite").parquet(f"{root}/new/epoch={epoch:06d}")
         new = spark.read.schema(new.schema).parquet(f"{root}/new/epoch={epoch:06d}")
         months = [r["_month"] for r in new.select("_month").distinct().collect()]
         log = spark.read.schema(StructType([*new.schema, StructField("epoch", IntegerType())])).parquet(f"{root}/survivors") if epoch else None
         old = new.limit(0) if log is None else log.filter((F.col("epoch") < epoch) & F.col("_month").isin(months)).drop("epoch")
-        both = new.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+        # keys meet first, whole rows of the log only where their key came again
+        # (both written, so that their sizes are known and few keys are broadcast)
+        met = written(same_key(old.select(*spec.keys), new.select(*spec.keys), "left_semi").distinct(), "met", epoch)
         row = ranked(rest, spec.order())
-        best = both.groupBy(*spec.keys, "_month").agg(F.min(F.when(F.col("_new"), row)).alias("_n"), F.min(F.when(~F.col("_new"), row)).alias("_o"))
-        best = best.filter(F.col("_n").isNotNull() & (F.col("_o").isNull() | (F.col("_n") < F.col("_o"))))
+        held = written(same_key(old, met, "left_semi").groupBy(*spec.keys).agg(F.min(row).alias("_o")), "held", epoch)
+        best = same_key(new.select(*spec.keys, "_month", row.alias("_n")), held, "left")
+        best = best.filter(F.col("_o").isNull() | (F.col("_n") < F.col("_o")))
         best.write.mode("overwrite").parquet(f"{root}/changes/epoch={epoch:06d}")
         best = spark.read.schema(best.schema).parquet(f"{root}/changes/epoch={epoch:06d}")
         side = lambda c, of: of.select(*spec.keys, "_month", *[F.col(c)[x].alias(x) for x in rest])

@@ -90,3 +90,17 @@ def test_dealers_joined_after_the_dealer_months(spark):
     late = kpi.dealer_scorecard(plain, service, claims, stock, parts, dealers)
     assert first.columns == late.columns
     assert sorted(map(str, first.collect())) == sorted(map(str, late.collect())) and late.count() == 3
+
+
+def test_monthly_sales_meet_the_log_by_key_only(spark, tmp_path):
+    """Of the survivors logged before, whole rows take part only where their key came again, a NULL date included."""
+    from motorlake.streaming.ingest import monthly_sales, monthly_sales_apply
+    apply = monthly_sales_apply(spark, str(tmp_path))
+    apply(spark.createDataFrame([RAW[0], RAW[4], RAW[6]], SALES), 0)
+    better = [RAW[6][:4] + ("2.00", *RAW[6][5:]), RAW[0][:4] + ("99.00", *RAW[0][5:]), RAW[3]]
+    apply(spark.createDataFrame(better, SALES), 1)
+    held = spark.read.parquet(f"{tmp_path}/held/epoch=000001")
+    assert sorted(map(str, held.select("vin", "sale_date").collect())) == sorted(map(str, spark.createDataFrame(
+        [RAW[0][:2], RAW[6][:2]], "vin string, sale_date string").collect()))
+    got = {r["month"]: (r["units"], r["gross_revenue"]) for r in monthly_sales(spark, str(tmp_path)).collect()}
+    assert got == {"2024-01": (3, 26.5), None: (1, 2.0)}
