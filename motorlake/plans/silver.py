@@ -253,9 +253,10 @@ def sales_enriched(sales: DataFrame, customer_cur: DataFrame, dealer_cur: DataFr
         "dealer_id", "dealer_name", "dealer_type", F.col("region").alias("dealer_region"),
         F.col("city").alias("dealer_city"), F.col("state").alias("dealer_state"),
         F.col("rating").alias("dealer_rating"))
-    # the vehicle first: clean_sales leaves its rows dealt by vin. The columns keep their order
+    # the vehicle first: clean_sales leaves its rows dealt by vin. The customer, with most bytes, last: its columns are
+    # then never moved with the sales. The columns keep their order
     with_vehicle = sales_with_vehicle(sales, vehicle_cur)
-    joined = with_vehicle.join(cust, "customer_id", "left").join(dealer, "dealer_id", "left")
+    joined = with_vehicle.join(dealer, "dealer_id", "left").join(cust, "customer_id", "left")
     rest = [c for c in sales.columns if c not in ("vin", "dealer_id", "customer_id")]
     return joined.select("vin", "dealer_id", "customer_id", *rest, *cust.columns[1:], *dealer.columns[1:],
                          *with_vehicle.columns[len(sales.columns):])
