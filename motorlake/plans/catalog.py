@@ -95,6 +95,17 @@ class Tables:
         picks a survivor, so all other columns are the same as in ``sales``, and fewer bytes are moved."""
         return self.sales if self.store else silver.clean_sales(self.feed("sales").drop("region", "city"))
 
+    def survivors(self, fact: str, columns: list[str]) -> DataFrame:
+        """Keys and foreign keys of a silver fact's rows, moving no more of the feed than picks these rows."""
+        return getattr(self, fact).select(*columns) if self.store else silver.FACTS[fact].survivors(self.feed(fact), columns)
+
+    @cached_property
+    def sold_keys(self) -> DataFrame:
+        """Day and keys of the sales, with the model of their vehicle."""
+        sales = self.survivors("sales", ["vin", "sale_date", "dealer_id", "customer_id"])
+        sales = sales if self.store else sales.withColumn("sale_date", safe_date("sale_date"))
+        return silver.sales_with_vehicle(sales, self.vehicle_cur).select("sale_date", "vin", "dealer_id", "customer_id", "model_code")
+
     @cached_property
     def measured_sales_enriched(self) -> DataFrame:
         if self.store:

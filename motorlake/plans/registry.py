@@ -333,12 +333,11 @@ def _quarantine_sales(spark, d):
 @register("orphan_report")
 def _orphan_report(spark, d):
     t = T(spark, d)
+    keys = {"sales": {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}, "production": {"vehicle": "vin"},
+            "service": {"dealer": "dealer_id", "vehicle": "vin"}, "warranty": {"dealer": "dealer_id", "vehicle": "vin", "parts": "part_id"},
+            "inventory": {"parts": "part_id"}}
     return quality.orphan_report(
-        {"sales": (t.measured_sales, {"customer": "customer_id", "dealer": "dealer_id", "vehicle": "vin"}),
-         "production": (t.production, {"vehicle": "vin"}),
-         "service": (t.service, {"dealer": "dealer_id", "vehicle": "vin"}),
-         "warranty": (t.warranty, {"dealer": "dealer_id", "vehicle": "vin", "parts": "part_id"}),
-         "inventory": (t.inventory, {"parts": "part_id"})},
+        {fact: (t.survivors(fact, list(refs.values())), refs) for fact, refs in keys.items()},
         {"customer": (t.customer_cur, "customer_id"), "dealer": (t.dealer_cur, "dealer_id"), "vehicle": (t.vehicle_cur, "vin"),
          "parts": (t.parts, "part_id")})
 

@@ -107,6 +107,18 @@ class Fact:
     def clean(self, feed: DataFrame) -> DataFrame:
         return self.finish(dedup_first(self.accept(feed), self.keys, self.order(), self.by))
 
+    def survivors(self, feed: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Text ``columns`` of the rows that ``clean`` keeps, as the feed has them: keys, or columns that ``order`` names.
+
+        Rows that agree on ``order`` up to the last of these agree on all of them, so what ``order`` has after it and
+        every other column is left out before the rows are moved.
+        """
+        order = self.order()
+        at = {o: i for i, o in enumerate(order) if isinstance(o, str)}
+        lead = order[:1 + max((at[c] for c in columns if c not in self.keys), default=0)]
+        rows = self.accept(feed).select(*self.keys, *[o if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(lead)])
+        return dedup_first(rows, self.keys, rows.columns[len(self.keys):], self.by).select(*columns)
+
 
 def _finish_sales(df: DataFrame) -> DataFrame:
     sale = F.round(_num("sale_amount"), 2)

@@ -49,6 +49,20 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
+@pytest.mark.parametrize("fact", FEEDS)
+def test_survivors_are_the_clean_rows(spark, fact):
+    schema, data, columns = FEEDS[fact]
+    feed = spark.createDataFrame(data * 2, schema)
+    kept = silver.FACTS[fact].survivors(feed, columns)
+    assert rows(kept) == rows(silver.FACTS[fact].clean(feed).select(columns)) and kept.count() >= 2
+
+
+def test_survivors_move_only_what_picks_them(spark):
+    plan = silver.FACTS["sales"].survivors(spark.createDataFrame(RAW, SALES), ["vin", "sale_date", "dealer_id"])._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression"):].splitlines()[1]
+    assert "dealer_id" in moved and not any(c in moved for c in ("customer_id", "channel", "payment_mode", "city"))
+
+
 def test_the_customer_is_never_moved_with_the_sales(spark, no_broadcast):
     t = Tables(spark, "/root/testdata/sf0.001")
     plan = t.sales_enriched._jdf.queryExecution().optimizedPlan().toString()
