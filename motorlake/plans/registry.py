@@ -47,6 +47,12 @@ def recent(spark, sf_dir, days: int = 30) -> RecentTables:
     return RecentTables(spark, sf_dir, AS_OF, days)
 
 
+def landed(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once, for plans that read it several times."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ----------------------------------------------------------------------------- B: cleansing rules
 
 @register("normalise_codes")
@@ -188,7 +194,7 @@ def _warranty_enriched(spark, d):
 
 @register("distinct_counts")
 def _distinct_counts(spark, d):
-    s = T(spark, d).sales_enriched
+    s = T(spark, d).sold_keys
     return s.groupBy(cleanse.month_label("sale_date").alias("sale_month_label")).agg(
         F.count_distinct("vin").alias("vins"), F.count_distinct("dealer_id").alias("dealers"),
         F.count_distinct("customer_id").alias("customers"), F.count_distinct("model_code").alias("models"))
@@ -201,9 +207,7 @@ def _distinct_counts_bitmap(spark, d):
     from ..session import run_dir
     columns = {"vin": "vins", "dealer_id": "dealers", "customer_id": "customers", "model_code": "models"}
     root, known = run_dir(spark, "bitmaps"), {}
-    sales = T(spark, d).sales_enriched.select(F.col("sale_date").alias("day"), *columns)
-    sales.write.parquet(f"{root}/sales")
-    sales = spark.read.schema(sales.schema).parquet(f"{root}/sales")
+    sales = landed(T(spark, d).sold_keys.select(F.col("sale_date").alias("day"), *columns), f"{root}/sales")
     later = F.coalesce(F.col("day") >= "1995-06-01", F.lit(False))
     for run, rows in enumerate([sales.filter(~later), sales.filter(later)]):
         known = {c: distinct.extend_dictionary(rows.select(F.col(c).alias("value")), known.get(c)) for c in columns}

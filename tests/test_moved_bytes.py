@@ -68,3 +68,14 @@ def test_the_customer_is_never_moved_with_the_sales(spark, no_broadcast):
     plan = t.sales_enriched._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
     assert "customer_id" in joins[0] and "dealer_id" in joins[1] and "vin" in joins[2]
+
+
+def test_sold_keys_equal_those_of_enriched_sales(spark, monkeypatch):
+    feed = spark.createDataFrame(RAW, SALES)
+    vehicle = spark.createDataFrame([(VIN.format(1), *"abcdef")], "vin string, model_code string, model_name string, fuel_type string, "
+                                    "transmission string, variant string, ex_showroom_price string")
+    t = Tables(spark, "")
+    monkeypatch.setattr(t, "feed", lambda name: feed)
+    t.__dict__["vehicle_cur"] = vehicle
+    whole = silver.sales_with_vehicle(silver.clean_sales(feed), vehicle)
+    assert rows(t.sold_keys) == rows(whole.select("sale_date", "vin", "dealer_id", "customer_id", "model_code"))
