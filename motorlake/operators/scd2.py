@@ -170,7 +170,9 @@ def asof_merge(facts: DataFrame, history: DataFrame, key: str, fact_time: str, c
     kind, at = history.schema[key].dataType.simpleString(), F.col(fact_time).cast("timestamp_ntz")
     version = F.struct(F.col("scd_end_date").alias("_end"), *[F.col(c).alias(c) for c in columns])
     none = F.lit(None).cast(history.select(version.alias("_v")).schema["_v"].dataType)
-    whole = F.struct(*[F.col(c) for c in facts.columns])
+    same = {key} if facts.schema[key].dataType == history.schema[key].dataType else set()      # moved once, as ``_k``
+    carried = [c for c in facts.columns if c not in same] or facts.columns
+    whole = F.struct(*[F.col(c) for c in carried])
     empty = F.lit(None).cast(facts.select(whole.alias("_f")).schema["_f"].dataType)
     cut = lambda t: F.date_trunc(span, t).cast("timestamp_ntz")
     usable = F.col(key).isNotNull() & at.isNotNull()
@@ -187,6 +189,6 @@ def asof_merge(facts: DataFrame, history: DataFrame, key: str, fact_time: str, c
     within = Window.partitionBy("_k", "_span").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     met = rows.withColumn("_v", F.last("_v", ignorenulls=True).over(within)).filter("_kind = 2")
     valid = F.col("_v._end").isNull() | (F.col("_t") < F.col("_v._end"))
-    out = met.select("_f.*", *[F.when(valid, F.col("_v")[c]).alias(c) for c in columns])
+    out = met.select(*[F.col("_f")[c].alias(c) if c in carried else F.col("_k").alias(c) for c in facts.columns], *[F.when(valid, F.col("_v")[c]).alias(c) for c in columns])
     left = facts.filter(~usable).select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in columns])
     return out.unionByName(left)

@@ -395,8 +395,9 @@ def _sales_asof_dealer(spark, d):
 
 @register("sales_asof_merge")
 def _sales_asof_merge(spark, d):
-    """The as-of lookup by merging facts and versions in time order."""
-    facts = T(spark, d).measured_sales.select("vin", "sale_date", "dealer_id", "net_revenue")
+    """The as-of lookup by merging facts and versions in time order; the merge reads the facts several times."""
+    from ..session import run_dir
+    facts = landed(T(spark, d).measured_sales.select("vin", "sale_date", "dealer_id", "net_revenue"), run_dir(spark, "asof") + "/facts")
     return scd2.asof_merge(facts, scd2_history(spark, d, "dealer"), "dealer_id", "sale_date", ["dealer_name", "rating"]).withColumnRenamed(
         "rating", "dealer_rating_asof")
 

@@ -79,3 +79,23 @@ def test_sold_keys_equal_those_of_enriched_sales(spark, monkeypatch):
     t.__dict__["vehicle_cur"] = vehicle
     whole = silver.sales_with_vehicle(silver.clean_sales(feed), vehicle)
     assert rows(t.sold_keys) == rows(whole.select("sale_date", "vin", "dealer_id", "customer_id", "model_code"))
+
+
+def test_asof_merge_moves_the_key_once_and_keeps_the_columns(spark):
+    facts = spark.createDataFrame([("D1", "a", "2024-01-05"), ("D1", "b", "2023-01-05"), (None, "c", "2024-01-05"), ("D2", "d", None)],
+                                  "dealer_id string, vin string, day string").withColumn("day", F.col("day").cast("date"))
+    history = spark.createDataFrame([("D1", "x", "2024-01-01", None)], "dealer_id string, name string, a string, b string").select(
+        "dealer_id", "name", F.col("a").cast("timestamp_ntz").alias("scd_start_date"), F.col("b").cast("timestamp_ntz").alias("scd_end_date"))
+    found = scd2.asof_merge(facts.select("vin", "dealer_id", "day"), history, "dealer_id", "day", ["name"])
+    assert found.columns == ["vin", "dealer_id", "day", "name"]
+    assert rows(found) == rows(scd2.asof_join(facts.select("vin", "dealer_id", "day"), history, "dealer_id", "day", ["name"]))
+    carried = [line for line in found._jdf.queryExecution().analyzed().toString().splitlines() if "struct(vin" in line]
+    assert carried and not any("struct(vin, vin" in line and "dealer_id, dealer_id" in line for line in carried)
+
+
+def test_asof_facts_are_cleansed_once(spark, monkeypatch):
+    made, asked = [], []
+    monkeypatch.setattr("motorlake.plans.registry.landed", lambda df, path: made.append(df) or df)
+    monkeypatch.setattr(scd2, "asof_merge", lambda facts, *a: asked.append(facts) or facts.select(F.lit(1).alias("rating")))
+    QUERIES["sales_asof_merge"](spark, "/root/testdata/sf0.001")
+    assert len(made) == 1 and asked == made
