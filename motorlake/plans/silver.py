@@ -96,16 +96,20 @@ def current(snapshot: DataFrame, key: str) -> DataFrame:
 @dataclass(frozen=True)
 class Fact:
     """How a fact feed becomes silver: the rows that are accepted, the survivor of each business key (the
-    least by ``order``) and the typed columns. ``date`` is the day a row belongs to, None for a snapshot. ``by``: see ``dedup_first``."""
+    least by ``order``) and the typed columns. ``date`` is the day a row belongs to, None for a snapshot. ``by`` and ``money``: see ``dedup_first``."""
     keys: list[str]
     date: str | None
     accept: Callable[[DataFrame], DataFrame]
     order: Callable[[], list]
     finish: Callable[[DataFrame], DataFrame]
     by: Sequence[str] = ()
+    money: Sequence[str] = ()
 
     def clean(self, feed: DataFrame) -> DataFrame:
-        return self.finish(dedup_first(self.accept(feed), self.keys, self.order(), self.by))
+        return self.finish(self.first(self.accept(feed), self.order()))
+
+    def first(self, rows: DataFrame, order: list) -> DataFrame:
+        return dedup_first(rows, self.keys, order, self.by, self.money, [self.date] if self.date else [])
 
     def survivors(self, feed: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Text ``columns`` of the rows that ``clean`` keeps, as the feed has them: keys, or columns that ``order`` names.
@@ -117,7 +121,7 @@ class Fact:
         at = {o: i for i, o in enumerate(order) if isinstance(o, str)}
         lead = order[:1 + max((at[c] for c in columns if c not in self.keys), default=0)]
         rows = self.accept(feed).select(*self.keys, *[o if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(lead)])
-        return dedup_first(rows, self.keys, rows.columns[len(self.keys):], self.by).select(*columns)
+        return self.first(rows, rows.columns[len(self.keys):]).select(*columns)
 
 
 def _finish_sales(df: DataFrame) -> DataFrame:
@@ -184,7 +188,7 @@ FACTS = {
         ["vin", "sale_date"], "sale_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("sale_amount") > 0) & valid_vin("vin")),
         lambda: [cents(_num("sale_amount")), "dealer_id", "customer_id", cents(_num("discount")), cents(_num("tax_amount")),
-                 "channel", "payment_mode"], _finish_sales, ["vin"]),
+                 "channel", "payment_mode"], _finish_sales, ["vin"], ["sale_amount", "discount", "tax_amount"]),
     "production": Fact(
         ["production_id"], "production_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("production_time_minutes", "int") > 0)),
