@@ -198,7 +198,7 @@ FACTS = {
         ["service_id"], "service_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("service_cost") >= 0)),
         lambda: ["vin", "dealer_id", "service_date", "service_type", cents(_num("service_cost")), _num("mileage", "int"),
-                 _num("customer_feedback_rating", "int")], _finish_service),
+                 _num("customer_feedback_rating", "int")], _finish_service, ["service_id"], ["service_cost"]),
     "inventory": Fact(
         ["inventory_id"], None,
         lambda f: require(f, ["part_id"]),
@@ -206,7 +206,8 @@ FACTS = {
     "warranty": Fact(
         ["claim_id"], "claim_date",
         lambda f: f.filter(F.col("vin").isNotNull() & (_num("claim_amount") >= 0)),
-        lambda: ["vin", "dealer_id", "part_id", "claim_date", "claim_status", cents(_num("claim_amount"))], _finish_warranty),
+        lambda: ["vin", "dealer_id", "part_id", "claim_date", "claim_status", cents(_num("claim_amount"))], _finish_warranty,
+        ["claim_id"], ["claim_amount"]),
 }
 
 
