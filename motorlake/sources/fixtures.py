@@ -163,9 +163,10 @@ def warranty_feed(spark, sf_dir) -> DataFrame:
 
 
 def inventory_feed(spark, sf_dir) -> DataFrame:
-    """A part lies in warehouse s % 4 of every supplier s that has sold it."""
+    """A part lies in warehouse s % 4 of every supplier s that has sold it. The pairs are dealt as numbers: where a
+    deduplication follows, Spark drops this distinct, and every line's texts would be moved."""
     li = table(spark, sf_dir, "lineitem")
-    at = li.select("l_partkey", (F.col("l_suppkey") % 4).alias("_w")).distinct()
+    at = li.select("l_partkey", (F.col("l_suppkey") % 4).alias("_w")).repartition("l_partkey", "_w").distinct()
     k, w = F.col("l_partkey"), F.col("_w")
     return at.select(
         F.concat(F.lit("I"), _s(k), F.lit("-"), _s(w)).alias("inventory_id"),
@@ -192,10 +193,11 @@ def parts_feed(spark, sf_dir) -> DataFrame:
 
 
 def dealer_parts_feed(spark, sf_dir) -> DataFrame:
-    """A dealer stocks every part it has sold."""
-    sold = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    """A dealer stocks every part it has sold. The pairs are dealt by part once, as the joins on the part need them."""
+    li = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("P"), _s("l_partkey")).alias("part_id"), "l_partkey", "l_suppkey")
+    sold = li.repartition("part_id").distinct()
     return sold.select(
-        F.concat(F.lit("P"), _s("l_partkey")).alias("part_id"),
+        "part_id",
         F.concat(F.lit("D"), _s("l_suppkey")).alias("dealer_id"),
         _s((F.col("l_suppkey") * 7 + F.col("l_partkey")) % 100).alias("available_stock"),
         F.lit(RESTOCK_DATE).alias("last_restock_date"),
