@@ -13,6 +13,7 @@ from motorlake.llm import decontaminate, language_id, line_dedup, near_dup, pack
 from motorlake.llm.common import saved, table
 from motorlake.llm.queries import vocabulary
 
+PACK_CACHE = 250_000   # the executors' memory is near its height when packing begins
 LEAST_SHARE = 0.5      # of a text's letters in one language; a text with less has no main language
 
 
@@ -46,7 +47,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 1024 tokens."""
-    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), 1024, 2)
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), 1024, 2, PACK_CACHE)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ import hashlib
 import json
 import sys
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ NEAR = 0.8
 HELD_OUT_FOLD = 2
 FOLDS = 4
 CACHE_ENTRIES = 400_000   # entries of a generation of a worker's chunk cache
+BATCH_TEXTS = 1_000       # texts that are Python strings at once
 CACHED_CHARS = 64         # longer chunks are worked out each time, so memory stays bounded
 
 
@@ -168,8 +169,8 @@ class Recent(dict):
 class _PieceIds(Recent):
     """Pre-token -> token ids as little-endian uint32 bytes."""
 
-    def __init__(self, tokenizer):
-        super().__init__(CACHE_ENTRIES // 2)
+    def __init__(self, tokenizer, entries: int = CACHE_ENTRIES):
+        super().__init__(entries // 2)
         self._merge, stand_ins = tokenizer.model.tokenize, byte_symbols()
         self._latin = {c: "".join(stand_ins[b] for b in chr(c).encode("utf-8")) for c in range(256)}
 
@@ -186,11 +187,12 @@ class _Ids(Recent):
     pre-tokens go to the library's merges; any other chunk is encoded by the library as a whole.
     """
 
-    def __init__(self, tokenizer, lead: str, checked: bool, pieces: _PieceIds | None, pattern: str, lower: bool):
+    def __init__(self, tokenizer, lead: str, checked: bool, pieces: _PieceIds | None, pattern: str, lower: bool,
+                 entries: int = CACHE_ENTRIES):
         import re
 
         import regex
-        super().__init__()
+        super().__init__(entries)
         self._encode, self._lead, self._checked = tokenizer.encode, lead, checked
         self._pieces, self._lower = pieces, lower
         self._plain, self._cut = re.compile(r"[!-~\u00a1-\u00ff\n]*").fullmatch, regex.compile(pattern).findall
@@ -222,10 +224,10 @@ class TokenIds:
     white space always starts a new pre-token, so a chunk with its blank can be encoded on its
     own; if any chunk is empty or starts with white space, the whole text is encoded in one
     call instead. A vocabulary that drops white space (``spaced=False``) needs no such check.
-    Texts that hold one of the file's special strings are always encoded whole.
+    Texts that hold one of the file's special strings are always encoded whole. ``entries``: of a generation of the chunks' cache.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self.base = self._tokenizer.get_vocab_size(with_added_tokens=True)
@@ -233,9 +235,9 @@ class TokenIds:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pattern, lower, known = _pre_tokens(spec)
-        pieces = _PieceIds(self._tokenizer) if known else None
-        self._first = _Ids(self._tokenizer, "", False, pieces, pattern, lower)
-        self._rest = _Ids(self._tokenizer, " ", True, pieces, pattern, lower) if spaced else self._first
+        pieces = _PieceIds(self._tokenizer, entries) if known else None
+        self._first = _Ids(self._tokenizer, "", False, pieces, pattern, lower, entries)
+        self._rest = _Ids(self._tokenizer, " ", True, pieces, pattern, lower, entries) if spaced else self._first
 
     def whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -285,9 +287,16 @@ class _StageCache:
 STAGE_CACHE = _StageCache()
 
 
-def encoder(path: str, spaced: bool) -> TokenIds:
+def encoder(path: str, spaced: bool, entries: int = CACHE_ENTRIES) -> TokenIds:
     """One encoder per worker process, stage and file."""
-    return STAGE_CACHE.get((path, spaced), lambda: TokenIds(path, spaced))
+    return STAGE_CACHE.get((path, spaced, entries), lambda: TokenIds(path, spaced, entries))
+
+
+def id_texts(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(id, text) of a batch's first two columns, a slice at a time: a batch's texts as Python strings can take four times its bytes."""
+    for at in range(0, batch.num_rows, BATCH_TEXTS):
+        ids, texts = (batch.column(i).slice(at, BATCH_TEXTS).to_pylist() for i in (0, 1))
+        yield from zip(ids, texts)
 
 
 def word_hasher() -> WordHashes:

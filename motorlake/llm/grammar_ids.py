@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import encoder, run_dir
+from motorlake.llm.common import encoder, id_texts, run_dir
 
 MAGIC, VERSION = b"RPID", 1
 SHARD_TOKENS = 1 << 20    # a shard closes with the document that reaches this many tokens
@@ -216,7 +216,7 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, spac
 
         for b in batches:
             kind = b.schema.field(0).type
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in id_texts(b):
                 raw = ids.of(text) + end
                 kept.append(raw)
                 names.append(doc)

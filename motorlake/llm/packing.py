@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import encoder, saved
+from motorlake.llm.common import CACHE_ENTRIES, encoder, id_texts, saved
 
 
 def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -64,7 +64,7 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, cache: int = CACHE_ENTRIES) -> DataFrame:
     """Each document's ids with ``end_id`` after them, cut into pieces of at most ``capacity``.
 
     Only the first piece of a longer document may be shorter. ``part`` and ``nth`` are the task
@@ -76,10 +76,10 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
-        ids = encoder(vocabulary, True)
+        ids = encoder(vocabulary, True, cache)
         for b in batches:
             rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in id_texts(b):
                 raw = ids.of(text) + end
                 total, start, piece = len(raw) // 4, 0, 0
                 stop = total % capacity or min(total, capacity)
@@ -100,17 +100,18 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, cache: int = CACHE_ENTRIES) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece.
 
     NULL and empty texts are one piece, the end id alone. Repeated rows are packed as often as
     they occur; an empty table gives no row. Columns besides doc_id and text are ignored.
+    ``cache``: entries of a worker's cache; fewer save memory where other stages ran before, and take some time.
 
     Only the histogram (at most ``capacity`` rows) and the plan (bounded by the number of
     lengths) pass through the driver. A rank is the rank within a written task plus that
     task's offset, so a length that holds most of the pieces stays spread over all tasks.
     """
-    pieces = saved(token_pieces(docs, vocabulary, capacity, end_id), "pieces")
+    pieces = saved(token_pieces(docs, vocabulary, capacity, end_id, cache), "pieces")
     by_part = saved(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = np.array(plan_slots(histogram, capacity), dtype=np.int64).reshape(-1, 6)
