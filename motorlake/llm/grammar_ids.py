@@ -26,12 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import encoder, id_texts, run_dir
+from motorlake.llm.common import encoder, run_dir, spans
 
 MAGIC, VERSION = b"RPID", 1
 SHARD_TOKENS = 1 << 20    # a shard closes with the document that reaches this many tokens
 ROUND_RULES = 2048        # rules of one round, the most frequent pairs first
 LEAST_COUNT = 8           # a pair that occurs less often makes no rule
+HASH_BITS = 18            # of the hash that tells most rare pairs from frequent ones
 
 
 def peaks(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -48,6 +49,12 @@ def peaks(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.flatnonzero((weight >= before) & (weight >= after) & ((index - run_start) % 2 == 0))
 
 
+def hashed(pairs: np.ndarray) -> np.ndarray:
+    """HASH_BITS bits of each pair, a 32-bit or 64-bit number (multiplicative hashing)."""
+    kind, bits = pairs.dtype.type, 8 * pairs.dtype.itemsize
+    return (pairs * kind(0x9E3779B97F4A7C15 >> 64 - bits | 1)) >> kind(bits - HASH_BITS)
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair in rounds: (rules, symbols, is_last).
 
@@ -56,26 +63,29 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np
     frequent pair wins, and a pair left with too few places waits for the next round. Goes on
     until no pair occurs LEAST_COUNT times. ``ends`` marks each document's last id.
 
-    A pair only becomes rarer, unless it holds a new symbol. So a round counts the places that
-    hold a symbol of the round before, or the symbols of pairs that were frequent then.
+    A pair only becomes rarer, unless it holds a new symbol. So a round counts the places beside
+    the symbols of the round before, and of the places counted then those whose pair was frequent
+    (or shares its hash with one that was).
     """
-    symbols, last = ids.astype(np.intp), ends
+    symbols, last = ids.astype(np.intp), np.flatnonzero(ends)
     rules: list[np.ndarray] = []
-    n_rules, newest = 0, 0
-    leads, follows = np.ones(base, dtype=bool), np.ones(base, dtype=bool)      # symbols of pairs that were frequent
-    while len(symbols) > 1:
+    n_rules, place = 0, np.flatnonzero(~ends[:-1])
+    while len(place):
         top = base + n_rules
-        fresh = symbols >= newest
-        place = np.flatnonzero((leads.take(symbols[:-1]) & follows.take(symbols[1:]) | fresh[:-1] | fresh[1:]) & ~last[:-1])
         left, right = symbols.take(place), symbols.take(place + 1)
         # pairs of small symbols are sorted as 32-bit numbers, which is much faster
         half = np.uint32(16) if top <= 1 << 16 else np.uint64(32)
-        found, counts = np.unique((left.astype(half.dtype) << half) | right.astype(half.dtype), return_counts=True)
+        pair = (left.astype(half.dtype) << half) | right.astype(half.dtype)
+        found, counts = np.unique(pair, return_counts=True)
         often = np.flatnonzero(counts >= LEAST_COUNT)
         if not len(often):
             break
         often = often[np.lexsort((found[often], -counts[often]))]
         pairs = np.stack([found[often] >> half, found[often] & ((1 << int(half)) - 1)], 1).astype(np.int64)
+        frequent = np.zeros(1 << HASH_BITS, dtype=bool)
+        frequent[hashed(found[often])] = True
+        still = np.flatnonzero(frequent.take(hashed(pair)))
+        place, left, right = place.take(still), left.take(still), right.take(still)
         chosen = pairs[:ROUND_RULES]
         # a table over the chosen left and right symbols holds each pair's priority, 0 for none
         lefts, rights = np.unique(chosen[:, 0]), np.unique(chosen[:, 1])
@@ -84,25 +94,28 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np
         priority = np.zeros((len(lefts) + 1) * (len(rights) + 1), dtype=np.int16)
         priority[row[chosen[:, 0]] + column[chosen[:, 1]]] = np.arange(len(chosen), 0, -1)
         weight = priority.take(row.take(left) + column.take(right))
-        hit = np.flatnonzero(weight)
-        place, weight = place.take(hit), weight.take(hit)
-        taken = peaks(place, weight)
-        take, rank = place[taken], len(chosen) - weight[taken].astype(np.int64)
+        hit = np.flatnonzero(weight != 0)
+        at, weight = place.take(hit), weight.take(hit)
+        taken = peaks(at, weight)
+        take, rank = at[taken], len(chosen) - weight[taken].astype(np.int64)
         made = np.bincount(rank, minlength=len(chosen)) >= LEAST_COUNT // 2    # holds for the first pair: a round always shortens
         take, rank = take[made[rank]], rank[made[rank]]
         rules.append(chosen[made].astype(np.uint32))
         symbols[take] = top + (np.cumsum(made) - 1)[rank]
-        n_rules, newest = n_rules + int(made.sum()), top
-        leads, follows = np.zeros(base + n_rules, dtype=bool), np.zeros(base + n_rules, dtype=bool)
-        leads[pairs[:, 0]], follows[pairs[:, 1]] = True, True
-        symbols, last = np.delete(symbols, take + 1), np.delete(last, take)     # the pair's end is its right symbol's
-    return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols.astype(np.uint32), last
-
-
-def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The indices start[i] .. start[i]+length[i]-1, one after another."""
-    first = np.cumsum(length) - length
-    return np.arange(int(length.sum())) + np.repeat(start - first, length)
+        n_rules += int(made.sum())
+        keep, todo = np.ones(len(symbols), dtype=bool), np.zeros(len(symbols), dtype=bool)
+        keep[take + 1] = False
+        todo[place] = True
+        symbols, todo = symbols[keep], todo[keep]
+        last = last - np.searchsorted(take + 1, last, "right")      # the pair's end is its right symbol's
+        fresh = take - np.arange(len(take))
+        todo[fresh] = True
+        todo[fresh[fresh > 0] - 1] = True
+        todo[last] = False
+        place = np.flatnonzero(todo)
+    is_last = np.zeros(len(symbols), dtype=bool)
+    is_last[last] = True
+    return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols.astype(np.uint32), is_last
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -216,8 +229,8 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, spac
 
         for b in batches:
             kind = b.schema.field(0).type
-            for doc, text in id_texts(b):
-                raw = ids.of(text) + end
+            for doc, raw in zip(b.column(0).to_pylist(), ids.of_texts(b.column(1))):
+                raw += end
                 kept.append(raw)
                 names.append(doc)
                 size += len(raw) // 4

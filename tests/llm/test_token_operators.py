@@ -6,11 +6,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from motorlake.llm import grammar_ids, packing, token_counts
+from motorlake.llm import common, grammar_ids, packing, token_counts
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \nb", "a\n b", "a\n \n b", "it's I'll 's x", "don 't",
@@ -149,3 +150,81 @@ def test_a_run_of_one_id_shrinks_to_its_logarithm():
     ends[-1] = True
     rules, symbols, _ = grammar_ids.repair(np.full(100_000, 7, dtype=np.uint32), ends, 100)
     assert len(rules) < 20 and len(symbols) < 20
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_ids_of_many_texts_equal_the_library(monkeypatch, kind):
+    one = [chr(c) for c in [*range(1, 0x180), 0x1E9E, 0x212A, 0x2028, 0x3000, 0x1F600]]
+    many = texts(2) + [f"x{c}y {c} {c}Ab Ab{c} Ab{c}{c}. 7{c}'s{c}" for c in one]
+    many += ["H\u0331 h\u0331 I\u0307 T\u0308.", "<|ENDOFTEXT|> x", "it's ITS' 's's ''s Don'T", "ÄÖÜß### Ünter,.. ÿ! µ ªº", "e\u0301### E\u0301"]
+    library = Tokenizer.from_file(WORDS)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in many]
+    for most in (1, 300, 1 << 20):
+        monkeypatch.setattr(common, "BATCH_BYTES", most)
+        monkeypatch.setattr(common, "BLOCK_WORDS", most)
+        got = common.TokenIds(WORDS, False).of_texts(pa.array(["before", *many, "after"], kind).slice(1, len(many)))
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == want
+    spaced, plain = common.TokenIds(BYTES, True), Tokenizer.from_file(BYTES)
+    assert [np.frombuffer(b, "<u4").tolist() for b in spaced.of_texts(pa.array(many, kind))] \
+        == [plain.encode(t or "", add_special_tokens=False).ids for t in many]
+    for none in ([], [None, None], ["", None, " "]):
+        assert list(common.TokenIds(WORDS, False).of_texts(pa.array(none, kind))) == [b""] * len(none)
+
+
+def test_a_word_is_looked_up_once_for_all_its_places():
+    """Work in Python grows with the distinct words of some megabytes of text, not with all words."""
+    ids, looked_up = common.TokenIds(WORDS, False), []
+
+    class Watched(dict):
+        def __missing__(self, word):
+            looked_up.append(word)
+            return ids_of[word]
+
+    ids_of, ids._first = ids._first, Watched()
+    text = "The house, the House and THE house### " * 50
+    want = library_ids(WORDS, text)
+    assert all(np.frombuffer(b, "<u4").tolist() == want for b in ids.of_texts(pa.array([text] * 500)))
+    assert sorted(filter(None, looked_up)) == ["###", ",", "and", "house", "the"]
+
+
+def rounds_over_all_places(ids, ends, base):
+    """Re-Pair in the same rounds, by counting every place each time."""
+    symbols, last, rules = ids.tolist(), ends.tolist(), []
+    while True:
+        top = base + len(rules)
+        pair = [None if last[i] else (symbols[i], symbols[i + 1]) for i in range(len(symbols) - 1)]
+        often = sorted(((-n, p) for p, n in Counter(p for p in pair if p).items() if n >= grammar_ids.LEAST_COUNT))
+        if not often:
+            return rules, symbols, last
+        chosen = [p for _, p in often[:grammar_ids.ROUND_RULES]]
+        rank = {p: i for i, p in enumerate(chosen)}
+        place = np.array([i for i, p in enumerate(pair) if p in rank])
+        taken = place[grammar_ids.peaks(place, np.array([len(chosen) - rank[pair[i]] for i in place]))].tolist()
+        made = Counter(pair[i] for i in taken)
+        kept = [p for p in chosen if made[p] >= grammar_ids.LEAST_COUNT // 2]
+        number = {p: top + i for i, p in enumerate(kept)}
+        rules += kept
+        for i in reversed([i for i in taken if pair[i] in number]):
+            symbols[i:i + 2], last[i:i + 2] = [number[pair[i]]], [last[i + 1]]
+
+
+@pytest.mark.parametrize("base", [300, 70_000])
+def test_rounds_equal_counting_every_place(monkeypatch, base):
+    """The same grammar, with fewer places counted (when the two symbols of a place decided each alone, 10.7 times the ids)."""
+    monkeypatch.setattr(grammar_ids, "ROUND_RULES", 40)
+    rng, counted, unique = np.random.default_rng(5), [], np.unique
+
+    def watched(x, **kind):
+        counted.extend([len(x)] if kind else [])
+        return unique(x, **kind)
+
+    phrases = [rng.integers(0, 300, rng.integers(2, 40)) for _ in range(40)]
+    some = [phrases[i] if i < 40 else rng.integers(0, 300, 9) for i in rng.integers(0, 120, 1500)]
+    ids = np.concatenate([*some, np.full(200, 9)]).astype(np.uint32)
+    ends = rng.random(len(ids)) < 0.02
+    ends[-1] = True
+    rules, symbols, last = rounds_over_all_places(ids, ends, base)
+    monkeypatch.setattr(np, "unique", watched)
+    got = grammar_ids.repair(ids, ends, base)
+    assert [got[0].tolist(), got[1].tolist(), got[2].tolist()] == [[list(r) for r in rules], symbols, last]
+    assert len(counted) == 28 and sum(counted) < 6 * len(ids)
