@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, scd2
 from ..operators.dedup import dedup_first
+from ..session import shuffles_freed, together
 from ..sources.feeds import FEED_COLUMNS
 from ..sources.tables import append_table
 from ..streaming.ingest import ingest_feed
@@ -33,8 +34,10 @@ DIMENSIONS = {"customer": ("customer", "customer_id", silver.customer_snapshot),
 
 def ingest_bronze(spark: SparkSession, landing: str, root: str) -> dict[str, DataFrame]:
     """Each feed lands as batch folders under ``landing/<feed>/``; columns are read by name."""
-    return {feed: ingest_feed(spark, f"{landing}/{feed}/*", f"{root}/bronze/{feed}", f"{root}/checkpoints/bronze_{feed}", feed)
-            for feed in FEED_COLUMNS}
+    def landed(feed: str) -> DataFrame:
+        return ingest_feed(spark, f"{landing}/{feed}/*", f"{root}/bronze/{feed}", f"{root}/checkpoints/bronze_{feed}", feed)
+
+    return dict(zip(FEED_COLUMNS, together(landed, FEED_COLUMNS)))
 
 
 def merge_dimension(spark: SparkSession, raw: DataFrame, dim: str, silver_root: str, as_of: str) -> DataFrame:
@@ -73,10 +76,9 @@ def _months(as_of: str, days: int) -> list[str]:
 def build_quality(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> tuple[dict[str, quality.Checked], dict[str, str]]:
     """Writes each fact feed once, split into kept and quarantined rows with their reasons; the expectation
     counts come from these writes, and silver reads the kept rows from them."""
-    rules, checked, counts = quality.fact_rules(), {}, []
-    for name in rules:
-        checked[name] = quality.Checked(bronze[name], name, f"{root}/quality/checked/{name}")
-        counts += checked[name].write(rules[name])
+    rules = quality.fact_rules()
+    checked = {name: quality.Checked(bronze[name], name, f"{root}/quality/checked/{name}") for name in rules}
+    counts = [c for found in together(lambda name: checked[name].write(rules[name]), rules) for c in found]
     paths = {"expectations": f"{root}/quality/expectations", **{f"checked_{n}": c.path for n, c in checked.items()}}
     report = spark.createDataFrame(counts, quality.EXPECTATIONS)
     report.withColumn("_processed_ts", F.current_timestamp()).write.mode("overwrite").parquet(paths["expectations"])
@@ -108,41 +110,47 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, a
         raw_claims = checked["warranty"].rows()
         b |= {k: c.kept().drop("_ingest_ts") for k, c in checked.items()}
     out: dict[str, DataFrame] = {}
-    for dim, (feed, _, _) in DIMENSIONS.items():
-        hist = merge_dimension(spark, bronze[feed], dim, f"{root}/silver", as_of)
+
+    def merged(dim: str) -> None:
+        hist = merge_dimension(spark, bronze[DIMENSIONS[dim][0]], dim, f"{root}/silver", as_of)
         out[f"{dim}_scd2"] = hist
         out[f"{dim}_cur"] = scd2.current_view(hist).drop(*scd2.SCD_COLS)
-    parts = _write(silver.clean_parts(b["parts"]), f"{root}/silver/parts")
-    dealer_parts = _write(silver.clean_dealer_parts(b["dealer_parts"]), f"{root}/silver/dealer_parts")
+
+    def written(name: str, made: DataFrame) -> DataFrame:
+        return _write(made, f"{root}/silver/{name}", FACT_DATES.get(name) if partition_by_month else None)
+
+    def stocked() -> tuple[DataFrame, DataFrame]:
+        rows = written("dealer_parts", silver.clean_dealer_parts(b["dealer_parts"]))
+        return rows, written("dealers_per_part", silver.dealers_per_part(rows))
+
     # multiplicities are written, so that the joins with them can split a hot key
-    per_vin = _write(silver.claims_per_vin(raw_claims), f"{root}/silver/claims_per_vin")
-    per_part = _write(silver.dealers_per_part(dealer_parts), f"{root}/silver/dealers_per_part")
-    sales = silver.sales_enriched(silver.clean_sales(b["sales"]), out["customer_cur"], out["dealer_cur"],
-                                  out["vehicle_cur"])
-    def m(fact):
-        return FACT_DATES[fact] if partition_by_month else None
-    out["sales"] = _write(sales, f"{root}/silver/sales", m("sales"))
-    out["production"] = _write(silver.production_enriched(silver.clean_production(b["production"]),
-                                                          out["vehicle_cur"]), f"{root}/silver/production",
-                               m("production"))
-    out["service"] = _write(silver.service_enriched(silver.clean_service(b["service"]), per_vin,
-                                                    out["dealer_cur"], out["vehicle_cur"]), f"{root}/silver/service",
-                            m("service"))
-    out["warranty"] = _write(silver.warranty_enriched(silver.clean_warranty(b["warranty"]), b["parts"],
-                                                      out["vehicle_cur"], out["dealer_cur"]), f"{root}/silver/warranty",
-                             m("warranty"))
-    out["inventory"] = _write(silver.inventory_enriched(silver.clean_inventory(b["inventory"]), parts, per_part),
-                              f"{root}/silver/inventory")
-    out["dealer_parts"] = dealer_parts
+    smaller = [*[lambda dim=dim: merged(dim) for dim in DIMENSIONS], lambda: written("claims_per_vin", silver.claims_per_vin(raw_claims)),
+               stocked, lambda: written("parts", silver.clean_parts(b["parts"]))]
+    *_, per_vin, (out["dealer_parts"], per_part), parts = together(lambda job: job(), smaller)
+    customer, dealer, vehicle = out["customer_cur"], out["dealer_cur"], out["vehicle_cur"]
+    facts = {
+        "sales": lambda: silver.sales_enriched(silver.clean_sales(b["sales"]), customer, dealer, vehicle),
+        "warranty": lambda: silver.warranty_enriched(silver.clean_warranty(b["warranty"]), b["parts"], vehicle, dealer),
+        "service": lambda: silver.service_enriched(silver.clean_service(b["service"]), per_vin, dealer, vehicle),
+        "production": lambda: silver.production_enriched(silver.clean_production(b["production"]), vehicle),
+        "inventory": lambda: silver.inventory_enriched(silver.clean_inventory(b["inventory"]), parts, per_part),
+    }
+    out.update(zip(facts, together(lambda name: written(name, facts[name]()), facts)))
     return out
 
 
+def scorecard(s: dict[str, DataFrame]) -> DataFrame:
+    """The scorecard from silver tables. Its sales are joined to the dealers of ``dealer_cur`` already; these attributes
+    are not moved with every sale, but joined to the dealer-months again."""
+    return kpi.dealer_scorecard(s["sales"].drop(*kpi.CARD_DEALER), s["service"], s["warranty"], s["inventory"], s["dealer_parts"], s["dealer_cur"],
+                                by_vin=False)
+
+
 GOLD = {
     "sales_performance": lambda s, d: kpi.sales_performance(s["sales"]),
     "production_efficiency": lambda s, d: kpi.production_efficiency(s["production"]),
     "warranty_claims": lambda s, d: kpi.warranty_claims(s["warranty"], s["service"]),
-    "dealer_scorecard": lambda s, d: kpi.dealer_scorecard(s["sales"], s["service"], s["warranty"], s["inventory"],
-                                                          s["dealer_parts"]),
+    "dealer_scorecard": lambda s, d: scorecard(s),
     "warranty_anomaly_behavioral": lambda s, d: anomaly.warranty_behaviour(s["warranty"], s["sales"]),
     "discount_anomaly_behavioral": lambda s, d: anomaly.discount_behaviour(s["sales"]),
     "daily_comparison": lambda s, d: daily.daily_comparison(s["sales"], s["production"], s["service"],
@@ -174,8 +182,9 @@ def run_pipeline(spark: SparkSession, landing: str, root: str, as_of: str, dim_a
     versions opened by this run; ``as_of`` is the report date; ``gold_tables``
     limits the gold layer (default: all). Runs on one ``root`` follow each other: bronze reads new
     files only and the dimension histories go on from their last committed version."""
-    bronze = ingest_bronze(spark, landing, root)
-    checked, checks = build_quality(spark, bronze, root)
-    s = build_silver(spark, bronze, root, dim_as_of, partition_by_month, checked)
-    gold = build_gold(s, root, as_of, gold_tables)
-    return {**gold, **checks, **build_report(spark, s, gold, root, as_of, dim_as_of)}
+    with shuffles_freed(spark):
+        bronze = ingest_bronze(spark, landing, root)
+        checked, checks = build_quality(spark, bronze, root)
+        s = build_silver(spark, bronze, root, dim_as_of, partition_by_month, checked)
+        gold = build_gold(s, root, as_of, gold_tables)
+        return {**gold, **checks, **build_report(spark, s, gold, root, as_of, dim_as_of)}

@@ -861,14 +861,13 @@ def _audit_append(spark, d):
 
 def _pipeline_gold(spark, d, table: str) -> DataFrame:
     """Land the ten fixture feeds as CSV, run bronze -> silver -> gold, read one gold table."""
-    from ..session import run_dir
+    from ..session import run_dir, together
     from ..sources import fixtures
     from ..sources.feeds import FEED_COLUMNS
     from ..streaming.ingest import write_csv
     from .pipeline import run_pipeline
     root = run_dir(spark, "pipeline")
-    for feed in FEED_COLUMNS:
-        write_csv(fixtures.feed(spark, d, feed), f"{root}/landing/{feed}/batch_000", "gzip")
+    together(lambda feed: write_csv(fixtures.feed(spark, d, feed), f"{root}/landing/{feed}/batch_000", "gzip"), FEED_COLUMNS)
     gold = run_pipeline(spark, f"{root}/landing", f"{root}/work", AS_OF, SNAPSHOT_TIMES[1], gold_tables=[table])
     return spark.read.parquet(gold[table]).drop("_processed_ts")
 

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+TOGETHER = 5              # independent feeds, dimensions or facts whose jobs run side by side
+
 # Settings that matter at scale: AQE re-plans joins and partition counts at
 # runtime from real sizes, splits skewed join partitions and coalesces small
 # shuffle partitions.  The broadcast threshold is a *checked* size bound.
@@ -59,3 +65,22 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, tag: str) -> str:
     """The path of a fresh sub-folder of the shared folder; Spark's writers create it."""
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def together(f: Callable, items: Iterable) -> list:
+    """``f`` of each item, several at a time, in the order of the items; the first error is raised. For jobs that do not
+    need each other's results: the cores that the last tasks of one leave free then work on the next."""
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        return list(pool.map(f, items))
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a job are removed when it ends, not when the driver happens to collect garbage. For runs of many
+    jobs that pass their results on by tables: the disk then holds the shuffles of the jobs that run, not those of all before."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
