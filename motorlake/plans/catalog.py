@@ -1,8 +1,8 @@
 """Lazy access to feeds, dimensions and silver tables for one data directory.
 
-Nothing is computed here: every property is a DataFrame plan, so a query
-that needs only sales never touches the service tables, and Catalyst prunes
-columns and pushes filters through the whole chain to the parquet scans.
+Every property is a DataFrame plan, so a query that needs only sales never touches
+the service tables, and Catalyst prunes columns and pushes filters through the whole
+chain to the parquet scans. One thing is computed here: the size of the dealers' feed (``held``).
 """
 
 from __future__ import annotations
@@ -21,6 +21,20 @@ SILVER_TABLES = ["customer_cur", "dealer_cur", "vehicle_cur", "parts", "dealer_p
                  "production", "production_enriched", "service", "service_enriched", "warranty",
                  "warranty_enriched", "inventory", "inventory_enriched"]
 
+HELD_BYTES = 64 << 20     # texts of a dimension's feed that is broadcast: about three times that on every executor
+
+
+def held(dim: DataFrame, feed: DataFrame) -> DataFrame:
+    """``dim``, marked to be broadcast where the texts of its ``feed``, which are counted here, are few enough.
+
+    A dimension that is joined straight after its joins and its deduplication has no size that the planner trusts, and adaptive
+    execution measures it with all its columns. The facts would be moved for it, each row once. Broadcasts that are
+    switched off stay off."""
+    if dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return dim
+    counted = feed.agg(F.sum(F.octet_length(F.concat_ws("", *feed.columns))).alias("bytes")).first()["bytes"]
+    return F.broadcast(dim) if (counted or 0) <= HELD_BYTES else dim
+
 
 def materialize_silver(spark: SparkSession, sf_dir: str, store: str) -> None:
     """Write every silver table once (the medallion's silver layer) and cut lineage.
@@ -80,6 +94,11 @@ class Tables:
     def vehicle_cur(self) -> DataFrame:
         return silver.current(self.snapshot("vehicle", 1), "vin")
 
+    @cached_property
+    def held_dealers(self) -> DataFrame:
+        """The dealers for joins with every sale. Written ones have a size that the planner knows."""
+        return self.dealer_cur if self.store else held(self.dealer_cur, self.feed("dealer"))
+
     # ---------------------------------------------------------------- facts
     @cached_property
     def sales(self) -> DataFrame:
@@ -87,7 +106,11 @@ class Tables:
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        return silver.sales_enriched(self.sales, self.customer_cur, self.dealer_cur, self.vehicle_cur)
+        return self._enriched(self.sales)
+
+    def _enriched(self, sales: DataFrame) -> DataFrame:
+        dealers = self.held_dealers
+        return silver.sales_enriched(sales, self.customer_cur, dealers, self.vehicle_cur, dealers is not self.dealer_cur)
 
     @cached_property
     def measured_sales(self) -> DataFrame:
@@ -110,7 +133,7 @@ class Tables:
     def measured_sales_enriched(self) -> DataFrame:
         if self.store:
             return self.sales_enriched
-        return silver.sales_enriched(self.measured_sales, self.customer_cur, self.dealer_cur, self.vehicle_cur)
+        return self._enriched(self.measured_sales)
 
     @cached_property
     def production(self) -> DataFrame:

@@ -261,7 +261,8 @@ def sales_with_vehicle(sales: DataFrame, vehicle_cur: DataFrame) -> DataFrame:
 
 
 def sales_enriched(sales: DataFrame, customer_cur: DataFrame, dealer_cur: DataFrame,
-                   vehicle_cur: DataFrame) -> DataFrame:
+                   vehicle_cur: DataFrame, dealer_held: bool = False) -> DataFrame:
+    """``dealer_held``: ``dealer_cur`` is marked to be broadcast, see ``catalog.held``."""
     cust = customer_cur.select(
         "customer_id", "customer_name", "gender", "age",
         F.col("city").alias("customer_city"), F.col("state").alias("customer_state"),
@@ -271,9 +272,11 @@ def sales_enriched(sales: DataFrame, customer_cur: DataFrame, dealer_cur: DataFr
         F.col("city").alias("dealer_city"), F.col("state").alias("dealer_state"),
         F.col("rating").alias("dealer_rating"))
     # the vehicle first: clean_sales leaves its rows dealt by vin. The customer, with most bytes, last: its columns are
-    # then never moved with the sales. The columns keep their order
+    # then never moved with the sales; a held dealer comes after it, since nothing is moved for it. The columns keep their order
     with_vehicle = sales_with_vehicle(sales, vehicle_cur)
-    joined = with_vehicle.join(dealer, "dealer_id", "left").join(cust, "customer_id", "left")
+    joined = with_vehicle
+    for dim, key in [(cust, "customer_id"), (dealer, "dealer_id")] if dealer_held else [(dealer, "dealer_id"), (cust, "customer_id")]:
+        joined = joined.join(dim, key, "left")
     rest = [c for c in sales.columns if c not in ("vin", "dealer_id", "customer_id")]
     return joined.select("vin", "dealer_id", "customer_id", *rest, *cust.columns[1:], *dealer.columns[1:],
                          *with_vehicle.columns[len(sales.columns):])
